@@ -20,9 +20,12 @@ def contains_ignoring_case(text: Column, part: Column) -> Column:
 
 
 def mentions_list(text: Column, names: list[str]) -> Column:
-    """The given names that occur in the text, in the order given."""
-    dictionary = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
-    return F.filter(dictionary, lambda n: contains_ignoring_case(text, n))
+    """The given names that occur in the text, in the order given.
+
+    One condition per name rather than a lambda, so that the lower-cased text is shared by all.
+    """
+    found = [F.when(contains_ignoring_case(text, F.lit(n)), F.lit(n)) for n in names]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def tokens(text: Column) -> Column:

@@ -6,15 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.text import mentions_list
+from martloom.operators.lookup import bounded
 
 # A dictionary up to this many names (and characters) is matched inside each row; a larger one
-# goes through the gram join.
-MAX_INLINE_NAMES = 256
+# goes through the block join.
+MAX_INLINE_NAMES = 64
 MAX_INLINE_CHARS = 16_384
 
-# Lengths of the character grams that stand for a name in the gram join, longest first. A name is
-# looked up by a gram of the longest length it can fill, or as a whole when it is shorter.
-GRAM_LENGTHS = (6, 3)
+# Block lengths of the block join, longest first. A text is cut into blocks of q characters; any
+# stretch of 2q-1 characters covers one of them whole, so a name of at least that length is found
+# by one of its first q grams.
+BLOCKS = (6, 4, 2, 1)
 
 
 def inline_names(names: DataFrame, column: str = "product_name") -> list[str] | None:
@@ -30,67 +32,60 @@ def inline_names(names: DataFrame, column: str = "product_name") -> list[str] |
     return found
 
 
-def _grams(text: Column, length: int) -> Column:
-    """Every run of ``length`` characters, overlapping, in one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{length}}}))"), F.lit(1))
-
-
-def _gram_length(name: Column) -> Column:
+def _block_length(name: Column) -> Column:
+    """Longest block length that finds a name; 0 for the empty name."""
     n = F.char_length(name)
-    length = n
-    for q in sorted(GRAM_LENGTHS):
-        length = F.when(n >= q, q).otherwise(length)
+    length = F.lit(0)
+    for q in sorted(BLOCKS):
+        length = F.when(n >= 2 * q - 1, q).otherwise(length)
     return length
 
 
-def _name_grams(lowered: Column) -> Column:
-    grams = F.array(lowered)
-    for q in sorted(GRAM_LENGTHS):
-        grams = F.when(F.char_length(lowered) >= q, _grams(lowered, q)).otherwise(grams)
-    return F.array_distinct(grams)
+def _text_blocks(lowered: Column, length: int) -> Column:
+    if length == 0:
+        return F.array(F.lit(""))
+    return F.regexp_extract_all(lowered, F.lit(f"(?s).{{{length}}}"), F.lit(0))
 
 
-def _anchors(names: DataFrame, column: str) -> DataFrame:
-    """One gram per name, the one that fewest names share, so that few texts reach a wrong name."""
-    grams = names.select(
-        F.col(column).alias("name"), F.explode(_name_grams(F.lower(column))).alias("gram")
-    )
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        grams.join(shared, "gram")
-        .groupBy("name")
-        .agg(F.min(F.struct("n", "gram")).alias("a"))
-        .select("name", F.col("a.gram").alias("gram"))
+def _name_grams(names: DataFrame, column: str) -> DataFrame:
+    """(name, gram): the first q grams of each name, one per way the blocks can fall on it."""
+    lowered = F.lower(column)
+    q = _block_length(lowered)
+    starts = F.when(q == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), q))
+    gram = F.transform(starts, lambda start: F.substring(lowered, start, q))
+    return names.select(
+        F.col(column).alias("name"), F.explode(F.array_distinct(gram)).alias("gram")
     )
 
 
-def gram_mentions(
+def block_mentions(
     texts: DataFrame, names: DataFrame, id_column: str, text_column: str, name_column: str
 ) -> DataFrame:
     """(id, name) for every name that occurs in a text, for dictionaries of any size.
 
-    Texts and names meet in an equi-join on character grams, so no text is compared with every
-    name; the candidates are then verified against the whole text. The rows that explode carry
-    the id alone, never the text.
+    Texts and names meet in an equi-join of text blocks with name grams, so no text is compared
+    with every name; the candidates are then verified against the whole text. A text yields one
+    narrow row per block: the id and the block, never the text itself.
     """
     distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
-    # At most one row per gram length: 0 to 3, and 6.
+    # At most one row per block length.
     lengths = sorted(
-        r[0] for r in distinct.select(_gram_length(F.lower(name_column))).distinct().collect()
+        r[0] for r in distinct.select(_block_length(F.lower(name_column))).distinct().collect()
     )
     if not lengths:
         return texts.select(id_column, F.lit(None).cast("string").alias(name_column)).limit(0)
     lowered = F.lower(text_column)
-    per_length = [F.array(F.lit("")) if q == 0 else _grams(lowered, q) for q in lengths]
-    grams = F.array_distinct(F.concat(*per_length))
+    blocks = F.concat(*[_text_blocks(lowered, q) for q in lengths])
     candidates = (
-        texts.select(id_column, F.explode(grams).alias("gram"))
-        .join(_anchors(distinct, name_column), "gram")
+        texts.select(id_column, F.explode(blocks).alias("gram"))
+        .join(bounded(_name_grams(distinct, name_column)), "gram")
         .select(id_column, F.col("name").alias(name_column))
+        .distinct()
     )
     found = F.contains(F.lower(text_column), F.lower(name_column))
     return (
-        candidates.join(texts.select(id_column, text_column), id_column)
+        candidates.hint("merge")
+        .join(texts.select(id_column, text_column), id_column)
         .filter(found)
         .select(id_column, name_column)
     )
@@ -113,7 +108,7 @@ def extract_mentions(
     distinct = names.select(name_column).distinct()
     inline = inline_names(distinct, name_column)
     if inline is None:
-        return gram_mentions(texts, distinct, id_column, text_column, name_column)
+        return block_mentions(texts, distinct, id_column, text_column, name_column)
     tagged = with_mentions(
         texts.select(id_column, text_column), inline, text_column, "_mentions"
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,74 +77,83 @@ class Rule:
         return cls(table, "required_columns", columns, **kw)
 
 
-def violation(rule: Rule) -> Column:
-    """Boolean column, true on the rows that break a row rule and never NULL."""
-    c = F.col(rule.columns[0])
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP_NTZ '{value}'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    return str(value)
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def violation(rule: Rule) -> str:
+    """SQL condition, true on the rows that break a row rule and never NULL."""
+    c = _name(rule.columns[0])
     if rule.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if rule.kind == "accepted_values":
-        bad = ~c.isin(list(rule.values))
+        bad = f"{c} NOT IN ({', '.join(map(_literal, rule.values))})"
     elif rule.kind == "accepted_range":
-        bounds = []
-        if rule.low is not None:
-            bounds.append(c < rule.low)
-        if rule.high is not None:
-            bounds.append(c > rule.high)
-        bad = reduce(lambda a, b: a | b, bounds, F.lit(False))
+        bounds = [
+            f"{c} {op} {_literal(bound)}"
+            for op, bound in (("<", rule.low), (">", rule.high))
+            if bound is not None
+        ]
+        bad = " OR ".join(bounds) or "false"
     else:
         raise ValueError(f"{rule.kind} is not a row rule")
-    return F.coalesce(F.when(c.isNull(), F.lit(rule.nulls_fail)).otherwise(bad), F.lit(False))
-
-
-def _result(rule: Rule, n_rows: Column, n_failed: Column) -> Column:
-    failed = n_failed.cast("bigint")
-    return F.struct(
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.label).alias("column_name"),
-        F.lit(rule.kind).alias("rule"),
-        F.lit(rule.severity).alias("severity"),
-        n_rows.cast("bigint").alias("n_rows"),
-        failed.alias("n_failed"),
-        (F.coalesce(failed, F.lit(1)) == 0).alias("passed"),
+    return f"coalesce({bad}, {str(rule.nulls_fail).lower()})"
+
+
+def _result(rule: Rule, n_rows: str, n_failed: str) -> str:
+    """SQL struct of a result row. Whole suites are built of these, one text per rule."""
+    return (
+        f"named_struct('table_name', {_literal(rule.table)}, 'column_name', {_literal(rule.label)},"
+        f" 'rule', {_literal(rule.kind)}, 'severity', {_literal(rule.severity)},"
+        f" 'n_rows', bigint({n_rows}), 'n_failed', bigint({n_failed}),"
+        f" 'passed', {n_failed} = 0)"
     )
 
 
+def _result_rows(totals: DataFrame, results: Sequence[str]) -> DataFrame:
+    return totals.selectExpr(f"inline(array({', '.join(results)}))")
+
+
 def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    counts = [F.count(F.lit(1)).alias("n")]
+    counts = ["count(1) AS n"]
+    results = []
     for i, rule in enumerate(rules):
-        if rule.kind != "row_count":
-            counts.append(F.count_if(violation(rule)).alias(f"f{i}"))
-    results = [
-        _result(
-            rule,
-            F.col("n"),
-            (F.col("n") == 0).cast("bigint") if rule.kind == "row_count" else F.col(f"f{i}"),
-        )
-        for i, rule in enumerate(rules)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*results)))
+        if rule.kind == "row_count":
+            results.append(_result(rule, "n", "int(n = 0)"))
+        else:
+            counts.append(f"count_if({violation(rule)}) AS f{i}")
+            results.append(_result(rule, "n", f"f{i}"))
+    return _result_rows(df.selectExpr(*counts), results)
 
 
 def _key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _all_set(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def _repeated(rule: Rule) -> str:
+    """SQL condition on key counts: a repeated key, with NULL keys ignored unless they count."""
+    known = [] if rule.nulls_fail else [f"{_name(c)} IS NOT NULL" for c in rule.columns]
+    return " AND ".join(["_n > 1", *known])
 
 
 def _unique_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rules over the same columns of one table: a single count per key answers all of them."""
-    columns = rules[0].columns
-    failed = []
-    for i, rule in enumerate(rules):
-        repeated = F.col("_n") > 1
-        if not rule.nulls_fail:
-            repeated = repeated & _all_set(columns)
-        failed.append(F.count_if(repeated).alias(f"f{i}"))
-    totals = _key_counts(df, columns).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), *failed)
-    results = [_result(rule, F.col("n"), F.col(f"f{i}")) for i, rule in enumerate(rules)]
-    return totals.select(F.inline(F.array(*results)))
+    failed = [f"count_if({_repeated(rule)}) AS f{i}" for i, rule in enumerate(rules)]
+    totals = _key_counts(df, rules[0].columns).selectExpr("coalesce(sum(_n), 0) AS n", *failed)
+    return _result_rows(totals, [_result(rule, "n", f"f{i}") for i, rule in enumerate(rules)])
 
 
 def _parent_keys(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
@@ -156,12 +166,11 @@ def _relationship_rule(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame
     joined = children.join(
         _parent_keys(tables, rule), F.col(column) == F.col("_parent"), "left"
     )
-    orphan = F.col(column).isNotNull() & F.col("_parent").isNull()
-    totals = joined.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("f"),
+    orphan = f"{_name(column)} IS NOT NULL AND _parent IS NULL"
+    totals = joined.selectExpr(
+        "coalesce(sum(_n), 0) AS n", f"coalesce(sum(if({orphan}, _n, 0)), 0) AS f"
     )
-    return totals.select(_result(rule, F.col("n"), F.col("f")).alias("r")).select("r.*")
+    return _result_rows(totals, [_result(rule, "n", "f")])
 
 
 def _schema_result(df: DataFrame, rule: Rule) -> tuple:
@@ -211,10 +220,7 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
             _parent_keys(tables, rule), F.col(column) == F.col("_parent"), "left_anti"
         )
     if rule.kind in ("unique", "unique_combination"):
-        repeated = _key_counts(df, rule.columns).filter(F.col("_n") > 1)
-        if not rule.nulls_fail:
-            repeated = repeated.filter(_all_set(rule.columns))
-        repeated = repeated.select(*[F.col(c).alias(f"_k_{c}") for c in rule.columns])
+        repeated = _key_counts(df, rule.columns).filter(_repeated(rule)).select(*[F.col(c).alias(f"_k_{c}") for c in rule.columns])
         same = reduce(
             lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in rule.columns]
         )

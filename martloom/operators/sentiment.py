@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.text import normalised_score, score_bin, tokens
-from martloom.operators.mentions import gram_mentions, inline_names, with_mentions
+from martloom.operators.lookup import bounded
+from martloom.operators.mentions import block_mentions, inline_names, with_mentions
 
 SCORE_PLACES = 6
 
@@ -24,7 +25,7 @@ def lexicon_scores(
     millionths = F.rint(F.col("valence") * 1_000_000).cast("bigint")
     entries = lexicon.select("token", millionths.alias("_valence"))
     total = F.sum(F.coalesce(F.col("_valence"), F.lit(0))).alias("_total")
-    summed = words.join(entries, "token", "left").groupBy(*keep).agg(total)
+    summed = words.join(bounded(entries), "token", "left").groupBy(*keep).agg(total)
     score = normalised_score(F.col("_total").cast("double") / 1_000_000)
     return summed.select(*keep, F.round(score, SCORE_PLACES).alias("sentiment_score"))
 
@@ -59,7 +60,7 @@ def scored_mentions(tweets: DataFrame, names: DataFrame, lexicon: DataFrame) ->
     distinct = names.select("product_name").distinct()
     inline = inline_names(distinct)
     if inline is None:
-        mentions = gram_mentions(tweets, distinct, "id", "content", "product_name")
+        mentions = block_mentions(tweets, distinct, "id", "content", "product_name")
         scores = lexicon_scores(tweets, lexicon, ("id", "tweeted_at"))
         return mentions.join(scores, "id").select(
             "id", "tweeted_at", "product_name", "sentiment_score"

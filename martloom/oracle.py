@@ -348,7 +348,7 @@ from v1_items_c group by 1, 2
 order by total_profit desc nulls last, product_name, product_type limit 10"""
     ),
     "mention_extract": _text("select id, product_name from mentions"),
-    "mention_extract_grams": _text("select id, product_name from mentions"),
+    "mention_extract_blocks": _text("select id, product_name from mentions"),
     "mention_large_dictionary": f"""with names as (
   select distinct unnest(regexp_extract_all(lower(text), '[a-z]{{{w.LONG_WORD},}}')) as product_name
   from benchmark)

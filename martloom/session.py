@@ -14,8 +14,6 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when the split costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Broadcast decided from the measured size of the finished side, not from an estimate.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 
 

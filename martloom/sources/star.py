@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.operators.lookup import spread
+
 # Which part types of this data count as food or drink.
 FOOD_TYPES = ("ECONOMY", "STANDARD", "MEDIUM")
 DRINK_TYPES = ("SMALL", "PROMO")
@@ -20,6 +22,10 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def documents(self) -> DataFrame:
+        """Texts, spread over the cores before any work on them."""
+        return spread(self.table("documents").select("doc_id", "text"))
+
     def raw_customers(self) -> DataFrame:
         return self.table("customer").select(
             F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
@@ -89,7 +95,7 @@ class Star:
     def raw_tweets(self) -> DataFrame:
         authors = self.table("events").select(F.col("event_id").alias("doc_id"), "user_id", "ts")
         return (
-            self.table("documents")
+            self.documents()
             .join(authors, "doc_id")
             .select(
                 F.col("doc_id").alias("id"),

@@ -192,8 +192,8 @@ def _sentiment_bins(m: Models) -> DataFrame:
 
 def _mention_large(m: Models) -> DataFrame:
     names = m.long_words()
-    texts = m.star.table("documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    found = mentions.gram_mentions(texts, names, "id", "content", "product_name")
+    texts = m.star.documents().select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    found = mentions.block_mentions(texts, names, "id", "content", "product_name")
     return found.groupBy("product_name").agg(F.count(F.lit(1)).alias("mention_count"))
 
 
@@ -378,8 +378,8 @@ QUERIES: dict[str, Query] = {
     ),
     # Text
     "mention_extract": _models(lambda m: mentions.extract_mentions(m.tweets(), m.dictionary())),
-    "mention_extract_grams": _models(
-        lambda m: mentions.gram_mentions(
+    "mention_extract_blocks": _models(
+        lambda m: mentions.block_mentions(
             m.tweets(), m.dictionary(), "id", "content", "product_name"
         )
     ),

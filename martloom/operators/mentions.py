@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.text import mentions_list
+from martloom.functions.text import contains_ignoring_case, mentions_list
 from martloom.operators.lookup import bounded
 
 # A dictionary up to this many names (and characters) is matched inside each row; a larger one
@@ -42,19 +44,43 @@ def _block_length(name: Column) -> Column:
 
 
 def _text_blocks(lowered: Column, length: int) -> Column:
+    """The text cut into blocks; only the last may be shorter."""
     if length == 0:
         return F.array(F.lit(""))
-    return F.regexp_extract_all(lowered, F.lit(f"(?s).{{{length}}}"), F.lit(0))
+    return F.regexp_extract_all(lowered, F.lit(f"(?s).{{1,{length}}}"), F.lit(0))
+
+
+def _with_neighbours(blocks: Column) -> Column:
+    """Each block with the one before and the one after it."""
+
+    def at(i: Column) -> Column:
+        return F.coalesce(F.get(blocks, i), F.lit(""))
+
+    return F.transform(
+        blocks,
+        lambda gram, i: F.struct(
+            gram.alias("gram"), at(i - 1).alias("before"), at(i + 1).alias("after")
+        ),
+    )
 
 
 def _name_grams(names: DataFrame, column: str) -> DataFrame:
-    """(name, gram): the first q grams of each name, one per way the blocks can fall on it."""
+    """(name, gram, head, tail): the first q grams of each name, one per way the blocks can fall
+    on it, with what precedes the gram and up to q characters of what follows."""
     lowered = F.lower(column)
     q = _block_length(lowered)
     starts = F.when(q == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), q))
-    gram = F.transform(starts, lambda start: F.substring(lowered, start, q))
-    return names.select(
-        F.col(column).alias("name"), F.explode(F.array_distinct(gram)).alias("gram")
+    cut = names.select(
+        F.col(column).alias("name"),
+        lowered.alias("lowered"),
+        q.alias("q"),
+        F.explode(starts).alias("start"),
+    )
+    return cut.select(
+        "name",
+        F.expr("substring(lowered, start, q)").alias("gram"),
+        F.expr("substring(lowered, 1, start - 1)").alias("head"),
+        F.expr("substring(lowered, start + q, q)").alias("tail"),
     )
 
 
@@ -64,8 +90,9 @@ def block_mentions(
     """(id, name) for every name that occurs in a text, for dictionaries of any size.
 
     Texts and names meet in an equi-join of text blocks with name grams, so no text is compared
-    with every name; the candidates are then verified against the whole text. A text yields one
-    narrow row per block: the id and the block, never the text itself.
+    with every name. The neighbouring blocks rule out most chance hits in the join itself; what
+    remains is verified against the whole text. A text yields one narrow row per block: the id
+    and three blocks, never the text itself.
     """
     distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
     # At most one row per block length.
@@ -75,10 +102,18 @@ def block_mentions(
     if not lengths:
         return texts.select(id_column, F.lit(None).cast("string").alias(name_column)).limit(0)
     lowered = F.lower(text_column)
-    blocks = F.concat(*[_text_blocks(lowered, q) for q in lengths])
+    cut = texts.select(id_column, *[_text_blocks(lowered, q).alias(f"_{q}") for q in lengths])
+    blocks = F.concat(*[_with_neighbours(F.col(f"_{q}")) for q in lengths])
+    grams = bounded(_name_grams(distinct, name_column)).alias("n")
+    fits = (
+        (F.col("t.gram") == F.col("n.gram"))
+        & F.endswith(F.col("before"), F.col("head"))
+        & F.startswith(F.col("after"), F.col("tail"))
+    )
     candidates = (
-        texts.select(id_column, F.explode(blocks).alias("gram"))
-        .join(bounded(_name_grams(distinct, name_column)), "gram")
+        cut.select(id_column, F.inline(blocks))
+        .alias("t")
+        .join(grams, fits)
         .select(id_column, F.col("name").alias(name_column))
         .distinct()
     )
@@ -93,8 +128,11 @@ def block_mentions(
 
 def with_mentions(texts: DataFrame, names: list[str], text_column: str, out: str) -> DataFrame:
     """Texts naming at least one entry, with the list of names found, in dictionary order."""
-    tagged = texts.withColumn(out, mentions_list(F.col(text_column), names))
-    return tagged.filter(F.size(out) > 0)
+    text = F.col(text_column)
+    any_name = reduce(
+        lambda a, b: a | b, [contains_ignoring_case(text, F.lit(n)) for n in names], F.lit(False)
+    )
+    return texts.filter(any_name).withColumn(out, mentions_list(text, names))
 
 
 def extract_mentions(
@@ -109,7 +147,7 @@ def extract_mentions(
     inline = inline_names(distinct, name_column)
     if inline is None:
         return block_mentions(texts, distinct, id_column, text_column, name_column)
-    tagged = with_mentions(
-        texts.select(id_column, text_column), inline, text_column, "_mentions"
-    )
-    return tagged.select(id_column, F.explode("_mentions").alias(name_column))
+    found = mentions_list(F.col(text_column), inline)
+    # The outer explode and the later filter keep the list from being evaluated twice.
+    rows = texts.select(id_column, F.explode_outer(found).alias(name_column))
+    return rows.filter(F.col(name_column).isNotNull())

@@ -67,8 +67,9 @@ def scored_mentions(tweets: DataFrame, names: DataFrame, lexicon: DataFrame) ->
         )
     tagged = with_mentions(tweets, inline, "content", "mentions")
     scores = lexicon_scores(tagged, lexicon, ("id", "tweeted_at", "mentions"))
+    # Every list has a name; the outer explode only spares a second look at the texts for it.
     return scores.select(
-        "id", "tweeted_at", F.explode("mentions").alias("product_name"), "sentiment_score"
+        "id", "tweeted_at", F.explode_outer("mentions").alias("product_name"), "sentiment_score"
     )
 
 

@@ -35,3 +35,6 @@ def drain_landing(
         .start()
     )
     query.awaitTermination()
+    # Batches run in a session of their own; drop what this one remembers of the table's files.
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)

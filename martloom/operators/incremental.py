@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.names import epoch_ms_to_utc, materialised_label, quoted_parts
+from martloom.schemas import RUN_LOG
 
 
 def in_range(df: DataFrame, start: date | Column, end: date | Column, on: str = "event_date") -> DataFrame:
@@ -105,6 +106,42 @@ def missing_intervals(models: DataFrame, log: DataFrame) -> DataFrame:
     return expected_days(models).join(covered_days(log), ["model", "day"], "left_anti")
 
 
+def log_runs(spark: SparkSession, log_table: str, rows: list[tuple]) -> None:
+    """Append finished runs (model, interval start, interval end, finished at) to the run log."""
+    spark.createDataFrame(rows, RUN_LOG.schema).coalesce(1).write.mode("append").saveAsTable(log_table)
+
+
+def catch_up(
+    source: DataFrame,
+    table: str,
+    model: str,
+    log_table: str,
+    start: date,
+    end: date,
+    finished_at: datetime,
+    on: str = "event_date",
+) -> list[date]:
+    """Build the daily intervals from ``start`` to ``end`` that the log lacks, then log them.
+
+    Returns the days built. A run that dies before the log entry is simply built again.
+    """
+    spark = source.sparkSession
+    models = spark.createDataFrame(
+        [(model, start, end)], "model STRING, start_day DATE, end_day DATE"
+    )
+    if spark.catalog.tableExists(log_table):
+        missing = missing_intervals(models, spark.table(log_table))
+    else:
+        missing = expected_days(models)
+    # One row per calendar day.
+    days = sorted(r.day for r in missing.collect())
+    if days:
+        wanted = spark.createDataFrame([(d,) for d in days], f"{on} DATE")
+        rebuild_days(source, wanted, table, on)
+        log_runs(spark, log_table, [(model, d, d + timedelta(days=1), finished_at) for d in days])
+    return days
+
+
 def last_materialised(models: DataFrame, log: DataFrame) -> DataFrame:
     """Latest interval end per model (epoch ms in ``end_ms``); NULL for a model that never ran."""
     last = log.groupBy("model").agg(F.max("end_ms").alias("last_end_ms"))

@@ -36,14 +36,15 @@ def row_numbers(
         counted.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot"))
+        .select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_rows"))
     )
+    is_hot = F.col("_hot_rows") > hot_rows
 
     def grouped(frame: DataFrame) -> DataFrame:
         # A struct key compares its NULL fields as equal, so NULL keys and times need no case.
         tagged = frame.join(F.broadcast(hot), frame[key].eqNullSafe(F.col("_hot_key")), "left")
         return tagged.withColumn(
-            "_group", F.struct(F.col(key).alias("k"), F.when(F.col("_hot"), chunk).alias("c"))
+            "_group", F.struct(F.col(key).alias("k"), F.when(is_hot, chunk).alias("c"))
         )
 
     earlier = (
@@ -53,7 +54,7 @@ def row_numbers(
     )
     offsets = (
         grouped(counted)
-        .filter(F.col("_hot"))
+        .filter(is_hot)
         .groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_group", F.sum("_n").over(earlier).alias("_before"))

@@ -160,7 +160,9 @@ v2_customers as (
 VALUES = {
     "dictionary": ", ".join(f"('{n}')" for n in w.DICTIONARY),
     "lexicon": ", ".join(f"('{t}', {round(v * 1_000_000)})" for t, v in w.LEXICON),
-    "policies": ", ".join(f"('{d}', {s}, '{sev}')" for d, s, sev in w.POLICIES),
+    "policies": ", ".join(
+        f"('{d}', {s}, '{sev}', {every or 'null'})" for d, s, sev, every in w.POLICIES
+    ),
 }
 
 BIN_SQL = """case when {x} > -1 and {x} <= -0.5 then 'Very Negative'
@@ -391,12 +393,13 @@ from run_models left join runs using (model) group by model""",
         select="""select model, array_to_string(regexp_extract_all(model, '"([^"]+)"', 1), '|') as parts
 from run_models""",
     ),
-    "freshness": f"""with policies(dataset, max_lag_seconds, severity) as (values {VALUES["policies"]}),
+    "freshness": f"""with policies(dataset, max_lag_seconds, severity, every) as (values {VALUES["policies"]}),
 last as (select event_type as dataset, max(ts) as last_update from events group by 1),
 lags as (
   select p.*, l.last_update,
-         epoch_us(timestamp '{w.AS_OF}' - l.last_update) // 1000000 as lag_seconds
-  from policies p left join last l using (dataset))
+         trunc((coalesce(as_of - as_of % (every::bigint * 1000000), as_of) - epoch_us(l.last_update))
+               / 1000000)::bigint as lag_seconds
+  from (select *, epoch_us(timestamp '{w.AS_OF}') as as_of from policies) p left join last l using (dataset))
 select dataset, last_update, lag_seconds, max_lag_seconds, severity,
        coalesce(lag_seconds <= max_lag_seconds, false) as passed
 from lags""",

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.operators.catalogue import landing_rules, mart_rules, sentiment_rules, staging_rules
+from martloom.operators.freshness import POLICY_DDL, freshness, mart_policies
+from martloom.operators.incremental import log_runs
 from martloom.operators.quality import evaluate, gate
 from martloom.operators.sentiment import product_sentiment
 from martloom.plans import marts_v1, staging
 from martloom.plans.products import priced_items, product_economics
-from martloom.sources.tables import materialise
+from martloom.sources.tables import materialise, qualify
 
 # Up to this many products the economics lookup is broadcast; above, the join exchanges by key
 # and adaptive execution splits hot products.
@@ -40,10 +43,11 @@ def build_marts(
     food_types: Sequence[str] = ("food",),
     drink_types: Sequence[str] = ("drink",),
     schema: str = "main",
+    finished_at: datetime | None = None,
 ) -> dict[str, DataFrame]:
     """Check the landing tables, then store every dollar mart and the sentiment mart.
 
-    Raises QualityError before anything is written when a landing check fails, and before the
+    The marts' updates go to ``schema.run_log`` under ``finished_at`` (default: now, UTC). Raises QualityError before anything is written when a landing check fails, and before the
     next layer when a staging or mart rule does.
     """
     gate(evaluate(landing, landing_rules()))
@@ -73,4 +77,17 @@ def build_marts(
     sentiment = product_sentiment(marts["tweets"], marts["products"], lexicon)
     marts["product_sentiment"] = store("product_sentiment", sentiment)
     gate(evaluate(marts, sentiment_rules()))
+    done = finished_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    log_runs(
+        sentiment.sparkSession,
+        qualify("run_log", schema),
+        [(name, done.date(), done.date() + timedelta(days=1), done) for name in marts],
+    )
     return marts
+
+
+def mart_freshness(spark: SparkSession, as_of: datetime, schema: str = "main") -> DataFrame:
+    """How stale each stored mart is at ``as_of``, judged from the run log."""
+    log = spark.table(qualify("run_log", schema)).select(F.col("model").alias("dataset"), "finished_at")
+    policies = spark.createDataFrame(mart_policies(), POLICY_DDL)
+    return freshness(log, policies, F.lit(as_of).cast("timestamp_ntz"))

@@ -60,7 +60,7 @@ def orders(stg_orders: DataFrame, items: DataFrame, hot_rows: int = HOT_ROWS) ->
         totals,
         key="customer_id",
         order=("order_date", "order_id"),
-        chunk=F.date_trunc("day", F.col("order_date")),
+        chunk=F.col("order_date").cast("date"),
         keys_from=stg_orders,
         hot_rows=hot_rows,
         name="customer_order_number",

@@ -34,6 +34,8 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python call site of every column expression dominates building wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -42,15 +42,15 @@ LONG_WORD = 9
 
 PRODUCT_TYPES = ("ECONOMY", "STANDARD", "MEDIUM", "SMALL", "PROMO", "LARGE")
 RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 14))
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-31 00:04:00"
 # One bound per kind of event, plus a dataset that is never updated.
 POLICIES = (
-    ("click", 180, "error"),
-    ("error", 7200, "error"),
-    ("purchase", 3600, "error"),
-    ("signup", 60, "warn"),
-    ("view", 3600, "warn"),
-    ("refund", 3600, "error"),
+    ("click", 180, "error", None),
+    ("error", 7200, "error", None),
+    ("purchase", 3600, "error", 300),
+    ("signup", 60, "warn", 86_400),
+    ("view", 3600, "warn", None),
+    ("refund", 3600, "error", 60),
 )
 
 

@@ -1,7 +1,9 @@
+import datetime as dt
+
 import pytest
 
 from martloom.operators.quality import QualityError
-from martloom.plans.daily import build_marts
+from martloom.plans.daily import build_marts, mart_freshness
 
 
 def clean(landing):
@@ -15,11 +17,17 @@ def clean(landing):
 
 
 def test_build(spark, landing, lexicon):
-    marts = build_marts(clean(landing), lexicon, ("food", "drink"), schema="built")
+    done = dt.datetime(2024, 1, 10, 12)
+    marts = build_marts(
+        clean(landing), lexicon, ("food", "drink"), schema="built", finished_at=done
+    )
     assert spark.table("built.orders").count() == 3
     assert spark.table("built.customers").filter("number_of_orders IS NULL").count() == 1
     assert marts["product_sentiment"].count() == 2
     assert {t.name for t in spark.catalog.listTables("built")} >= set(marts)
+    for late, fresh in ((180, True), (181, False)):
+        rows = mart_freshness(spark, done + dt.timedelta(seconds=late), "built").collect()
+        assert [r.passed for r in rows] == [fresh] * 6
 
 
 def test_blocked_before_anything_is_written(spark, landing, lexicon):

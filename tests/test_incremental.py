@@ -107,6 +107,37 @@ def test_missing_intervals(spark):
     assert sorted((r.model, r.day.day) for r in found) == [("a", 3), ("a", 5), ("b", 1), ("b", 2)]
 
 
+def test_catch_up(spark):
+    now = dt.datetime(2020, 2, 1)
+    source = seed_frame(spark)
+
+    def run(rows, end):
+        return incremental.catch_up(rows, "caught", "m", "caught_log", day(1), end, now)
+
+    assert run(source, day(3)) == [day(1), day(2), day(3)]
+    assert stored(spark, "caught") == SEED[:3]
+    # Days already logged are not built again, even if the source changed.
+    changed = seed_frame(spark, [(99, 9, day(1)), *SEED[3:]])
+    assert run(changed, day(4)) == [day(4)]
+    assert run(changed, day(4)) == []
+    assert stored(spark, "caught") == SEED[:4]
+
+
+def test_deadlines(spark):
+    policies = spark.createDataFrame(
+        [("tweets", 60, "warn", 300), ("orders", 60, "error", None)], freshness.POLICY_DDL
+    )
+    log = spark.createDataFrame(
+        [(n, dt.datetime(2024, 1, 1, 11, 59, 30)) for n in ("tweets", "orders")],
+        "dataset STRING, finished_at TIMESTAMP_NTZ",
+    )
+    # 12:04 is judged at the 12:00 deadline where there is one.
+    as_of = F.lit(dt.datetime(2024, 1, 1, 12, 4)).cast("timestamp_ntz")
+    rows = {r.dataset: r for r in freshness.freshness(log, policies, as_of).collect()}
+    assert (rows["tweets"].lag_seconds, rows["tweets"].passed) == (30, True)
+    assert (rows["orders"].lag_seconds, rows["orders"].passed) == (270, False)
+
+
 def test_last_materialised(spark):
     models = spark.createDataFrame([('"m"."x"',), ('"m"."y"',)], "model STRING")
     log = spark.createDataFrame(
@@ -129,7 +160,7 @@ def test_freshness(spark):
         "dataset STRING, finished_at TIMESTAMP_NTZ",
     )
     policies = spark.createDataFrame(freshness.mart_policies(), freshness.POLICY_DDL)
-    rows = freshness.freshness(log, policies, F.lit(now)).collect()
+    rows = freshness.freshness(log, policies, F.lit(now).cast("timestamp_ntz")).collect()
     passed = {r.dataset: r.passed for r in rows}
     assert passed == {name: name == "orders" for name in freshness.MARTS}
     assert {r.dataset: r.lag_seconds for r in rows}["customers"] == 181

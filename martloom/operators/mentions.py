@@ -20,6 +20,10 @@ MAX_INLINE_CHARS = 16_384
 # by one of its first q grams.
 BLOCKS = (6, 4, 2, 1)
 
+# A block travels with at most this many blocks that follow it. Names that reach further are
+# verified against the whole text afterwards.
+MAX_AFTER = 16
+
 
 def inline_names(names: DataFrame, column: str = "product_name") -> list[str] | None:
     """The dictionary in sorted order, or None when it is too large to match inside each row.
@@ -50,23 +54,21 @@ def _text_blocks(lowered: Column, length: int) -> Column:
     return F.regexp_extract_all(lowered, F.lit(f"(?s).{{1,{length}}}"), F.lit(0))
 
 
-def _with_neighbours(blocks: Column) -> Column:
-    """Each block with the one before and the one after it."""
-
-    def at(i: Column) -> Column:
-        return F.coalesce(F.get(blocks, i), F.lit(""))
-
+def _with_context(blocks: Column, after: int) -> Column:
+    """Each block with the one before it and the text of the next ``after`` blocks."""
     return F.transform(
         blocks,
         lambda gram, i: F.struct(
-            gram.alias("gram"), at(i - 1).alias("before"), at(i + 1).alias("after")
+            gram.alias("gram"),
+            F.coalesce(F.get(blocks, i - 1), F.lit("")).alias("before"),
+            F.array_join(F.slice(blocks, i + 2, F.lit(after)), "").alias("after"),
         ),
     )
 
 
 def _name_grams(names: DataFrame, column: str) -> DataFrame:
     """(name, gram, head, tail): the first q grams of each name, one per way the blocks can fall
-    on it, with what precedes the gram and up to q characters of what follows."""
+    on it, with what precedes and what follows the gram."""
     lowered = F.lower(column)
     q = _block_length(lowered)
     starts = F.when(q == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), q))
@@ -80,7 +82,7 @@ def _name_grams(names: DataFrame, column: str) -> DataFrame:
         "name",
         F.expr("substring(lowered, start, q)").alias("gram"),
         F.expr("substring(lowered, 1, start - 1)").alias("head"),
-        F.expr("substring(lowered, start + q, q)").alias("tail"),
+        F.expr(f"substring(lowered, start + q, q * {MAX_AFTER})").alias("tail"),
     )
 
 
@@ -90,38 +92,49 @@ def block_mentions(
     """(id, name) for every name that occurs in a text, for dictionaries of any size.
 
     Texts and names meet in an equi-join of text blocks with name grams, so no text is compared
-    with every name. The neighbouring blocks rule out most chance hits in the join itself; what
-    remains is verified against the whole text. A text yields one narrow row per block: the id
-    and three blocks, never the text itself.
+    with every name. Each block brings the characters around it, as many as the longest name
+    needs, so the join itself decides whether the name is there: the texts are read once and
+    never exchanged. Only when a name is longer than that context does a join back on the id
+    verify the hits against the whole texts.
     """
     distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
+    lowered_name = F.lower(name_column)
     # At most one row per block length.
-    lengths = sorted(
-        r[0] for r in distinct.select(_block_length(F.lower(name_column))).distinct().collect()
-    )
-    if not lengths:
+    longest = {
+        r.q: r.n
+        for r in distinct.groupBy(_block_length(lowered_name).alias("q"))
+        .agg(F.max(F.char_length(lowered_name)).alias("n"))
+        .collect()
+    }
+    if not longest:
         return texts.select(id_column, F.lit(None).cast("string").alias(name_column)).limit(0)
+    # Blocks that can follow the first gram of a class's longest name.
+    after = {q: -(-(n - q) // q) if q else 0 for q, n in longest.items()}
     lowered = F.lower(text_column)
-    cut = texts.select(id_column, *[_text_blocks(lowered, q).alias(f"_{q}") for q in lengths])
-    blocks = F.concat(*[_with_neighbours(F.col(f"_{q}")) for q in lengths])
+    known = texts.filter(F.col(text_column).isNotNull())
+    cut = known.select(id_column, *[_text_blocks(lowered, q).alias(f"_{q}") for q in after])
+    blocks = F.concat(
+        *[_with_context(F.col(f"_{q}"), min(k, MAX_AFTER)) for q, k in after.items()]
+    )
     grams = bounded(_name_grams(distinct, name_column)).alias("n")
     fits = (
         (F.col("t.gram") == F.col("n.gram"))
         & F.endswith(F.col("before"), F.col("head"))
         & F.startswith(F.col("after"), F.col("tail"))
     )
-    candidates = (
+    hits = (
         cut.select(id_column, F.inline(blocks))
         .alias("t")
         .join(grams, fits)
         .select(id_column, F.col("name").alias(name_column))
         .distinct()
     )
-    found = F.contains(F.lower(text_column), F.lower(name_column))
+    if max(after.values()) <= MAX_AFTER:
+        return hits
     return (
-        candidates.hint("merge")
+        hits.hint("merge")
         .join(texts.select(id_column, text_column), id_column)
-        .filter(found)
+        .filter(contains_ignoring_case(F.col(text_column), F.col(name_column)))
         .select(id_column, name_column)
     )
 

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is numbered in chunks. Also bounds the broadcast below:
-# at most total_rows / HOT_ROWS keys can exceed it.
+# A key with more rows than this is numbered in chunks.
 HOT_ROWS = 1_000_000
+# At most this many keys, the largest, are treated so; their list is broadcast. Any other key
+# holds less than 1 / MAX_HOT_KEYS of all rows and is numbered the plain way.
+MAX_HOT_KEYS = 10_000
 
 
 def row_numbers(
@@ -36,6 +38,8 @@ def row_numbers(
         counted.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
+        .orderBy(F.col("_n").desc(), key)
+        .limit(MAX_HOT_KEYS)
         .select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_rows"))
     )
     is_hot = F.col("_hot_rows") > hot_rows

@@ -4,11 +4,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.operators import ranking
 from martloom.operators.ranking import row_numbers
 
 
-@pytest.mark.parametrize("hot_rows", [3, 50, 10**6])
-def test_same_numbers_whatever_is_hot(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, max_keys", [(3, 100), (3, 2), (50, 100), (10**6, 100)])
+def test_same_numbers_whatever_is_hot(spark, monkeypatch, hot_rows, max_keys):
+    monkeypatch.setattr(ranking, "MAX_HOT_KEYS", max_keys)
     rnd = random.Random(7)
     rows = []
     for i in range(600):

@@ -52,6 +52,15 @@ def test_every_occurrence_position(spark):
     assert found.count() == 20
 
 
+def test_names_longer_than_the_context(spark):
+    """The far end of a long name is checked too."""
+    near, far = "long name " * 30 + "x", "long name " * 30 + "y"
+    df = spark.createDataFrame([(1, f"a {near} b"), (2, f"{far}"), (3, near[:-1])], "id INT, content STRING")
+    dictionary = spark.createDataFrame([(near,), (far,)], "product_name STRING")
+    found = mentions.block_mentions(df, dictionary, "id", "content", "product_name")
+    assert sorted(map(tuple, found.collect())) == [(1, near), (2, far)]
+
+
 def test_lexicon_scores(spark, lexicon):
     rows = [(1, "good, GOOD bad"), (2, "neutral words"), (3, ""), (4, None)]
     df = spark.createDataFrame(rows, "id INT, content STRING")

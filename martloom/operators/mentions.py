@@ -55,15 +55,10 @@ def _text_blocks(lowered: Column, length: int) -> Column:
 
 
 def _with_context(blocks: Column, after: int) -> Column:
-    """Each block with the one before it and the text of the next ``after`` blocks."""
-    return F.transform(
-        blocks,
-        lambda gram, i: F.struct(
-            gram.alias("gram"),
-            F.coalesce(F.get(blocks, i - 1), F.lit("")).alias("before"),
-            F.array_join(F.slice(blocks, i + 2, F.lit(after)), "").alias("after"),
-        ),
-    )
+    """Each block preceded by the one before it and followed by the next ``after`` blocks."""
+    before = F.concat(F.array(F.lit("")), blocks)
+    shifted = [F.slice(blocks, F.lit(i + 1), F.size(blocks)) for i in range(after + 1)]
+    return F.arrays_zip(before, *shifted)
 
 
 def _name_grams(names: DataFrame, column: str) -> DataFrame:
@@ -113,19 +108,21 @@ def block_mentions(
     lowered = F.lower(text_column)
     known = texts.filter(F.col(text_column).isNotNull())
     cut = known.select(id_column, *[_text_blocks(lowered, q).alias(f"_{q}") for q in after])
-    blocks = F.concat(
-        *[_with_context(F.col(f"_{q}"), min(k, MAX_AFTER)) for q, k in after.items()]
-    )
-    grams = bounded(_name_grams(distinct, name_column)).alias("n")
+    reach = min(max(after.values()), MAX_AFTER)
+    following = [f"after_{i}" for i in range(reach)]
+    windows = F.concat(*[_with_context(F.col(f"_{q}"), reach) for q in after])
+    # Compared after the gram has matched, so the following blocks are joined up for hits only.
+    rest = F.concat_ws("", *following) if following else F.lit("")
     fits = (
         (F.col("t.gram") == F.col("n.gram"))
         & F.endswith(F.col("before"), F.col("head"))
-        & F.startswith(F.col("after"), F.col("tail"))
+        & F.startswith(rest, F.col("tail"))
     )
     hits = (
-        cut.select(id_column, F.inline(blocks))
+        cut.select(id_column, F.inline(windows))
+        .toDF(id_column, "before", "gram", *following)
         .alias("t")
-        .join(grams, fits)
+        .join(bounded(_name_grams(distinct, name_column)).alias("n"), fits)
         .select(id_column, F.col("name").alias(name_column))
         .distinct()
     )

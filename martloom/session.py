@@ -48,8 +48,10 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a fresh temporary folder: on a cluster a
     machine-local path would be lost with its machine, so a missing setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.sparkContext.getCheckpointDir()
     )
     if root:
         return root

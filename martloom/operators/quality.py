@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT_DDL = (
@@ -220,7 +220,8 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
             _parent_keys(tables, rule), F.col(column) == F.col("_parent"), "left_anti"
         )
     if rule.kind in ("unique", "unique_combination"):
-        repeated = _key_counts(df, rule.columns).filter(_repeated(rule)).select(*[F.col(c).alias(f"_k_{c}") for c in rule.columns])
+        keys = [F.col(c).alias(f"_k_{c}") for c in rule.columns]
+        repeated = _key_counts(df, rule.columns).filter(_repeated(rule)).select(*keys)
         same = reduce(
             lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in rule.columns]
         )

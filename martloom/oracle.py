@@ -412,7 +412,8 @@ from lags""",
     ),
     "failing_unique_combo": _staging(
         """select * from stg_order_items where (order_id, product_id) in
-  (select (order_id, product_id) from stg_order_items group by order_id, product_id having count(*) > 1)"""
+  (select (order_id, product_id) from stg_order_items
+   group by order_id, product_id having count(*) > 1)"""
     ),
     "audit_negative_items": _with(
         LANDING_SQL,

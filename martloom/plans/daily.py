@@ -11,17 +11,13 @@ from pyspark.sql import functions as F
 from martloom.operators.catalogue import landing_rules, mart_rules, sentiment_rules, staging_rules
 from martloom.operators.freshness import POLICY_DDL, freshness, mart_policies
 from martloom.operators.incremental import log_runs
+from martloom.operators.lookup import bounded
 from martloom.operators.quality import evaluate, gate
 from martloom.operators.sentiment import product_sentiment
 from martloom.plans import marts_v1, staging
 from martloom.plans.products import priced_items, product_economics
 from martloom.sources.tables import materialise, qualify
 
-# Up to this many products the economics lookup is broadcast; above, the join exchanges by key
-# and adaptive execution splits hot products.
-BROADCAST_PRODUCTS = 500_000
-
-
 def staged(
     landing: Mapping[str, DataFrame], food_types: Sequence[str], drink_types: Sequence[str]
 ) -> dict[str, DataFrame]:
@@ -47,8 +43,9 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Check the landing tables, then store every dollar mart and the sentiment mart.
 
-    The marts' updates go to ``schema.run_log`` under ``finished_at`` (default: now, UTC). Raises QualityError before anything is written when a landing check fails, and before the
-    next layer when a staging or mart rule does.
+    The marts' updates go to ``schema.run_log`` under ``finished_at`` (default: now, UTC). Raises
+    QualityError before anything is written when a landing check fails, and before the next layer
+    when a staging or mart rule does.
     """
     gate(evaluate(landing, landing_rules()))
     stg = staged(landing, food_types, drink_types)
@@ -62,9 +59,7 @@ def build_marts(
     economics = store(
         "product_economics", product_economics(stg["stg_products"], stg["stg_supplies"])
     )
-    # A stored table's exact row count comes from its footers.
-    lookup = F.broadcast(economics) if economics.count() <= BROADCAST_PRODUCTS else economics
-    dated = priced_items(stg["stg_order_items"], lookup).join(
+    dated = priced_items(stg["stg_order_items"], bounded(economics)).join(
         stg["stg_orders"].select("order_id", "order_date", "store_id"), "order_id", "left"
     )
     marts = {"order_items": store("order_items", marts_v1.item_dollars(dated, ("order_date", "store_id")))}

@@ -16,6 +16,9 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+DEFAULT_PARTITIONS = "200"
+PARTITIONS_PER_CORE = 4
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the scale settings the session does not set itself."""
@@ -23,6 +26,13 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SCALE_SETTINGS.items():
         if key not in explicit:
             spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    chosen = spark.conf.get("spark.sql.shuffle.partitions") != DEFAULT_PARTITIONS
+    if not chosen and initial not in explicit:
+        # Start each exchange with a few partitions per core: on a large cluster the fixed
+        # default leaves partitions that no task can hold, and adaptive execution can merge
+        # small partitions but not split large ones of an aggregate.
+        spark.conf.set(initial, str(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
     return spark
 
 

@@ -70,7 +70,8 @@ def main() -> None:
         except Exception:
             difference = traceback.format_exc(limit=3)[-1500:]
         bad += difference is not None
-        print(f"{'ok ' if difference is None else 'BAD'} {time.time() - start:6.2f}s {name} {difference or ''}")
+        mark = "ok " if difference is None else "BAD"
+        print(f"{mark} {time.time() - start:6.2f}s {name} {difference or ''}")
     print(f"{len(names) - bad}/{len(names)} equal")
 
 

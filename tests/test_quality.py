@@ -74,7 +74,9 @@ def test_each_rule(tables, name):
     assert failed(tables, rules("empty")[name]) == (0, 1 if name == "rows" else 0)
 
 
-@pytest.mark.parametrize("name, ids", [("nn", 2), ("uq", 2), ("uq_nulls", 4), ("av", 1), ("rng", 2), ("fk", 1)])
+@pytest.mark.parametrize(
+    "name, ids", [("nn", 2), ("uq", 2), ("uq_nulls", 4), ("av", 1), ("rng", 2), ("fk", 1)]
+)
 def test_failing_rows(tables, name, ids):
     assert failing_rows(tables, rules("bad")[name]).count() == ids
     assert failing_rows(tables, rules("good")[name]).count() == 0

@@ -291,6 +291,7 @@ IN_RANGE = f"event_date between date '{START}' and date '{END}'"
 SENTIMENT_MART = f"""
 sentiment_mart as (
   select *, {BIN_SQL.format(x="avg_sentiment")} as sentiment_category from product_sentiment)"""
+SEED_AS_INT = "select id::integer as id, item_id::integer as item_id, event_date from seed_events"
 FULL_MODEL = "select item_id, count(distinct id) as num_orders from seed_events group by 1"
 
 ORACLES: dict[str, str] = {
@@ -403,6 +404,24 @@ lags as (
 select dataset, last_update, lag_seconds, max_lag_seconds, severity,
        coalesce(lag_seconds <= max_lag_seconds, false) as passed
 from lags""",
+    "catch_up": _with(LANDING_SQL, select=f"select * from seed_events where {IN_RANGE}"),
+    "streamed_landing": _with(LANDING_SQL, select=SEED_AS_INT),
+    "csv_scan": _with(
+        LANDING_SQL,
+        select="""select sku::varchar as sku, name, type, price::integer as price, description
+from raw_products""",
+    ),
+    "csv_all_text": _with(
+        LANDING_SQL,
+        select="""select id::varchar as id, name, opened_at::varchar as opened_at,
+       tax_rate::varchar as tax_rate from raw_stores""",
+    ),
+    "typed_tweets": """select event_id::varchar as id, user_id::varchar as user_id, ts as tweeted_at,
+       props as content from events""",
+    "seed_load": _with(LANDING_SQL, select=SEED_AS_INT),
+    "keyed_load": _with(LANDING_SQL, select="select id::varchar as id, name from raw_customers"),
+    "write_replace": _staging("select * from stg_orders"),
+    "write_truncate_load": _staging("select * from stg_customers"),
     "export_csv": _v1_query("select * from customers_mart"),
     "export_json": _staging("select * from stg_products"),
     "export_parquet": _v1_query("select * from orders_mart"),

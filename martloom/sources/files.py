@@ -9,21 +9,41 @@ from martloom.operators.quality import Rule, evaluate, gate
 from martloom.schemas import TableSpec
 
 
-def csv_scan(spark: SparkSession, spec: TableSpec, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """Header CSV under the declared schema; text is kept as written, spaces included."""
+# Header CSV as most tools write it: a quote inside a quoted field is doubled, spaces are kept.
+CSV_FORMAT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def csv_scan(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    mode: str = "FAILFAST",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Header CSV under the declared schema, checked against the header.
+
+    ``multi_line`` allows line breaks inside quoted fields; such files cannot be split, so each
+    is read by one task.
+    """
     return (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_FORMAT)
         .option("mode", mode)
         .option("enforceSchema", False)
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .schema(spec.schema)
         .csv(path)
     )
 
 
-def csv_all_text(spark: SparkSession, path: str) -> DataFrame:
+def csv_all_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV with every column as text."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.options(**CSV_FORMAT).option("multiLine", multi_line).csv(path)
 
 
 def parquet_scan(spark: SparkSession, path: str, spec: TableSpec | None = None) -> DataFrame:
@@ -56,14 +76,21 @@ def seed(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return keyed(csv_scan(spark, spec, path), spec)
 
 
+# Text exports keep microseconds, which the writers' default format cuts to milliseconds.
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_FORMAT, **EXACT_TIMES).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
     """One JSON object per line; NULL fields are written so that readers see every column."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", False).options(**EXACT_TIMES).json(path)

@@ -17,8 +17,12 @@ def qualify(name: str, custom: str | None = None, default: str = DEFAULT_SCHEMA)
     return f"{schema}.{name}"
 
 
-def ensure_schema(spark: SparkSession, schema: str = DEFAULT_SCHEMA) -> None:
-    spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:schema)", args={"schema": schema})
+def ensure_schema(
+    spark: SparkSession, schema: str = DEFAULT_SCHEMA, location: str | None = None
+) -> None:
+    """Create a schema unless it exists; its tables go below ``location`` when one is given."""
+    where = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:schema){where}", args={"schema": schema})
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

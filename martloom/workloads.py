@@ -19,9 +19,11 @@ from martloom.plans.products import (
     product_economics,
     supply_cost_by_product,
 )
+from martloom.schemas import LANDING, SEED_EVENTS
 from martloom.session import scratch_path, written
-from martloom.sources import files
+from martloom.sources import files, tables
 from martloom.sources.star import DRINK_TYPES, FOOD_TYPES, Star
+from martloom.streaming.landing import drain_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,11 +306,18 @@ def _check_sentiment(m: Models) -> DataFrame:
     )
 
 
+def _scratch_schema(spark: SparkSession) -> str:
+    """A schema of its own in the shared folder."""
+    path = scratch_path(spark, "schema")
+    name = "martloom_" + path.rsplit("-", 1)[1]
+    tables.ensure_schema(spark, name, path)
+    return name
+
+
 def _incremental_rerun(m: Models) -> DataFrame:
     """Load every day into a stored table, rebuild a range three times, and read the table."""
-    path = scratch_path(m.spark, "incremental")
-    name = "martloom_" + path.rsplit("-", 1)[1]
-    incremental.create_day_table(m.seed(), name, path=path)
+    name = tables.qualify("events", _scratch_schema(m.spark))
+    incremental.create_day_table(m.seed(), name)
     # The second pass sees a source without errors: the range shrinks, the other days must stay.
     corrected = m.star.seed_events(F.col("event_type") != "error")
     for source in (m.seed(), corrected, corrected):
@@ -316,11 +325,80 @@ def _incremental_rerun(m: Models) -> DataFrame:
     return m.spark.table(name).select("id", "item_id", "event_date")
 
 
+def _catch_up(m: Models) -> DataFrame:
+    """Build the days up to the middle of the range, then catch up with the rest."""
+    schema = _scratch_schema(m.spark)
+    name, log = tables.qualify("events", schema), tables.qualify("run_log", schema)
+    start, end = RANGE
+    now = dt.datetime.fromisoformat(AS_OF)
+    for last in (start + (end - start) / 2, end):
+        incremental.catch_up(m.seed(), name, "events", log, start, last, now)
+    return m.spark.table(name).select("id", "item_id", "event_date")
+
+
+def _streamed(m: Models) -> DataFrame:
+    """Land the events in two waves of files and drain each into the day table."""
+    landing = scratch_path(m.spark, "landing")
+    checkpoint = scratch_path(m.spark, "stream")
+    name = tables.qualify("events", _scratch_schema(m.spark))
+    late = F.col("event_type") == "error"
+    for where in (~late, late):
+        # The stream's schema is narrower than the adapter's, so the keys are cast.
+        wave = m.star.seed_events(where).select(
+            *[F.col(f.name).cast(f.dataType) for f in SEED_EVENTS.schema.fields]
+        )
+        wave.write.mode("append").parquet(landing)
+        drain_landing(m.spark, landing, name, checkpoint)
+    return m.spark.table(name).select("id", "item_id", "event_date")
+
+
+def _as_csv(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, name)
+    files.export_csv(df, path)
+    return path
+
+
+def _typed_tweets(m: Models) -> DataFrame:
+    raw = m.star.table("events").select(
+        F.col("event_id").alias("id"),
+        "user_id",
+        F.col("ts").alias("tweeted_at"),
+        F.col("props").alias("content"),
+    )
+    return files.typed_tweets(files.csv_all_text(m.spark, _as_csv(raw, "tweets")))
+
+
+def _write_replace(m: Models) -> DataFrame:
+    """Replace a table by one with other columns, then read it."""
+    name = tables.qualify("orders", _scratch_schema(m.spark))
+    for frame in (m.customers(), m.orders()):
+        tables.write_replace(frame, name)
+    return tables.read_table(m.spark, name)
+
+
+def _truncate_load(m: Models) -> DataFrame:
+    """Load a table twice, the second time with its columns in another order."""
+    name = tables.qualify("customers", _scratch_schema(m.spark))
+    first = m.customers().withColumn("customer_name", F.upper("customer_name"))
+    for frame in (first, m.customers().select("customer_name", "customer_id")):
+        tables.write_truncate_load(frame, name)
+    return tables.read_table(m.spark, name)
+
+
+def _keyed_load(m: Models) -> DataFrame:
+    """Full refresh from the files of a glob, key checked, run twice."""
+    path = _as_csv(m.star.raw_customers(), "customers")
+    name = tables.qualify("raw_customers", _scratch_schema(m.spark))
+    for _ in range(2):
+        tables.keyed_load(m.spark, LANDING["raw_customers"], f"{path}/*.csv", name)
+    return tables.read_table(m.spark, name)
+
+
 def _csv_roundtrip(m: Models) -> DataFrame:
     path = scratch_path(m.spark, "customers-csv")
     mart = m.v1_customers()
     files.export_csv(mart, path)
-    return m.spark.read.option("header", True).option("mode", "FAILFAST").schema(mart.schema).csv(path)
+    return m.spark.read.options(**files.CSV_FORMAT, mode="FAILFAST").schema(mart.schema).csv(path)
 
 
 def _json_roundtrip(m: Models) -> DataFrame:
@@ -403,7 +481,24 @@ QUERIES: dict[str, Query] = {
     ),
     "parse_model_name": _models(_parse_model_name),
     "freshness": _models(_freshness),
-    # Exports, read back
+    "catch_up": _models(_catch_up),
+    "streamed_landing": _models(_streamed),
+    # Scans, tables and exports, each written to the shared folder and read back
+    "csv_scan": _models(
+        lambda m: files.csv_scan(
+            m.spark, LANDING["raw_products"], _as_csv(m.star.raw_products(), "products")
+        )
+    ),
+    "csv_all_text": _models(
+        lambda m: files.csv_all_text(m.spark, _as_csv(m.star.raw_stores(), "stores"))
+    ),
+    "typed_tweets": _models(_typed_tweets),
+    "seed_load": _models(
+        lambda m: files.seed(m.spark, SEED_EVENTS, _as_csv(m.seed(), "seed"))
+    ),
+    "keyed_load": _models(_keyed_load),
+    "write_replace": _models(_write_replace),
+    "write_truncate_load": _models(_truncate_load),
     "export_csv": _models(_csv_roundtrip),
     "export_json": _models(_json_roundtrip),
     "export_parquet": _models(_parquet_roundtrip),

@@ -37,6 +37,19 @@ def test_csv_scan(spark, tmp_path):
     ]
 
 
+def test_csv_quotes_and_breaks(spark, tmp_path):
+    text = 'id,name\n1,"said ""hi"", twice"\n2,"two\nlines"\n'
+    path = write(tmp_path / "q.csv", text)
+    rows = files.csv_scan(spark, LANDING["raw_customers"], path, multi_line=True).collect()
+    assert [r.name for r in rows] == ['said "hi", twice', "two\nlines"]
+
+
+def test_header_must_match(spark, tmp_path):
+    path = write(tmp_path / "h.csv", "name,id\nAnn,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.csv_scan(spark, LANDING["raw_customers"], path).collect()
+
+
 def test_trim_names(spark, tmp_path):
     from martloom.plans.staging import stg_products
 
@@ -66,12 +79,19 @@ def test_all_text_and_contract(spark, tmp_path):
 
 
 def test_exports(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a, b", None), (2, "c", 1.5)], "id INT, s STRING, d DOUBLE")
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame(
+        [
+            (1, " a, b ", None, at, at.astimezone(dt.timezone.utc)),
+            (2, 'say "c" \\ d', 1.5, None, None),
+        ],
+        "id INT, s STRING, d DOUBLE, n TIMESTAMP_NTZ, z TIMESTAMP",
+    )
     files.export_parquet(df, str(tmp_path / "p"))
     assertDataFrameEqual(files.parquet_scan(spark, str(tmp_path / "p")), df)
     files.export_csv(df, str(tmp_path / "c"))
     assertDataFrameEqual(
-        spark.read.option("header", True).schema(df.schema).csv(str(tmp_path / "c")), df
+        spark.read.options(**files.CSV_FORMAT).schema(df.schema).csv(str(tmp_path / "c")), df
     )
     files.export_json(df, str(tmp_path / "j"))
     assertDataFrameEqual(spark.read.schema(df.schema).json(str(tmp_path / "j")), df)

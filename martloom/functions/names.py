@@ -11,11 +11,19 @@ def quoted_parts(name: Column) -> Column:
     return F.regexp_extract_all(name, F.lit('"([^"]+)"'), F.lit(1))
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_ms_to_utc(ms: Column) -> Column:
     """Zone-less UTC timestamp of epoch milliseconds, whatever the session zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     seconds = ms.cast("decimal(18,0)") / F.lit(1000).cast("decimal(5,0)")
-    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return _epoch() + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def utc_to_epoch_ms(at: Column) -> Column:
+    """Epoch milliseconds of a zone-less UTC timestamp, whatever the session zone."""
+    return F.timestamp_diff("MILLISECOND", _epoch(), at)
 
 
 def materialised_label(ms: Column) -> Column:

@@ -85,4 +85,4 @@ def mart_freshness(spark: SparkSession, as_of: datetime, schema: str = "main") -
     """How stale each stored mart is at ``as_of``, judged from the run log."""
     log = spark.table(qualify("run_log", schema)).select(F.col("model").alias("dataset"), "finished_at")
     policies = spark.createDataFrame(mart_policies(), POLICY_DDL)
-    return freshness(log, policies, F.lit(as_of).cast("timestamp_ntz"))
+    return freshness(log, policies, F.lit(as_of.isoformat()).cast("timestamp_ntz"))

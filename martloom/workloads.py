@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.money import cents_to_dollars
-from martloom.functions.names import quoted_parts
+from martloom.functions.names import quoted_parts, utc_to_epoch_ms
 from martloom.functions.text import bin_rank, score_bin
 from martloom.operators import catalogue, freshness, incremental, mentions, quality, sentiment
 from martloom.operators.quality import Rule
@@ -153,7 +153,7 @@ class Models:
             .filter(F.col("event_type") != "error")
             .select(
                 self._model().alias("model"),
-                F.unix_millis(F.col("ts").cast("timestamp")).alias("end_ms"),
+                utc_to_epoch_ms(F.col("ts")).alias("end_ms"),
             )
         )
 

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from martloom.operators import mentions, sentiment
+from martloom.operators import lookup, mentions, sentiment
 from martloom.plans.staging import stg_tweets
 from martloom.schemas import LANDING
 
@@ -42,6 +42,19 @@ def test_large_dictionary_takes_the_block_path(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == brute(rows, names)
 
 
+def test_lookups_beyond_the_broadcast_bound(spark, lexicon, monkeypatch):
+    rows = texts()
+    df = spark.createDataFrame(rows, "id INT, content STRING")
+    dictionary = spark.createDataFrame([(n,) for n in NAMES], "product_name STRING")
+    few = lexicon.unionByName(spark.createDataFrame([("abca", 1.0)], lexicon.schema))
+    scores = sorted(map(tuple, sentiment.lexicon_scores(df, few).collect()))
+    for module in (mentions, sentiment):
+        monkeypatch.setattr(module, "bounded", lambda side: lookup.bounded(side, max_rows=1))
+    found = mentions.block_mentions(df, dictionary, "id", "content", "product_name")
+    assert sorted(map(tuple, found.collect())) == brute(rows, NAMES)
+    assert sorted(map(tuple, sentiment.lexicon_scores(df, few).collect())) == scores
+
+
 def test_every_occurrence_position(spark):
     """A name is found wherever the blocks fall on it."""
     name = "pepper sauce"

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe
+from martloom.llm import bpe, jaccard
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -30,7 +30,39 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_copies(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
+}
+ORACLES: dict[str, str] = {
+    "op4_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' '), least(len(w), 5)) AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+                  FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d JOIN least ON a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+    """,
 }
-ORACLES: dict[str, str] = {}

@@ -1,0 +1,120 @@
+import random
+import re
+
+import pytest
+
+from martloom.llm import jaccard
+from martloom.llm.shingles import shingle_sets
+
+
+def brute_set(text):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", folded)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def brute(rows):
+    """doc_id -> (size, smallest reachable doc_id)."""
+    sets = {i: brute_set(t) for i, t in rows}
+    least = {i: i for i in sets}
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                lo, hi = sorted((root(a), root(b)))
+                least[hi] = lo
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def got(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+
+
+def corpus(seed, families=4, copies=40, size=60, rate=0.04):
+    """Families of near copies at distances around the threshold, sharing passages."""
+    rnd = random.Random(seed)
+    word = lambda: "w%d" % rnd.randrange(3000)
+    passage = [word() for _ in range(30)]
+    texts = []
+    for _ in range(families):
+        base = [word() for _ in range(size)] + passage
+        for _ in range(copies):
+            t = [word() if rnd.random() < rate else w for w in base]
+            texts.append(" ".join(t).replace("w1", "W1") + rnd.choice(["", "\n", "  "]))
+    texts += [" ".join([word() for _ in range(size)] + passage) for _ in range(30)]
+    texts += ["a b", "A  b", "a b c", "", " \n", "a b c d e", "a b c d e f"] + rnd.choices(texts, k=20)
+    rnd.shuffle(texts)
+    return list(enumerate(texts, 5))
+
+
+def test_shingles_like_brute_force():
+    rnd = random.Random(3)
+    texts = ["", "  \n", "A b", "x\x85y z\xa0 w", "É é"]
+    texts += ["".join(rnd.choice("aB é\n") for _ in range(rnd.randrange(40))) for _ in range(300)]
+    sets = list(shingle_sets([t.encode() for t in texts]))
+    plain = [brute_set(t) for t in texts]
+    assert [len(s) for s in sets] == [len(s) for s in plain]
+    for i in range(0, len(texts) - 1):
+        for j in (i + 1, rnd.randrange(len(texts))):
+            assert len(set(sets[i].tolist()) & set(sets[j].tolist())) == len(plain[i] & plain[j])
+
+
+@pytest.mark.parametrize("seed,rate", [(1, 0.02), (2, 0.035)])
+def test_families_of_near_copies(spark, seed, rate):
+    rows = corpus(seed, rate=rate)
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert got(jaccard.near_copies(df)) == brute(rows)
+
+
+def test_regions_recurse(spark, monkeypatch):
+    """With leaves of one document every link has to come through pivots and their windows."""
+    monkeypatch.setattr(jaccard, "LEAF", 1)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "RUN", 3)
+    rows = corpus(4, families=2, copies=14, rate=0.03)
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert got(jaccard.near_copies(df)) == brute(rows)
+
+
+def test_edges(spark):
+    long = " ".join(f"w{i}" for i in range(50_000))
+    rows = [
+        (3, None, 1, "x"),
+        (4, "", 1, "x"),
+        (5, "one two", 1, "x"),
+        (6, "ONE two", 1, "x"),
+        (6, "ONE two", 1, "x"),
+        (None, "one two", None, None),
+        (None, "quite alone", None, None),
+        (8, long, 1, "x"),
+        (7, long + " tail", 1, "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, node INT, region STRING")
+    out = sorted(map(tuple, jaccard.near_copies(df).collect()), key=repr)
+    expected = [
+        (3, 0, 3), (4, 0, 4), (5, 1, 5), (6, 1, 5), (6, 1, 5), (8, 49_996, 7), (7, 49_997, 7),
+        (None, 1, 5), (None, 1, None),
+    ]
+    assert out == sorted(expected, key=repr)
+    assert jaccard.near_copies(df.limit(0)).collect() == []
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(20)) for k in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b + " z")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert {r.component_id for r in jaccard.near_copies(df).collect()} == {1}
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert got(jaccard.near_copies(docs)) == brute(rows)

@@ -8,13 +8,75 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe
-from martloom.llm.queries import TOKENIZER
+from martloom.llm import bpe, jaccard, language, line_dedup, mixing
+from martloom.llm.queries import MIX_BUDGET, MIX_SEED, MIX_WEIGHTS, TOKENIZER, domain_of
+from martloom.operators.lookup import bounded
 from martloom.session import configure, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; ``lang`` becomes the language found.
+
+    The ``lang`` column counts as the declared language, the source as the host. The model is fitted
+    on a bounded sample of these labels. A document without letters, or in no known language, goes.
+    """
+    model = language.fit(docs.select("doc_id", "text", "lang"))
+    # Rows are told apart by all that the decision rests on, so repeated rows need no number.
+    found = language.identify(
+        docs.select("doc_id", "text", "lang", "source"),
+        model,
+        F.struct("doc_id", "lang", "source", F.xxhash64("text").alias("h")),
+        F.col("text"),
+        F.col("lang"),
+        F.col("source"),
+    )
+    # Most rows keep their language: only the others are looked up.
+    changed = (
+        found.filter("not accepted or lang <> key.lang or key.lang is null")
+        .groupBy("key")
+        .agg(F.first(F.when(F.col("accepted"), F.col("lang"))).alias("_found"))
+    )
+    changed = written(changed.withColumn("_changed", F.lit(True)), "languages")
+    key = F.struct("doc_id", "lang", "source", F.xxhash64("text").alias("h"))
+    joined = docs.withColumn("_key", key).join(bounded(changed.withColumnRenamed("key", "_key")), "_key", "left")
+    kept = joined.filter("_changed is null or _found is not null")
+    return kept.select(*[F.coalesce("_found", "lang").alias(c) if c == "lang" else docs[c] for c in docs.columns])
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier document or line has; what is left empty goes."""
+    deduped = line_dedup.dedup_lines(docs)
+    return _counted(deduped).filter(F.trim("text") != "")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document, by doc_id, of every group of near copies."""
+    groups = jaccard.near_copies(docs)
+    gone = written(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    left = docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
+    # A document that comes in several rows stays in one.
+    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
+    rows = written(rows.select("doc_id"), "repeated")
+    single = left.join(bounded(rows), "doc_id", "left_anti").select(*docs.columns)
+    once = left.join(bounded(rows), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(once.select(*docs.columns))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The target mix; a document comes once for each epoch that takes it."""
+    mixed = mixing.mix(docs, MIX_BUDGET, MIX_WEIGHTS, domain_of(docs["source"]), seed=MIX_SEED)
+    return _counted(mixed.select(*docs.columns))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars``, where there is one, of the text as it is now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that is left, checked by decoding them."""
     path = public_tokenizers.path(TOKENIZER)
@@ -30,6 +92,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("languages", languages),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("mixture", mixture),
     ("tokens", tokens),
 ]
 # Trained models, joins of texts and seeded epochs are beyond SQL; tests hold each stage to brute force.

@@ -5,13 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, jaccard
+from martloom.llm import (
+    bpe,
+    chat,
+    jaccard,
+    language,
+    line_dedup,
+    mixing,
+    resharding,
+    topk,
+    toxicity,
+    vectors,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
+# The mix of the corpus: sources fall into four domains; weights by domain and by language.
+DOMAINS = 4
+MIX_WEIGHTS = {
+    **{(f"domain{d}",): w for d, w in enumerate((4.0, 3.0, 2.0, 1.0))},
+    **{
+        (f"domain{d}", lang): w
+        for d in range(DOMAINS)
+        for lang, w in (("en", 5.0), ("de", 2.0), ("fr", 2.0), ("es", 1.0))
+    },
+}
+MIX_BUDGET = 0.8
+MIX_SEED = 7
+
+OLD_SHARDS = 32
+NEW_SHARDS = 40
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -30,13 +57,112 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def domain_of(source) -> Column:
+    """The domain that a source belongs to."""
+    return F.concat(F.lit("domain"), F.pmod(F.crc32(F.coalesce(source, F.lit(""))), F.lit(DOMAINS)).cast("string"))
+
+
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    mixed = mixing.mix(docs, MIX_BUDGET, MIX_WEIGHTS, domain_of(docs["source"]), seed=MIX_SEED)
+    return mixed.select(
+        "doc_id",
+        domain_of(F.col("source")).alias("domain"),
+        "lang",
+        "source",
+        "epoch",
+        "n_tokens",
+        F.octet_length("text").cast("bigint").alias("bytes"),
+    )
+
+
+def page_language(pages: DataFrame, model: language.Model) -> DataFrame:
+    """Languages of web pages, from their text, their markup, their address and their host."""
+    markup = F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([A-Za-z-]+)", 1)
+    bare = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    host = F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1)
+    folder = F.regexp_extract("url", r"^[^:]*://[^/]+/([A-Za-z]{2})(?:/|$)", 1)
+    label = F.when(F.lower(folder).isin(*language.SUFFIXES), folder)
+    suffix = F.coalesce(label, F.substring_index(host, ".", -1))
+    return language.identify(pages, model, F.col("page_id"), bare, markup, host, suffix)
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    model = language.fit(_table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return page_language(_table(spark, folder, "pages"), model).withColumnRenamed("key", "page_id")
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_copies(_table(spark, folder, "documents"))
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = chat.turns_as_calls(_table(spark, folder, "conversations"))
+    return chat.link_calls(calls, results, chat.REPLY)
+
+
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    """From 32 shards, the last of which holds a third of the rows, to 40 of near equal bytes."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    old = F.least(F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS * 3 // 2)), F.lit(OLD_SHARDS - 1))
+    placed, _ = resharding.reshard(docs, old, NEW_SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels are kept for testing."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(5)) == 0
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, _table(spark, folder, "labels"), ~held_out())
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", F.col("text").alias("whole"), "text")
+    lines = lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, "\n", -1)))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id",
+        lines(F.col("whole")).alias("n_lines"),
+        F.when(F.col("text") == F.col("whole"), lines(F.col("whole")))
+        .otherwise(lines(F.col("text")))
+        .alias("n_kept"),
+        "text",
+    )
+
+
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_chat": op5_chat,
+    "op6_topk": op6_topk,
+    "op7_resharding": op7_resharding,
+    "op8_toxicity": op8_toxicity,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard": r"""
@@ -65,4 +191,56 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
         FROM documents d JOIN least ON a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
     """,
+    "op5_chat": r"""
+        WITH quoted AS (
+            SELECT conv_id, turn, role, conv_id || ':' || turn AS id,
+                   coalesce(CAST(to_json(text) AS VARCHAR), 'null') AS q FROM conversations),
+        calls AS (SELECT * FROM quoted WHERE role = 'user'),
+        answers AS (SELECT conv_id || ':' || (turn - 1) AS id, q FROM quoted WHERE role = 'assistant')
+        SELECT coalesce(c.id, a.id) AS call_id, c.conv_id, c.turn,
+            CASE WHEN c.id IS NOT NULL THEN 0 END AS wave,
+            CASE WHEN c.id IS NULL THEN 'no_call' WHEN c.q = 'null' THEN 'missing_argument'
+                 WHEN a.id IS NULL THEN 'no_result' ELSE 'ok' END AS status,
+            '{' || CASE WHEN c.id IS NULL THEN '' ELSE
+                '"after":[' || coalesce('"' || p.id || '"', '') || '],"arguments":{"prompt":' || c.q
+                || ',"turn":' || c.turn || '},' END
+            || '"id":"' || coalesce(c.id, a.id) || '"'
+            || CASE WHEN c.id IS NULL THEN '' ELSE ',"name":"reply"' END
+            || CASE WHEN a.id IS NULL THEN '' ELSE ',"result":' || a.q END || '}' AS json
+        FROM calls c FULL JOIN answers a ON c.id = a.id
+        LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.turn = c.turn - 2
+    """,
+    "op6_topk": """
+        WITH whole AS (
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND NOT list_contains([coalesce(isfinite(x), false) FOR x IN embedding], false)),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 5
+    """,
+    "op10_embedding_dedup": """
+        WITH RECURSIVE fit AS (
+            SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND NOT list_contains([coalesce(isfinite(x), false) FOR x IN embedding], false)
+              AND list_contains([x <> 0 FOR x IN embedding], true)),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM fit x JOIN fit y
+            ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings e JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+    """,
 }

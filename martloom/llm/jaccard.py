@@ -18,7 +18,7 @@ join works down from large regions to small ones:
    to the region; there they are compared with its core only.
 4. Pivots leave with all their links found. Members in one component need not be compared, so a
    region of thousands of near copies is done once its pivots have tied them together. The cores
-   shrink every round; a region of ``LEAF`` core members is joined directly.
+   shrink every round; a region of a few core members (``LEAF``) is joined directly.
 
 Every link is decided by the exact shingle sets. Work per document depends on its regions, not on
 the size of its group: copies in one component are never paired with each other.
@@ -42,7 +42,9 @@ PERCENT = 75
 SKETCH = 48
 SHARED = 10
 PIVOTS = 8
-LEAF = 8
+# Core members of a region that is joined directly: at first, and once pivots have tied copies
+# together.
+LEAF = (8, 64)
 # Members compared with one copy of a pivot's set in one run.
 RUN = 256
 
@@ -211,7 +213,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 F.count_if("core").alias("cores"),
             )
             .filter("lo < hi and cores > 0")
-            .select("region", (F.col("cores") <= LEAF).alias("leaf"))
+            .select("region", (F.col("cores") <= LEAF[level > 0]).alias("leaf"))
         )
         members = written(members.join(mixed, "region"), "members")
         if members.isEmpty():
@@ -232,8 +234,10 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         )
         met = written(_compared(direct.unionByName(to_pivots).distinct(), sets), "distances")
-        old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(old.unionByName(met.filter(_linked()).select("a", "b")))
+        new = met.filter(_linked()).select("a", "b")
+        if not new.isEmpty():
+            old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(old.unionByName(new))
         regions = written(_windows(large.select("region", "node", "core"), met, pivots), "regions")
         level += 1
 

@@ -20,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.shingles import mix, power_tables
 from martloom.operators.lookup import bounded
 from martloom.session import written
 
 # Shorter lines are left alone: a heading or a bracket may repeat.
 MIN_CHARS = 20
-BOUND = 1
 
 
 def normal(line: str) -> str:
@@ -44,9 +44,21 @@ def halves(line: str) -> list[int]:
     return keys
 
 
-def variants(line: str) -> list[int]:
-    """The hash of the line without its k-th character, for each k."""
-    return [_hash(line[:k] + line[k + 1 :]) for k in range(len(line))]
+def neighbourhood(line: str) -> np.ndarray:
+    """The hash of the line, then of the line without its k-th character for each k.
+
+    Polynomials modulo 2**64: what stands before and after a character is hashed once for all.
+    """
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    n = len(codes)
+    power, inverse = power_tables(n + 2)
+    with np.errstate(over="ignore"):
+        total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
+        without = total[:-1] + (total[-1] - total[1:]) * inverse[1]
+        lengths = np.full(n + 1, n - 1, dtype=np.uint64)
+        lengths[0] = n
+        return mix(np.concatenate([total[-1:], without]) ^ mix(lengths))
 
 
 def _signed(values) -> pa.Array:
@@ -113,23 +125,23 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _neighbourhood(lines: DataFrame) -> DataFrame:
-    """``v, k, h, at``: the variants of each line."""
+    """``v, k, h, at``: the variants of each line, and the line itself at -1."""
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 2_000):
-                part = batch.slice(start, 2_000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 hs, docs, numbers, vs, ks = [], [], [], [], []
                 for h, doc, line, content in zip(*(part.column(i).to_pylist() for i in range(4))):
-                    n = len(content)
-                    vs += variants(content)
-                    ks += range(n)
-                    hs += [h] * n
-                    docs += [doc] * n
-                    numbers += [line] * n
+                    found = neighbourhood(content)
+                    n = len(found)
+                    vs.append(found.view(np.int64))
+                    ks.append(np.arange(-1, n - 1, dtype=np.int32))
+                    hs.append(np.full(n, h, dtype=np.int64))
+                    docs.append(np.full(n, doc, dtype=np.int64))
+                    numbers.append(np.full(n, line, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(vs), pa.array(ks, pa.int32()), pa.array(hs, pa.int64())]
-                    + [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32())],
+                    [pa.array(np.concatenate(x)) for x in (vs, ks, hs, docs, numbers)],
                     ["v", "k", "h", "doc_id", "line"],
                 )
 
@@ -147,25 +159,33 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     places = distinct.select("h", "at").join(survivors, "h", "left_semi")
     lines = written(_texts_of(docs, written(places, "line_places")), "lines")
     around = written(_neighbourhood(lines), "variants")
-    earliest = around.groupBy("v", "k").agg(F.min("at").alias("by"), F.count(F.lit(1)).alias("n"))
-    same_place = (
-        around.join(earliest.filter("n > 1"), ["v", "k"])
-        .filter(F.col("by") < F.col("at"))
-        .select("h", "by")
+    shortened, whole = around.filter("k >= 0"), around.filter("k < 0")
+    first = F.min(F.struct("at", "h"))
+    earliest = shortened.groupBy("v", "k").agg(first.alias("by"), F.count(F.lit(1)).alias("n"))
+    changed = (
+        shortened.join(earliest.filter("n > 1"), ["v", "k"])
+        .filter(F.col("by.at") < F.col("at"))
+        .select(F.col("h").alias("later"), F.col("h").alias("a"), F.col("by.h").alias("b"), "k")
     )
-    whole = lines.select(F.col("h").alias("v"), F.col("h").alias("other"), F.col("at").alias("other_at"))
-    shorter = around.join(whole, "v").select("h", "at", "other", "other_at")
-    inserted = shorter.select(
-        F.when(F.col("at") < F.col("other_at"), F.col("other")).otherwise(F.col("h")).alias("h"),
-        F.least("at", "other_at").alias("by"),
+    longer = shortened.join(whole.select("v", F.col("h").alias("b"), F.col("at").alias("b_at")), "v")
+    inserted = longer.select(
+        F.when(F.col("at") < F.col("b_at"), F.col("b")).otherwise(F.col("h")).alias("later"),
+        F.col("h").alias("a"),
+        "b",
+        "k",
     )
-    pairs = same_place.unionByName(inserted).distinct()
-    earlier = lines.select(F.col("at").alias("by"), F.col("content").alias("earlier"))
+    pairs = changed.withColumn("both", F.lit(True)).unionByName(inserted.withColumn("both", F.lit(False)))
+    pairs = pairs.groupBy("later", "a", "b", "both").agg(F.min("k").alias("k"))
+    text = lambda name: lines.select(F.col("h").alias(name), F.col("content").alias(name + "_text"))
+    # One edit at a known place: the texts are equal without the character there. (A general edit
+    # distance takes the square of the length.)
+    without = lambda c: F.concat(F.expr(f"substring({c}, 1, k)"), F.expr(f"substring({c}, k + 2)"))
+    other = F.when(F.col("both"), without("b_text")).otherwise(F.col("b_text"))
     return (
-        pairs.join(lines.select("h", "content"), "h")
-        .join(earlier, "by")
-        .filter(F.levenshtein("content", "earlier", BOUND).between(0, BOUND))
-        .select("h")
+        pairs.join(text("a"), "a")
+        .join(text("b"), "b")
+        .filter(without("a_text") == other)
+        .select(F.col("later").alias("h"))
         .distinct()
     )
 

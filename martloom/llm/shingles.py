@@ -34,7 +34,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
+def power_tables(n: int) -> list[np.ndarray]:
+    """The first n powers, at least, of the base and of its inverse."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
             table = np.full(n, base, dtype=_U)
@@ -62,7 +63,7 @@ def _of_buffer(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
     starts, ends = edge[0::2], edge[1::2]
     if len(ends) < len(starts):
         ends = np.append(ends, len(data))
-    power, inverse = _power_tables(max(len(data), BUFFER_BYTES))
+    power, inverse = power_tables(max(len(data), BUFFER_BYTES))
     total = np.zeros(len(data) + 1, dtype=_U)
     np.cumsum(_VALUE[data] * power[: len(data)], out=total[1:])
     word = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U))

@@ -26,10 +26,12 @@ from martloom.llm.vectors import matrix, usable
 
 K = 5
 QUERY_BLOCK = 2048
-CANDIDATE_BLOCK = 16_384
+CANDIDATE_BLOCK = 8_192
+# Tasks for the block pairs, if the session asks for fewer.
+TASKS = 64
 # Points of a leaf; small ones of queries keep a group's worst score close to each query's own.
-LEAF = 48
-QUERY_LEAF = 8
+LEAF = 256
+QUERY_LEAF = 32
 CHILDREN = 8
 SHRINK = 0.5
 # The least value marks an empty place among the best k.
@@ -88,13 +90,16 @@ class Search:
         if len(self.q) and len(self.c):
             self.visit(cover_tree(self.q, QUERY_LEAF), cover_tree(self.c, LEAF))
 
-    def bound(self, a: Node, b: Node) -> float:
-        reach = a.centre @ b.centre + a.length * b.radius + b.length * a.radius + a.radius * b.radius
-        return float(reach) + 1e-9 * (1 + a.length + a.radius) * (1 + b.length + b.radius)
+    def bounds(self, a: list[Node], b: list[Node]) -> np.ndarray:
+        """Of each node of ``a`` with each of ``b``."""
+        x, y = np.array([n.centre for n in a]), np.array([n.centre for n in b])
+        (lx, rx), (ly, ry) = (np.array([(n.length, n.radius) for n in s]).T for s in (a, b))
+        reach = x @ y.T + np.outer(lx, ry) + np.outer(rx, ly) + np.outer(rx, ry)
+        return reach + 1e-9 * np.outer(1 + lx + rx, 1 + ly + ry)
 
     def visit(self, a: Node, b: Node) -> None:
         """Compare the queries of ``a`` with the candidates of ``b`` where they may still matter."""
-        stack = [(self.bound(a, b), a, b)]
+        stack = [(float(self.bounds([a], [b])[0, 0]), a, b)]
         while stack:
             bound, a, b = stack.pop()
             # A tie may still win by its smaller id.
@@ -105,9 +110,9 @@ class Search:
                 continue
             # Split the wider node, so that the bound falls fastest.
             if a.children and (not b.children or a.radius > b.radius):
-                pairs = [(self.bound(x, b), x, b) for x in a.children]
+                pairs = list(zip(self.bounds(a.children, [b])[:, 0], a.children, [b] * len(a.children)))
             else:
-                pairs = [(self.bound(a, y), a, y) for y in b.children]
+                pairs = list(zip(self.bounds([a], b.children)[0], [a] * len(b.children), b.children))
             stack.extend(sorted(pairs, key=lambda p: p[0]))
 
     def compare(self, rows: np.ndarray, columns: np.ndarray) -> None:
@@ -119,15 +124,24 @@ class Search:
             score = q.astype(np.int64) @ c.T.astype(np.int64)
         ids = self.ids[columns]
         hit = (score >= self.scores[rows, -1:]) & (ids[None, :] != self.query_ids[rows, None])
-        for r in np.flatnonzero(hit.any(axis=1)):
-            row, new = rows[r], hit[r]
-            # An empty place sorts behind any id.
-            scores = np.concatenate([self.scores[row], score[r, new]])
-            best = np.concatenate([self.best[row], ids[new]])
-            empty = np.arange(len(scores)) < self.k
-            empty &= scores == EMPTY
-            order = np.lexsort((best, -scores.astype(np.float64) if self.whole else ~scores, empty))[: self.k]
-            self.scores[row], self.best[row] = scores[order], best[order]
+        place, new = np.nonzero(hit)
+        if not len(place):
+            return
+        # The hits and the best so far of the rows that have any, best first, an empty place last.
+        changed = np.unique(place)
+        held = np.repeat(rows[changed], self.k)
+        row = np.concatenate([held, rows[place]])
+        scores = np.concatenate([self.scores[rows[changed]].ravel(), score[place, new]])
+        best = np.concatenate([self.best[rows[changed]].ravel(), ids[new]])
+        empty = np.arange(len(row)) < len(held)
+        empty &= scores == EMPTY
+        order = np.lexsort((best, ~scores, empty, row))
+        row = row[order]
+        start = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1])
+        rank = np.arange(len(row)) - np.repeat(start, np.diff([*start, len(row)]))
+        top = rank < self.k
+        self.scores[row[top], rank[top]] = scores[order][top]
+        self.best[row[top], rank[top]] = best[order][top]
 
 
 _OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -166,6 +180,10 @@ def _floor(x: F.Column) -> F.Column:
     return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
 
 
+def spark_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def top_k(
     df: DataFrame,
     is_query: F.Column,
@@ -209,6 +227,8 @@ def top_k(
     met = (
         dealt(queries, True)
         .unionByName(dealt(rows, False))
+        # A fixed number of partitions: by their bytes, a few tasks would get all the work.
+        .repartition(max(TASKS, spark_partitions(df)), "dims", "q", "c")
         .groupBy("dims", "q", "c")
         .applyInArrow(_block_pair(k), "query_id BIGINT, vec_id BIGINT, score BIGINT")
     )

@@ -114,7 +114,8 @@ def _tokens(text: Column) -> Column:
 def _prefix(text: Column, n: Column) -> Column:
     """The text up to its n-th word, with the white space inside as it was."""
     parts = F.split(F.translate(text, "\t\n\u000b\f\r", "     "), " ")
-    places = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda k: F.element_at(parts, k) != "")
+    # The pieces are the input of the lambda: named inside, they would be split anew for each.
+    places = F.filter(F.transform(parts, lambda w, k: F.when(w != "", k + 1)), lambda k: k.isNotNull())
     last = F.element_at(places, n.cast("int"))
     taken = F.slice(parts, 1, last)
     return F.substring(text, F.lit(1), F.length(F.array_join(taken, " ")))

@@ -33,7 +33,7 @@ from martloom.session import written
 SAMPLE = 6_000
 PREFIXES = (4, 5, 6)
 MIN_CONTEXTS = 4
-MIN_WEIGHT = 2.5
+MIN_WEIGHT = 3.0
 MAX_TERMS = 50_000
 # Phrases with a lexicon word in a harmless sense (fixed values).
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy", "pond scum")
@@ -142,15 +142,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_logit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
-    """Logistic regression by Newton steps; classes weigh the same."""
+    """Logistic regression by Newton steps."""
     if not len(y) or y.min() == y.max():
         return Lexicon().logit
-    weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     beta = np.zeros(x.shape[1])
     for _ in range(60):
         p = _sigmoid(x @ beta)
-        gradient = x.T @ (weight * (p - y)) + ridge * beta
-        hessian = (x.T * (weight * np.maximum(p * (1 - p), 1e-9))) @ x + ridge * np.eye(len(beta))
+        gradient = x.T @ (p - y) + ridge * beta
+        hessian = (x.T * np.maximum(p * (1 - p), 1e-9)) @ x + ridge * np.eye(len(beta))
         step = np.linalg.solve(hessian, gradient)
         beta -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martloom.llm.vectors import matrix, usable
+from martloom.operators.lookup import bounded
+from martloom.session import written
 
 K = 5
 QUERY_BLOCK = 2048
@@ -209,6 +211,7 @@ def top_k(
         F.greatest(F.lit(1), F.ceil(F.count_if(is_query) / QUERY_BLOCK)).alias("q_blocks"),
         F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK).alias("c_blocks"),
     )
+    blocks = written(blocks, "blocks")
     zero = F.lit(0).cast("bigint")
 
     def dealt(side: DataFrame, asked: bool) -> DataFrame:
@@ -218,7 +221,7 @@ def top_k(
         every_c = F.explode(F.sequence(zero, F.col("c_blocks") - 1))
         every_q = F.explode(F.sequence(zero, F.col("q_blocks") - 1))
         return (
-            side.join(blocks, "dims")
+            side.join(bounded(blocks), "dims")
             .withColumn("q", q if asked else every_q)
             .withColumn("c", every_c if asked else c)
             .select("dims", "q", "c", F.lit(asked).alias("asked"), "vec_id", "vector")

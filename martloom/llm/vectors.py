@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.components import components
+from martloom.operators.lookup import bounded
 from martloom.session import written
 
 THRESHOLD = 0.93
@@ -184,11 +185,12 @@ def near_duplicates(
         "vectors",
     )
     tiles = classes.groupBy("label", "dims").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    tiles = written(tiles, "tiles")
     # A class without any vec_id still counts for others, under a number no vec_id has taken part in.
     own = F.coalesce("node", F.lit(-(2**62)) - F.abs(F.xxhash64("label", "vector") % 2**61))
     dealt = (
         _quantised(classes.withColumn("node", own))
-        .join(tiles, ["label", "dims"])
+        .join(bounded(tiles), ["label", "dims"])
         .withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))

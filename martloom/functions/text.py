@@ -12,7 +12,8 @@ BIN_LABELS = ("Very Negative", "Negative", "Neutral", "Positive", "Very Positive
 # Fixed value: the normalisation constant of the published valence-sum formula.
 SCORE_ALPHA = 15.0
 
-TOKEN_BREAK = "[^a-zà-ÿ]+"
+# Tokens are runs of letters, marks, digits and apostrophes of any script.
+TOKEN_BREAK = r"[^\p{L}\p{M}\p{N}']+"
 
 
 def contains_ignoring_case(text: Column, part: Column) -> Column:
@@ -20,16 +21,13 @@ def contains_ignoring_case(text: Column, part: Column) -> Column:
 
 
 def mentions_list(text: Column, names: list[str]) -> Column:
-    """The given names that occur in the text, in the order given.
-
-    One condition per name rather than a lambda, so that the lower-cased text is shared by all.
-    """
-    found = [F.when(contains_ignoring_case(text, F.lit(n)), F.lit(n)) for n in names]
+    """The given names that occur in ``text``, which is lower case already, in the order given."""
+    found = [F.when(F.contains(text, F.lower(F.lit(n))), F.lit(n)) for n in names]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
-def tokens(text: Column) -> Column:
-    return F.split(F.lower(text), TOKEN_BREAK)
+def tokens(text: Column, token_break: str = TOKEN_BREAK) -> Column:
+    return F.split(F.lower(text), token_break)
 
 
 def normalised_score(valence_sum: Column) -> Column:

@@ -51,9 +51,17 @@ def _write_days(rows: DataFrame, table: str, on: str) -> None:
 
 
 def _stored_days(spark: SparkSession, table: str, on: str) -> list[date]:
+    """Days of the table's partitions; rows without a day are in none of them."""
     parts = spark.sql("SHOW PARTITIONS IDENTIFIER(:t)", args={"t": table})
-    day = F.to_date(F.regexp_extract("partition", f"{on}=(.*)", 1))
-    return [r.day for r in parts.select(day.alias("day")).collect()]
+    day = F.regexp_extract("partition", f"{on}=(.*)", 1).try_cast("date")
+    return [r.day for r in parts.select(day.alias("day")).filter("day is not null").collect()]
+
+
+def _drop_days(spark: SparkSession, table: str, on: str, days: set[date]) -> None:
+    for day in sorted(days):
+        spark.sql(
+            f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({on} = DATE '{day.isoformat()}')"
+        )
 
 
 def rebuild_range(
@@ -71,21 +79,32 @@ def rebuild_range(
     stored = [d for d in _stored_days(spark, table, on) if start <= d <= end]
     # One row per calendar day of the range, so the driver holds days, never data.
     filled = {r[0] for r in rows.select(on).distinct().collect()}
-    for day in sorted(set(stored) - filled):
-        spark.sql(
-            f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({on} = DATE '{day.isoformat()}')"
-        )
+    _drop_days(spark, table, on, set(stored) - filled)
 
 
 def rebuild_days(source: DataFrame, days: DataFrame, table: str, on: str = "event_date") -> None:
-    """Replace exactly the days listed in ``days`` (one column named ``on``)."""
-    _write_days(source.join(days.select(on).distinct(), on, "left_semi"), table, on)
+    """Replace exactly the days listed in ``days`` (one column named ``on``); a listed day without
+    rows in the source is dropped."""
+    spark = source.sparkSession
+    # One row per calendar day.
+    listed = {r[0] for r in days.select(on).distinct().collect()} - {None}
+    if not listed:
+        return
+    # As literals, the days prune the source's partitions or row groups.
+    rows = source.filter(F.col(on).isin(sorted(listed)))
+    _write_days(rows, table, on)
+    emptied = listed.intersection(_stored_days(spark, table, on))
+    if emptied:
+        emptied -= {r[0] for r in rows.select(on).distinct().collect()}
+    _drop_days(spark, table, on, emptied)
 
 
 def expected_days(models: DataFrame) -> DataFrame:
-    """One row per model and day from its ``start_day`` to its ``end_day``."""
+    """One row per model and day from its ``start_day`` to its ``end_day``; none for a model that
+    starts after its end."""
     days = F.sequence("start_day", "end_day", F.make_dt_interval(days=F.lit(1)))
-    return models.select("model", F.explode(days).alias("day"))
+    due = models.filter(F.col("start_day") <= F.col("end_day"))
+    return due.select("model", F.explode(days).alias("day"))
 
 
 def covered_days(log: DataFrame) -> DataFrame:

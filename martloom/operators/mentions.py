@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.text import contains_ignoring_case, mentions_list
+from martloom.functions.text import mentions_list
 from martloom.operators.lookup import bounded
 
 # A dictionary up to this many names (and characters) is matched inside each row; a larger one
@@ -15,38 +15,59 @@ from martloom.operators.lookup import bounded
 MAX_INLINE_NAMES = 64
 MAX_INLINE_CHARS = 16_384
 
-# Block lengths of the block join, longest first. A text is cut into blocks of q characters; any
-# stretch of 2q-1 characters covers one of them whole, so a name of at least that length is found
-# by one of its first q grams.
-BLOCKS = (6, 4, 2, 1)
+# Block lengths of the block join. A text is cut into blocks of q characters; any stretch of 2q-1
+# characters covers one of them whole, so a name of at least that length is found by one of its
+# first q grams. Longer names take longer blocks, each ``STEP`` times the one before, so that a block
+# never travels with more than about 2 * STEP blocks that follow it.
+BLOCKS = (1, 2, 4, 6)
+STEP = 8
 
-# A block travels with at most this many blocks that follow it. Names that reach further are
-# verified against the whole text afterwards.
-MAX_AFTER = 16
+# Long texts are cut into pieces of this many characters, or four of the longest names, which
+# overlap by the longest name. What a task holds of a text is one piece with its blocks.
+PIECE = 8_192
 
 
-def inline_names(names: DataFrame, column: str = "product_name") -> list[str] | None:
+def inline_names(
+    names: DataFrame, column: str = "product_name", most: int | None = None
+) -> list[str] | None:
     """The dictionary in sorted order, or None when it is too large to match inside each row.
 
-    Reads at most ``MAX_INLINE_NAMES + 1`` rows of the dictionary, never the texts.
+    Reads at most ``most`` (``MAX_INLINE_NAMES``) rows of the dictionary and one more, never the
+    texts. Either way of matching gives the same rows.
     """
+    most = MAX_INLINE_NAMES if most is None else most
     kept = names.select(column).filter(F.col(column).isNotNull())
-    rows = kept.limit(MAX_INLINE_NAMES + 1).collect()
+    rows = kept.limit(most + 1).collect()
     found = sorted(r[0] for r in rows)
-    if len(found) > MAX_INLINE_NAMES or sum(map(len, found)) > MAX_INLINE_CHARS:
+    if len(found) > most or sum(map(len, found)) > MAX_INLINE_CHARS:
         return None
     return found
 
 
-def _block_length(name: Column) -> Column:
+def _block_lengths(longest: int) -> list[int]:
+    """Block lengths for names of up to ``longest`` characters."""
+    lengths = list(BLOCKS)
+    while 2 * lengths[-1] * STEP - 1 <= longest:
+        lengths.append(lengths[-1] * STEP)
+    return lengths
+
+
+def _block_length(name: Column, lengths: list[int]) -> Column:
     """Longest block length that finds a name; 0 for the empty name."""
     n = F.char_length(name)
     length = F.lit(0)
-    for q in sorted(BLOCKS):
+    for q in lengths:
         length = F.when(n >= 2 * q - 1, q).otherwise(length)
     return length
 
 
+def _pieces(text: Column, size: int, overlap: int) -> Column:
+    """The text in overlapping pieces; every stretch of ``overlap + 1`` characters lies in one."""
+    last = F.greatest(F.lit(0), F.char_length(text) - overlap - 1)
+    starts = F.sequence(F.lit(0), F.floor(last / size).cast("int"))
+    return F.transform(starts, lambda k: F.substring(text, k * size + 1, F.lit(size + overlap)))
+
+
 def _text_blocks(lowered: Column, length: int) -> Column:
     """The text cut into blocks; only the last may be shorter."""
     if length == 0:
@@ -61,11 +82,11 @@ def _with_context(blocks: Column, after: int) -> Column:
     return F.arrays_zip(before, *shifted)
 
 
-def _name_grams(names: DataFrame, column: str) -> DataFrame:
+def _name_grams(names: DataFrame, column: str, lengths: list[int], reach: int) -> DataFrame:
     """(name, gram, head, tail): the first q grams of each name, one per way the blocks can fall
     on it, with what precedes and what follows the gram."""
     lowered = F.lower(column)
-    q = _block_length(lowered)
+    q = _block_length(lowered, lengths)
     starts = F.when(q == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), q))
     cut = names.select(
         F.col(column).alias("name"),
@@ -77,38 +98,40 @@ def _name_grams(names: DataFrame, column: str) -> DataFrame:
         "name",
         F.expr("substring(lowered, start, q)").alias("gram"),
         F.expr("substring(lowered, 1, start - 1)").alias("head"),
-        F.expr(f"substring(lowered, start + q, q * {MAX_AFTER})").alias("tail"),
+        F.expr(f"substring(lowered, start + q, q * {reach})").alias("tail"),
     )
 
 
 def block_mentions(
-    texts: DataFrame, names: DataFrame, id_column: str, text_column: str, name_column: str
+    texts: DataFrame, names: DataFrame, key: str, text_column: str, name_column: str
 ) -> DataFrame:
-    """(id, name) for every name that occurs in a text, for dictionaries of any size.
+    """Distinct (key, name) for every name that occurs in a text, for dictionaries of any size.
 
     Texts and names meet in an equi-join of text blocks with name grams, so no text is compared
-    with every name. Each block brings the characters around it, as many as the longest name
-    needs, so the join itself decides whether the name is there: the texts are read once and
-    never exchanged. Only when a name is longer than that context does a join back on the id
-    verify the hits against the whole texts.
+    with every name. Each block brings the characters around it, as many as the longest name of
+    its length needs, so the join itself decides whether the name is there: the texts are read
+    once and never exchanged. Rows that share ``key`` count as one.
     """
     distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
     lowered_name = F.lower(name_column)
+    longest_name = distinct.agg(F.max(F.char_length(lowered_name))).first()[0]
+    if longest_name is None:
+        return texts.select(key, F.lit(None).cast("string").alias(name_column)).limit(0)
+    lengths = _block_lengths(longest_name)
     # At most one row per block length.
     longest = {
         r.q: r.n
-        for r in distinct.groupBy(_block_length(lowered_name).alias("q"))
+        for r in distinct.groupBy(_block_length(lowered_name, lengths).alias("q"))
         .agg(F.max(F.char_length(lowered_name)).alias("n"))
         .collect()
     }
-    if not longest:
-        return texts.select(id_column, F.lit(None).cast("string").alias(name_column)).limit(0)
     # Blocks that can follow the first gram of a class's longest name.
     after = {q: -(-(n - q) // q) if q else 0 for q, n in longest.items()}
-    lowered = F.lower(text_column)
-    known = texts.filter(F.col(text_column).isNotNull())
-    cut = known.select(id_column, *[_text_blocks(lowered, q).alias(f"_{q}") for q in after])
-    reach = min(max(after.values()), MAX_AFTER)
+    reach = max(after.values())
+    size, overlap = max(PIECE, 4 * longest_name), longest_name
+    lowered = texts.filter(F.col(text_column).isNotNull()).select(key, F.lower(text_column).alias("_text"))
+    piece = lowered.select(key, F.explode(_pieces(F.col("_text"), size, overlap)).alias("_piece"))
+    cut = piece.select(key, *[_text_blocks(F.col("_piece"), q).alias(f"_{q}") for q in after])
     following = [f"after_{i}" for i in range(reach)]
     windows = F.concat(*[_with_context(F.col(f"_{q}"), reach) for q in after])
     # Compared after the gram has matched, so the following blocks are joined up for hits only.
@@ -118,31 +141,30 @@ def block_mentions(
         & F.endswith(F.col("before"), F.col("head"))
         & F.startswith(rest, F.col("tail"))
     )
-    hits = (
-        cut.select(id_column, F.inline(windows))
-        .toDF(id_column, "before", "gram", *following)
+    return (
+        cut.select(key, F.inline(windows))
+        .toDF(key, "before", "gram", *following)
         .alias("t")
-        .join(bounded(_name_grams(distinct, name_column)).alias("n"), fits)
-        .select(id_column, F.col("name").alias(name_column))
+        .join(bounded(_name_grams(distinct, name_column, lengths, reach)).alias("n"), fits)
+        .select(key, F.col("name").alias(name_column))
         .distinct()
     )
-    if max(after.values()) <= MAX_AFTER:
-        return hits
-    return (
-        hits.hint("merge")
-        .join(texts.select(id_column, text_column), id_column)
-        .filter(contains_ignoring_case(F.col(text_column), F.col(name_column)))
-        .select(id_column, name_column)
-    )
+
+
+def row_key(*columns: str) -> Column:
+    """A hash of the columns that tells different rows apart, NULLs included."""
+    parts = [F.struct(F.col(c).cast("string").alias("x")) for c in columns]
+    return F.sha2(F.to_json(F.array(*parts)), 256)
 
 
 def with_mentions(texts: DataFrame, names: list[str], text_column: str, out: str) -> DataFrame:
     """Texts naming at least one entry, with the list of names found, in dictionary order."""
-    text = F.col(text_column)
+    lowered = texts.withColumn("_lowered", F.lower(text_column))
     any_name = reduce(
-        lambda a, b: a | b, [contains_ignoring_case(text, F.lit(n)) for n in names], F.lit(False)
+        lambda a, b: a | b, [F.contains("_lowered", F.lower(F.lit(n))) for n in names], F.lit(False)
     )
-    return texts.filter(any_name).withColumn(out, mentions_list(text, names))
+    tagged = lowered.filter(any_name).withColumn(out, mentions_list(F.col("_lowered"), names))
+    return tagged.drop("_lowered")
 
 
 def extract_mentions(
@@ -151,13 +173,18 @@ def extract_mentions(
     id_column: str = "id",
     text_column: str = "content",
     name_column: str = "product_name",
+    most_inline: int | None = None,
 ) -> DataFrame:
-    """One row per text and distinct name occurring in it. ``id_column`` must identify a text."""
+    """One row per row of ``texts`` and distinct name occurring in it, whatever the size of the
+    dictionary; ids may repeat or be NULL."""
     distinct = names.select(name_column).distinct()
-    inline = inline_names(distinct, name_column)
+    inline = inline_names(distinct, name_column, most_inline)
     if inline is None:
-        return block_mentions(texts, distinct, id_column, text_column, name_column)
-    found = mentions_list(F.col(text_column), inline)
+        keyed = texts.select(id_column, text_column, row_key(id_column, text_column).alias("_key"))
+        found = block_mentions(keyed, distinct, "_key", text_column, name_column)
+        return keyed.select("_key", id_column).join(found, "_key").select(id_column, name_column)
+    lowered = texts.select(id_column, F.lower(text_column).alias("_lowered"))
+    found = mentions_list(F.col("_lowered"), inline)
     # The outer explode and the later filter keep the list from being evaluated twice.
-    rows = texts.select(id_column, F.explode_outer(found).alias(name_column))
+    rows = lowered.select(id_column, F.explode_outer(found).alias(name_column))
     return rows.filter(F.col(name_column).isNotNull())

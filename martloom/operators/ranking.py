@@ -4,72 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is numbered in chunks.
+from martloom.operators.lookup import bounded
+from martloom.session import written
+
+# A key with more rows than this is numbered in ranges of about so many rows.
 HOT_ROWS = 1_000_000
-# At most this many keys, the largest, are treated so; their list is broadcast. Any other key
-# holds less than 1 / MAX_HOT_KEYS of all rows and is numbered the plain way.
-MAX_HOT_KEYS = 10_000
+
+
+def _ranged(df: DataFrame, key: str, order: Sequence[str], ranges: int, name: str) -> DataFrame:
+    """Number the rows of each key range by range.
+
+    The rows are cut into ranges of (key, order), numbered inside each and shifted by the size of the
+    key's earlier ranges. They are stored with their range first, so that both sides of the shift see
+    the same cut.
+    """
+    sorted_by = [F.col(c).asc_nulls_last() for c in (key, *order)]
+    cut = df.repartitionByRange(ranges, *sorted_by).withColumn("_range", F.spark_partition_id())
+    # A struct key compares its NULL fields as equal, so NULL keys need no case of their own.
+    cut = written(cut, "ranges").withColumn("_group", F.struct(F.col(key).alias("k"), "_range"))
+    earlier = (
+        Window.partitionBy("_group.k")
+        .orderBy("_group._range")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        cut.groupBy("_group")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_group", F.sum("_n").over(earlier).alias("_before"))
+    )
+    within = Window.partitionBy("_group").orderBy(*sorted_by[1:])
+    return (
+        cut.withColumn("_in_range", F.row_number().over(within))
+        .join(offsets, "_group")
+        .select(*df.columns, (F.col("_in_range") + F.coalesce("_before", F.lit(0))).alias(name))
+    )
 
 
 def row_numbers(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    chunk: Column,
     keys_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     name: str = "row_number",
 ) -> DataFrame:
     """Number the rows of each key by ``order``, ascending, NULLs last.
 
-    A window on the key alone sorts all rows of a key in one task. Here the rows of a key above
-    ``hot_rows`` are spread over ``chunk`` (an expression that never decreases along ``order``,
-    such as the day): each chunk is numbered on its own and shifted by the size of the key's
-    earlier chunks. Other keys take the plain window. Both go through the same single exchange.
+    A window on the key alone sorts all rows of a key in one task. Keys with more than ``hot_rows``
+    rows, however many there are, are cut into ranges of their order instead; all others take the
+    plain window. Rows that tie in ``order`` stay in one range.
 
-    ``keys_from`` names a cheaper frame with the same key and chunk columns for each row, used to
-    count; it defaults to ``df``.
+    ``keys_from`` names a cheaper frame with the same keys for each row, used to count; it defaults
+    to ``df``.
     """
     counted = df if keys_from is None else keys_from
-    hot = (
-        counted.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_rows"))
-    )
-    is_hot = F.col("_hot_rows") > hot_rows
-
-    def grouped(frame: DataFrame) -> DataFrame:
-        # A struct key compares its NULL fields as equal, so NULL keys and times need no case.
-        tagged = frame.join(F.broadcast(hot), frame[key].eqNullSafe(F.col("_hot_key")), "left")
-        return tagged.withColumn(
-            "_group", F.struct(F.col(key).alias("k"), F.when(is_hot, chunk).alias("c"))
-        )
-
-    earlier = (
-        Window.partitionBy("_group.k")
-        .orderBy(F.col("_group.c").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        grouped(counted)
-        .filter(is_hot)
-        .groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_group", F.sum("_n").over(earlier).alias("_before"))
-    )
-    within = Window.partitionBy("_group").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return (
-        grouped(df)
-        .withColumn("_in_group", F.row_number().over(within))
-        .join(offsets, "_group", "left")
-        .select(
-            *df.columns,
-            (F.col("_in_group") + F.coalesce(F.col("_before"), F.lit(0))).alias(name),
-        )
+    sizes = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = written(sizes.select(F.struct(F.col(key).alias("k")).alias("_hot"), "_rows"), "hot_keys")
+    total = hot.agg(F.sum("_rows")).first()[0]
+    plain = F.row_number().over(
+        Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     )
+    if total is None:
+        return df.withColumn(name, plain)
+    keyed = df.withColumn("_hot", F.struct(F.col(key).alias("k")))
+    keys = bounded(hot.select("_hot"))
+    cool = keyed.join(keys, "_hot", "left_anti").select(*df.columns)
+    warm = keyed.join(keys, "_hot", "left_semi").select(*df.columns)
+    ranges = max(2, -(-total // hot_rows))
+    return cool.withColumn(name, plain).unionByName(_ranged(warm, key, order, ranges, name))

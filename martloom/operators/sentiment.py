@@ -5,29 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.text import normalised_score, score_bin, tokens
+from martloom.functions.text import TOKEN_BREAK, normalised_score, score_bin, tokens
 from martloom.operators.lookup import bounded
-from martloom.operators.mentions import block_mentions, inline_names, with_mentions
+from martloom.operators.mentions import block_mentions, inline_names, row_key, with_mentions
 
 SCORE_PLACES = 6
 
 
 def lexicon_scores(
-    texts: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] = ("id",), text_column: str = "content"
+    texts: DataFrame,
+    lexicon: DataFrame,
+    keep: tuple[str, ...] = ("id",),
+    text_column: str = "content",
+    token_break: str = TOKEN_BREAK,
 ) -> DataFrame:
-    """One row per ``keep`` group with the score of its text in (-1, 1); no hit scores 0.
+    """One row per row of ``texts``: its ``keep`` columns and its score in (-1, 1); no hit scores 0.
 
     Every token is looked up in ``lexicon`` (token, valence) and summed as integer millionths, so
     the result is the same however the work is split. All tokens of a text sit in one task, so
-    the partial sum leaves about one row per text to exchange.
+    the partial sum leaves about one row per text to exchange. Equal rows are summed together and
+    told apart again by their number; rows that only share an id are not.
     """
-    words = texts.select(*keep, F.explode_outer(tokens(F.col(text_column))).alias("token"))
+    words = texts.select(
+        *keep,
+        F.sha2(text_column, 256).alias("_text"),
+        F.posexplode_outer(tokens(F.col(text_column), token_break)).alias("_place", "token"),
+    )
     millionths = F.rint(F.col("valence") * 1_000_000).cast("bigint")
-    entries = lexicon.select("token", millionths.alias("_valence"))
-    total = F.sum(F.coalesce(F.col("_valence"), F.lit(0))).alias("_total")
-    summed = words.join(bounded(entries), "token", "left").groupBy(*keep).agg(total)
-    score = normalised_score(F.col("_total").cast("double") / 1_000_000)
-    return summed.select(*keep, F.round(score, SCORE_PLACES).alias("sentiment_score"))
+    entries = lexicon.groupBy("token").agg(F.sum(millionths).alias("_valence"))
+    summed = (
+        words.join(bounded(entries), "token", "left")
+        .groupBy(*keep, "_text")
+        .agg(
+            F.sum(F.coalesce(F.col("_valence"), F.lit(0))).alias("_total"),
+            F.count_if(F.coalesce(F.col("_place"), F.lit(0)) == 0).alias("_copies"),
+        )
+    )
+    score = normalised_score(F.col("_total") / F.col("_copies") / 1_000_000)
+    scored = summed.select(*keep, F.round(score, SCORE_PLACES).alias("sentiment_score"), "_copies")
+    return scored.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop(
+        "_copy", "_copies"
+    )
 
 
 def mention_stats(scored_mentions: DataFrame) -> DataFrame:
@@ -36,33 +54,47 @@ def mention_stats(scored_mentions: DataFrame) -> DataFrame:
     ``scored_mentions`` has (product_name, sentiment_score, tweeted_at). Every measure merges
     from partial results, so a product in a third of all texts is not a hot task.
     """
+    # Whole millionths, divided once: the bin sees the mean itself, only the column is rounded.
+    millionths = F.rint(F.col("sentiment_score") * 10**SCORE_PLACES).cast("bigint")
     summary = (
         scored_mentions.filter(F.col("product_name").isNotNull())
         .groupBy("product_name")
         .agg(
-            F.round(F.avg("sentiment_score"), SCORE_PLACES).alias("avg_sentiment"),
+            F.sum(millionths).alias("_sum"),
             F.count("sentiment_score").alias("mention_count"),
             F.round(F.stddev_samp("sentiment_score"), SCORE_PLACES).alias("sentiment_std"),
             F.min("tweeted_at").alias("first_mention"),
             F.max("tweeted_at").alias("last_mention"),
         )
     )
-    return summary.withColumn("sentiment_category", score_bin(F.col("avg_sentiment")))
+    mean = F.try_divide(F.col("_sum"), F.col("mention_count") * F.lit(10.0**SCORE_PLACES))
+    return summary.select(
+        "product_name",
+        F.round(mean, SCORE_PLACES).alias("avg_sentiment"),
+        "mention_count",
+        "sentiment_std",
+        "first_mention",
+        "last_mention",
+        score_bin(mean).alias("sentiment_category"),
+    )
 
 
-def scored_mentions(tweets: DataFrame, names: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(id, tweeted_at, product_name, sentiment_score) for every mention. ``names`` holds
-    product_name.
+def scored_mentions(
+    tweets: DataFrame, names: DataFrame, lexicon: DataFrame, most_inline: int | None = None
+) -> DataFrame:
+    """(id, tweeted_at, product_name, sentiment_score) for every row of ``tweets`` and name in it.
+    ``names`` holds product_name; ids may repeat or be NULL.
 
     With a small dictionary each text is read once: found names ride along as a short list while
     its tokens are scored, and texts that mention nothing are not scored at all.
     """
     distinct = names.select("product_name").distinct()
-    inline = inline_names(distinct)
+    inline = inline_names(distinct, most=most_inline)
     if inline is None:
-        mentions = block_mentions(tweets, distinct, "id", "content", "product_name")
-        scores = lexicon_scores(tweets, lexicon, ("id", "tweeted_at"))
-        return mentions.join(scores, "id").select(
+        keyed = tweets.withColumn("_key", row_key("id", "tweeted_at", "content"))
+        mentions = block_mentions(keyed, distinct, "_key", "content", "product_name")
+        scores = lexicon_scores(keyed, lexicon, ("_key", "id", "tweeted_at"))
+        return mentions.join(scores, "_key").select(
             "id", "tweeted_at", "product_name", "sentiment_score"
         )
     tagged = with_mentions(tweets, inline, "content", "mentions")

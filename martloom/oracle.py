@@ -174,21 +174,39 @@ BIN_SQL = """case when {x} > -1 and {x} <= -0.5 then 'Very Negative'
 TEXT_SQL = f"""
 dictionary(product_name) as (values {VALUES["dictionary"]}),
 lexicon(token, valence) as (values {VALUES["lexicon"]}),
+numbered as materialized (
+  select *, row_number() over () as row_no from {{tweets}}),
 mentions as (
-  select t.id, t.tweeted_at, d.product_name
-  from stg_tweets t join dictionary d on contains(lower(t.content), lower(d.product_name))),
+  select t.row_no, t.id, t.tweeted_at, d.product_name
+  from numbered t join dictionary d on contains(lower(t.content), lower(d.product_name))),
 words as (
-  select id, unnest(regexp_split_to_array(lower(content), '[^a-zà-ÿ]+')) as token from stg_tweets),
+  select row_no, unnest(regexp_split_to_array(lower(content), '[^\\p{{{{L}}}}\\p{{{{M}}}}\\p{{{{N}}}}'']+')) as token
+  from numbered),
 scores as (
-  select id, round(total / sqrt(total * total + 15.0), 6) as sentiment_score
-  from (select words.id, coalesce(sum(valence), 0)::double / 1000000 as total
-        from words left join lexicon using (token) group by 1)),
+  select n.row_no, n.id, round(total / sqrt(total * total + 15.0), 6) as sentiment_score
+  from numbered n join (
+    select words.row_no, coalesce(sum(valence), 0)::double / 1000000 as total
+    from words left join lexicon using (token) group by 1) using (row_no)),
+scored_mentions as (
+  select m.id, m.tweeted_at, m.product_name, s.sentiment_score
+  from mentions m join scores s using (row_no)),
+sentiment_means as (
+  select product_name, sum(round(sentiment_score * 1000000)::bigint) / (count(*) * 1000000.0::double) as mean
+  from scored_mentions group by 1),
 product_sentiment as (
-  select product_name, round(avg(sentiment_score), 6) as avg_sentiment,
+  select product_name, round(any_value(mean), 6) as avg_sentiment,
          count(sentiment_score) as mention_count,
          round(stddev_samp(sentiment_score), 6) as sentiment_std,
          min(tweeted_at) as first_mention, max(tweeted_at) as last_mention
-  from mentions join scores using (id) group by 1)"""
+  from scored_mentions join sentiment_means using (product_name) group by 1)"""
+REPEATED_TWEETS = """
+repeated as (
+  select case when id::bigint % 4 <> 0 then (id::bigint % 7)::varchar end as id, user_id, tweeted_at, content
+  from stg_tweets),
+repeated_tweets as (
+  select * from repeated union all select * from repeated where user_id::bigint % 3 = 0)"""
+TEXT_PARTS = TEXT_SQL
+TEXT_SQL = TEXT_PARTS.format(tweets="stg_tweets")
 
 RUNS_SQL = """
 run_models as (
@@ -290,7 +308,8 @@ START, END = w.RANGE
 IN_RANGE = f"event_date between date '{START}' and date '{END}'"
 SENTIMENT_MART = f"""
 sentiment_mart as (
-  select *, {BIN_SQL.format(x="avg_sentiment")} as sentiment_category from product_sentiment)"""
+  select p.*, {BIN_SQL.format(x="mean")} as sentiment_category
+  from product_sentiment p join sentiment_means using (product_name))"""
 SEED_AS_INT = "select id::integer as id, item_id::integer as item_id, event_date from seed_events"
 FULL_MODEL = "select item_id, count(distinct id) as num_orders from seed_events group by 1"
 
@@ -352,11 +371,21 @@ order by total_profit desc nulls last, product_name, product_type limit 10"""
     ),
     "mention_extract": _text("select id, product_name from mentions"),
     "mention_extract_blocks": _text("select id, product_name from mentions"),
-    "mention_large_dictionary": f"""with names as (
-  select distinct unnest(regexp_extract_all(lower(text), '[a-z]{{{w.LONG_WORD},}}')) as product_name
+    "mention_large_dictionary": """with names as (
+  select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as product_name
   from benchmark)
 select product_name, count(*) as mention_count
 from documents join names on contains(lower(text), product_name) group by 1""",
+    **{
+        name: _with(
+            LANDING_SQL,
+            STAGING_SQL,
+            REPEATED_TWEETS,
+            TEXT_PARTS.format(tweets="repeated_tweets"),
+            select="select * from scored_mentions",
+        )
+        for name in ("mention_repeated_ids", "mention_repeated_ids_blocks")
+    },
     "lexicon_score": _text("select id, sentiment_score from scores"),
     "sentiment_bins": _text(
         f"""select id, c as sentiment_category,
@@ -416,8 +445,10 @@ from raw_products""",
         select="""select id::varchar as id, name, opened_at::varchar as opened_at,
        tax_rate::varchar as tax_rate from raw_stores""",
     ),
-    "typed_tweets": """select event_id::varchar as id, user_id::varchar as user_id, ts as tweeted_at,
-       props as content from events""",
+    "typed_tweets": _with(
+        LANDING_SQL,
+        select="select id::varchar as id, user_id::varchar as user_id, tweeted_at, content from raw_tweets",
+    ),
     "seed_load": _with(LANDING_SQL, select=SEED_AS_INT),
     "keyed_load": _with(LANDING_SQL, select="select id::varchar as id, name from raw_customers"),
     "write_replace": _staging("select * from stg_orders"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.money import cents_to_dollars, dollars_to_cents, mean_dollars
+from martloom.operators.lookup import bounded
 from martloom.plans.products import priced_items, product_economics
 
 KINDS = ("food", "drink", "total")
@@ -34,7 +35,7 @@ def order_items(
     stg_supplies: DataFrame,
     literal_macro: bool = False,
 ) -> DataFrame:
-    economics = product_economics(stg_products, stg_supplies, literal_macro)
+    economics = bounded(product_economics(stg_products, stg_supplies, literal_macro))
     priced = priced_items(stg_order_items, economics).join(
         stg_orders.select("order_id", "order_date", "store_id"), "order_id", "left"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.lookup import bounded
 from martloom.operators.ranking import HOT_ROWS, row_numbers
 from martloom.plans.products import priced_items, product_economics
 
@@ -23,7 +24,8 @@ def order_items(
     stg_products: DataFrame,
     stg_supplies: DataFrame,
 ) -> DataFrame:
-    priced = priced_items(stg_order_items, product_economics(stg_products, stg_supplies))
+    economics = bounded(product_economics(stg_products, stg_supplies))
+    priced = priced_items(stg_order_items, economics)
     dates = stg_orders.select("order_id", F.col("order_date").alias("ordered_at"))
     return priced.join(dates, "order_id", "left").select(
         "order_item_id", "order_id", "product_id", "ordered_at", *ITEM_COLUMNS
@@ -60,7 +62,6 @@ def orders(stg_orders: DataFrame, items: DataFrame, hot_rows: int = HOT_ROWS) ->
         totals,
         key="customer_id",
         order=("order_date", "order_id"),
-        chunk=F.col("order_date").cast("date"),
         keys_from=stg_orders,
         hot_rows=hot_rows,
         name="customer_order_number",

@@ -16,7 +16,6 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-DEFAULT_PARTITIONS = "200"
 PARTITIONS_PER_CORE = 4
 
 
@@ -27,12 +26,16 @@ def configure(spark: SparkSession) -> SparkSession:
         if key not in explicit:
             spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    chosen = spark.conf.get("spark.sql.shuffle.partitions") != DEFAULT_PARTITIONS
-    if not chosen and initial not in explicit:
+    partitions = "spark.sql.shuffle.partitions"
+    if partitions not in explicit and initial not in explicit:
         # Start each exchange with a few partitions per core: on a large cluster the fixed
         # default leaves partitions that no task can hold, and adaptive execution can merge
-        # small partitions but not split large ones of an aggregate.
-        spark.conf.set(initial, str(PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
+        # small partitions but not split large ones of an aggregate. Never fewer than configured:
+        # under dynamic allocation few cores are there at the start.
+        per_core = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        configured = int(spark.conf.get(partitions))
+        if per_core > configured:
+            spark.conf.set(initial, str(per_core))
     return spark
 
 

@@ -41,8 +41,12 @@ def csv_scan(
     )
 
 
-def csv_all_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Header CSV with every column as text."""
+def csv_all_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV with every column as text.
+
+    Without types, a record cut at a quoted line break cannot be told from a short one, so quoted
+    line breaks are read as text unless the caller rules them out.
+    """
     return spark.read.options(**CSV_FORMAT).option("multiLine", multi_line).csv(path)
 
 
@@ -71,9 +75,9 @@ def keyed(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
-def seed(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+def seed(spark: SparkSession, spec: TableSpec, path: str, multi_line: bool = False) -> DataFrame:
     """Strict CSV load of a seed with its key proven."""
-    return keyed(csv_scan(spark, spec, path), spec)
+    return keyed(csv_scan(spark, spec, path, multi_line=multi_line), spec)
 
 
 # Text exports keep microseconds, which the writers' default format cuts to milliseconds.

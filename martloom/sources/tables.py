@@ -43,12 +43,18 @@ def write_truncate_load(df: DataFrame, name: str) -> None:
     if not spark.catalog.tableExists(name):
         df.write.saveAsTable(name)
         return
+    # An overwrite replaces all partitions or single ones, as table and session say; a truncate
+    # leaves none.
+    spark.sql("TRUNCATE TABLE IDENTIFIER(:t)", args={"t": name})
     df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
 
 
-def keyed_load(spark: SparkSession, spec: TableSpec, path_glob: str, name: str) -> None:
+def keyed_load(
+    spark: SparkSession, spec: TableSpec, path_glob: str, name: str, multi_line: bool = False
+) -> None:
     """Full refresh of a table from the CSV files of a glob, after its key is proven."""
-    write_truncate_load(keyed(csv_scan(spark, spec, path_glob), spec), name)
+    rows = csv_scan(spark, spec, path_glob, multi_line=multi_line)
+    write_truncate_load(keyed(rows, spec), name)
 
 
 def materialise(df: DataFrame, name: str, kind: str, schema: str | None = None) -> DataFrame:

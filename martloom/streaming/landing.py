@@ -18,8 +18,9 @@ def drain_landing(
 ) -> None:
     """Process every file not seen before, then stop.
 
-    Each batch only tells which days changed; those days are rebuilt from the whole landing
-    folder, so late files and a replayed batch give the same table.
+    Each batch only tells which days changed; those days are rebuilt from the landing folder, so
+    late files and a replayed batch give the same table. The changed days reach the scan as
+    literals: partitions or row groups without them are not read.
     """
 
     def rebuild(batch: DataFrame, _epoch: int) -> None:

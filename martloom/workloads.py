@@ -12,6 +12,7 @@ from martloom.functions.money import cents_to_dollars
 from martloom.functions.names import quoted_parts, utc_to_epoch_ms
 from martloom.functions.text import bin_rank, score_bin
 from martloom.operators import catalogue, freshness, incremental, mentions, quality, sentiment
+from martloom.operators.lookup import bounded
 from martloom.operators.quality import Rule
 from martloom.plans import marts_v1, marts_v2, reports, staging
 from martloom.plans.products import (
@@ -39,9 +40,6 @@ LEXICON = (
     ("thor", 1.1),
     ("erin", -1.7),
 )
-# Words of at least this many letters in the benchmark texts make the large dictionary.
-LONG_WORD = 9
-
 PRODUCT_TYPES = ("ECONOMY", "STANDARD", "MEDIUM", "SMALL", "PROMO", "LARGE")
 RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 14))
 AS_OF = "2024-01-31 00:04:00"
@@ -114,7 +112,7 @@ class Models:
         return product_economics(self.products(), self.supplies(), literal_macro)
 
     def priced(self, literal_macro: bool = False) -> DataFrame:
-        return priced_items(self.items(), self.economics(literal_macro))
+        return priced_items(self.items(), bounded(self.economics(literal_macro)))
 
     def v1_order_items(self, literal_macro: bool = False) -> DataFrame:
         return marts_v1.order_items(
@@ -136,8 +134,8 @@ class Models:
     def lexicon(self) -> DataFrame:
         return self.spark.createDataFrame(list(LEXICON), "token STRING, valence DOUBLE")
 
-    def long_words(self) -> DataFrame:
-        words = F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z]{{{LONG_WORD},}}"), F.lit(0))
+    def benchmark_words(self) -> DataFrame:
+        words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
         return (
             self.star.table("benchmark").select(F.explode(words).alias("product_name")).distinct()
         )
@@ -182,6 +180,21 @@ def _mention_scores(m: Models) -> DataFrame:
     return sentiment.scored_mentions(m.tweets(), m.dictionary(), m.lexicon())
 
 
+def _repeated_tweets(m: Models) -> DataFrame:
+    """Tweets whose ids repeat or are missing, a third of them twice."""
+    number = F.col("id").cast("bigint")
+    tweets = m.tweets().withColumn("id", F.when(number % 4 != 0, (number % 7).cast("string")))
+    return tweets.unionByName(tweets.filter(F.col("user_id").cast("bigint") % 3 == 0))
+
+
+def _repeated_sentiment(most_inline: int) -> Query:
+    return _models(
+        lambda m: sentiment.scored_mentions(
+            _repeated_tweets(m), m.dictionary(), m.lexicon(), most_inline
+        )
+    )
+
+
 def _sentiment_bins(m: Models) -> DataFrame:
     scores = sentiment.lexicon_scores(m.tweets(), m.lexicon())
     label = score_bin(F.col("sentiment_score"))
@@ -193,7 +206,7 @@ def _sentiment_bins(m: Models) -> DataFrame:
 
 
 def _mention_large(m: Models) -> DataFrame:
-    names = m.long_words()
+    names = m.benchmark_words()
     texts = m.star.documents().select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     found = mentions.block_mentions(texts, names, "id", "content", "product_name")
     return found.groupBy("product_name").agg(F.count(F.lit(1)).alias("mention_count"))
@@ -359,13 +372,8 @@ def _as_csv(df: DataFrame, name: str) -> str:
 
 
 def _typed_tweets(m: Models) -> DataFrame:
-    raw = m.star.table("events").select(
-        F.col("event_id").alias("id"),
-        "user_id",
-        F.col("ts").alias("tweeted_at"),
-        F.col("props").alias("content"),
-    )
-    return files.typed_tweets(files.csv_all_text(m.spark, _as_csv(raw, "tweets")))
+    """Tweets through text files and back, line breaks included."""
+    return files.typed_tweets(files.csv_all_text(m.spark, _as_csv(m.raw("raw_tweets"), "tweets")))
 
 
 def _write_replace(m: Models) -> DataFrame:
@@ -462,6 +470,9 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "mention_large_dictionary": _models(_mention_large),
+    # Ids that repeat or are missing, by either way of matching.
+    "mention_repeated_ids": _repeated_sentiment(64),
+    "mention_repeated_ids_blocks": _repeated_sentiment(0),
     "lexicon_score": _models(lambda m: sentiment.lexicon_scores(m.tweets(), m.lexicon())),
     "sentiment_bins": _models(_sentiment_bins),
     "mention_stats": _models(

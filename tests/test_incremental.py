@@ -164,3 +164,22 @@ def test_freshness(spark):
     passed = {r.dataset: r.passed for r in rows}
     assert passed == {name: name == "orders" for name in freshness.MARTS}
     assert {r.dataset: r.lag_seconds for r in rows}["customers"] == 181
+
+
+def test_a_listed_day_without_rows_is_emptied(spark):
+    rows = [(1, 1, dt.date(2024, 1, 1)), (2, 1, dt.date(2024, 1, 2)), (3, 1, None)]
+    df = spark.createDataFrame(rows, "id INT, item_id INT, event_date DATE")
+    name = "default.emptied_days"
+    incremental.create_day_table(df, name)
+    days = spark.createDataFrame([(dt.date(2024, 1, 2),), (dt.date(2024, 1, 9),), (None,)], "event_date DATE")
+    incremental.rebuild_days(df.filter("id <> 2"), days, name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 3]
+    # A partition of rows without a day does not get in the way of a range.
+    incremental.rebuild_range(df.filter("id = 2"), name, dt.date(2024, 1, 1), dt.date(2024, 1, 5))
+    assert sorted(r.id for r in spark.table(name).collect()) == [2, 3]
+
+
+def test_a_start_after_the_end_is_no_day(spark):
+    models = [("late", dt.date(2024, 2, 1), dt.date(2024, 1, 1)), ("due", dt.date(2024, 1, 1), dt.date(2024, 1, 1))]
+    frame = spark.createDataFrame(models, "model STRING, start_day DATE, end_day DATE")
+    assert [r.model for r in incremental.expected_days(frame).collect()] == ["due"]

@@ -4,13 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators import ranking
 from martloom.operators.ranking import row_numbers
 
 
-@pytest.mark.parametrize("hot_rows, max_keys", [(3, 100), (3, 2), (50, 100), (10**6, 100)])
-def test_same_numbers_whatever_is_hot(spark, monkeypatch, hot_rows, max_keys):
-    monkeypatch.setattr(ranking, "MAX_HOT_KEYS", max_keys)
+@pytest.mark.parametrize("hot_rows", [3, 50, 10**6])
+def test_same_numbers_whatever_is_hot(spark, hot_rows):
     rnd = random.Random(7)
     rows = []
     for i in range(600):
@@ -18,7 +16,7 @@ def test_same_numbers_whatever_is_hot(spark, monkeypatch, hot_rows, max_keys):
         at = rnd.choice([None, dt.datetime(2024, 1, rnd.randint(1, 5), rnd.randint(0, 1))])
         rows.append((key, at, i))
     df = spark.createDataFrame(rows, "k STRING, t TIMESTAMP_NTZ, id INT")
-    out = row_numbers(df, "k", ("t", "id"), F.col("t").cast("date"), hot_rows=hot_rows)
+    out = row_numbers(df, "k", ("t", "id"), hot_rows=hot_rows)
     expected = {}
     for key in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == key]
@@ -26,3 +24,14 @@ def test_same_numbers_whatever_is_hot(spark, monkeypatch, hot_rows, max_keys):
         expected.update({r[2]: n for n, r in enumerate(mine, 1)})
     assert {r.id: r.row_number for r in out.collect()} == expected
     assert out.columns == ["k", "t", "id", "row_number"]
+
+
+def test_one_hot_day_is_spread(spark):
+    """All rows of a key on one day are numbered in several partitions."""
+    df = spark.range(20_000).select(
+        F.lit("big").alias("k"), F.lit(dt.datetime(2024, 1, 1)).alias("t"), F.col("id").alias("id")
+    )
+    out = row_numbers(df, "k", ("t", "id"), hot_rows=2_000)
+    assert out.filter("row_number <> id + 1").isEmpty() and out.count() == 20_000
+    stored = [f for f in out.inputFiles() if "ranges" in f]
+    assert len(stored) >= 5

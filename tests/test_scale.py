@@ -80,3 +80,24 @@ def test_a_third_of_all_items_in_one_order_and_product(spark):
     assert row.total_items_count == row.food_items_count == n // 3
     assert row.total_profit == 150 * (n // 3)
     assert summary.count() == 1 + n - n // 3
+
+
+def test_items_are_not_exchanged_for_their_product(spark, capsys):
+    """Economics within the bound: the item table meets them without an exchange on the product."""
+    from martloom.workloads import QUERIES
+
+    for name in ("v1_orders", "v2_orders", "v1_order_items"):
+        text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"), capsys)
+        merged = [line for line in text.splitlines() if "SortMergeJoin [product_id" in line]
+        # Products and supply costs meet so; items are the left side of an outer join.
+        assert all(line.rstrip().endswith("FullOuter") for line in merged)
+        assert "BroadcastHashJoin [product_id" in text
+
+
+def test_partitions_are_never_lowered(spark):
+    from martloom.session import configure
+
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configure(spark)
+    found = spark.conf.get(initial, None)
+    assert found is None or int(found) >= int(spark.conf.get("spark.sql.shuffle.partitions"))

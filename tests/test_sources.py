@@ -144,3 +144,18 @@ def test_materialise_and_flush(spark):
     assert spark.table("flushme.ids").count() == 0 and spark.table("flushme.ids2").count() == 0
     tables.ensure_schema(spark, "void")
     assert tables.flush_schema(spark, "void") == []
+
+
+def test_truncate_load_leaves_no_partition(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, day STRING")
+    df.write.option("partitionOverwriteMode", "dynamic").partitionBy("day").saveAsTable("default.by_day")
+    tables.write_truncate_load(df.filter("id = 2"), "default.by_day")
+    assert [r.id for r in spark.table("default.by_day").collect()] == [2]
+
+
+def test_line_breaks_in_texts(spark, tmp_path):
+    rows = [("1", "first\nsecond, \"quoted\"\r\nthird"), ("2", "plain")]
+    df = spark.createDataFrame(rows, "id STRING, content STRING")
+    files.export_csv(df, str(tmp_path / "texts"))
+    back = files.csv_all_text(spark, str(tmp_path / "texts"))
+    assert sorted(map(tuple, back.collect())) == rows

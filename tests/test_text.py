@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators import lookup, mentions, sentiment
 from martloom.plans.staging import stg_tweets
@@ -109,3 +110,41 @@ def test_bad_tweet_times(spark):
     assert kept.schema["tweeted_at"].dataType == LANDING["raw_tweets"].schema["tweeted_at"].dataType
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         stg_tweets(raw).collect()
+
+
+def test_rows_that_share_an_id_stay_apart(spark, lexicon):
+    rows = [("7", "soup good good"), ("7", "soup bad"), (None, "the Soup"), (None, "the Soup"), ("8", "x")]
+    tweets = spark.createDataFrame(rows, "id STRING, content STRING").withColumn(
+        "tweeted_at", F.lit("2024-01-01").cast("timestamp_ntz")
+    )
+    names = spark.createDataFrame([("soup",)], "product_name STRING")
+    both = [
+        sorted((r.id or "", r.sentiment_score) for r in sentiment.scored_mentions(tweets, names, lexicon, most).collect())
+        for most in (64, 0)
+    ]
+    assert both[0] == both[1] and [k for k, _ in both[0]] == ["", "", "7", "7"]
+    found = [mentions.extract_mentions(tweets, names, most_inline=most).count() for most in (64, 0)]
+    assert found == [4, 4]
+
+
+def test_tokens_of_any_script(spark):
+    rows = [(1, "It can't be große Щука, can't")]
+    df = spark.createDataFrame(rows, "id INT, content STRING")
+    words = spark.createDataFrame([("can't", -1.0), ("große", 4.0), ("щука", 2.0)], "token STRING, valence DOUBLE")
+    score = sentiment.lexicon_scores(df, words).first().sentiment_score
+    assert score == pytest.approx(4 / math.sqrt(16 + 15), abs=1e-6)
+
+
+def test_the_bin_is_that_of_the_mean_itself(spark):
+    rows = [("p", s, None) for s in (-0.499999, -0.5, -0.5)]
+    df = spark.createDataFrame(rows, "product_name STRING, sentiment_score DOUBLE, tweeted_at TIMESTAMP_NTZ")
+    row = sentiment.mention_stats(df).first()
+    assert row.avg_sentiment == -0.5 and row.sentiment_category == "Negative"
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "ab " * 2_000_000 + "the very long pepper sauce"), (2, "sauce")]
+    df = spark.createDataFrame(rows, "id INT, content STRING")
+    names = spark.createDataFrame([("pepper sauce",), ("b a",), ("zz",)], "product_name STRING")
+    found = mentions.block_mentions(df, names, "id", "content", "product_name").collect()
+    assert sorted(map(tuple, found)) == [(1, "b a"), (1, "pepper sauce")]

@@ -17,8 +17,8 @@ join works down from large regions to small ones:
    two radii further from that pivot than from its own home. Members inside that window are copied
    to the region; there they are compared with its core only.
 4. Pivots leave with all their links found. Members in one component need not be compared, so a
-   region of thousands of near copies is done once its pivots have tied them together. The cores
-   shrink every round; a region of a few core members (``LEAF``) is joined directly.
+   region of thousands of near copies is done once its pivots have tied them together. Each level
+   elects more pivots, and a region with few core members for its level is joined directly.
 
 Every link is decided by the exact shingle sets. Work per document depends on its regions, not on
 the size of its group: copies in one component are never paired with each other.
@@ -41,10 +41,13 @@ from martloom.session import written
 PERCENT = 75
 SKETCH = 48
 SHARED = 10
+# At first; each level elects this many times more, so that few levels exhaust a region whose
+# members neither link nor lie apart.
 PIVOTS = 8
-# Core members of a region that is joined directly: at first, and once pivots have tied copies
-# together.
-LEAF = (8, 64)
+MORE = 4
+# Core members of a region that is joined directly: at first, and later per pivot of the level.
+LEAF = 8
+LEAF_PER_PIVOT = 2
 # Members compared with one copy of a pivot's set in one run.
 RUN = 256
 
@@ -203,6 +206,8 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], "node BIGINT, component BIGINT")
     level = 0
     while True:
+        wanted = PIVOTS * MORE**level
+        leaf_size = LEAF_PER_PIVOT * wanted if level else LEAF
         label = F.coalesce("component", "node").alias("label")
         members = regions.join(found, "node", "left").select("region", "node", "core", label)
         mixed = (
@@ -213,7 +218,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 F.count_if("core").alias("cores"),
             )
             .filter("lo < hi and cores > 0")
-            .select("region", (F.col("cores") <= LEAF[level > 0]).alias("leaf"))
+            .select("region", (F.col("cores") <= leaf_size).alias("leaf"))
         )
         members = written(members.join(mixed, "region"), "members")
         if members.isEmpty():
@@ -227,7 +232,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), "b")
         )
         large = members.filter("not leaf")
-        pivots = written(_elected(large, F.xxhash64("node", F.lit(level))), "pivots")
+        pivots = written(_elected(large, F.xxhash64("node", F.lit(level)), wanted), "pivots")
         to_pivots = (
             large.join(pivots, "region")
             .filter("node <> pivot")
@@ -242,12 +247,12 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         level += 1
 
 
-def _elected(members: DataFrame, rank: F.Column) -> DataFrame:
-    """``region`` and ``pivot``: of each region the core members of least rank, one for each bin of
-    the rank, so that electing is a plain aggregate."""
+def _elected(members: DataFrame, rank: F.Column, wanted: int) -> DataFrame:
+    """``region`` and ``pivot``: of each region about ``wanted`` core members, those of least rank in
+    each bin of the rank, so that electing is a plain aggregate."""
     return (
         members.filter("core")
-        .groupBy("region", F.pmod(rank, F.lit(PIVOTS)).alias("bin"))
+        .groupBy("region", F.pmod(rank, F.lit(wanted)).alias("bin"))
         .agg(F.min_by("node", rank).alias("pivot"))
         .select("region", "pivot")
     )

@@ -76,8 +76,10 @@ def test_families_of_near_copies(spark, seed, rate):
 
 def test_regions_recurse(spark, monkeypatch):
     """With leaves of one document every link has to come through pivots and their windows."""
-    monkeypatch.setattr(jaccard, "LEAF", (1, 1))
+    monkeypatch.setattr(jaccard, "LEAF", 1)
+    monkeypatch.setattr(jaccard, "LEAF_PER_PIVOT", 0)
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "MORE", 1)
     monkeypatch.setattr(jaccard, "RUN", 3)
     rows = corpus(4, families=2, copies=14, rate=0.03)
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")

@@ -136,7 +136,7 @@ def mart_rules(product_types: Sequence[str]) -> list[Rule]:
     ]
 
 
-# Columns each landing suite requires; every one is also checked for NULLs, unless named below.
+# Columns each landing suite requires; every one is also checked for NULLs, unless named below.
 LANDING_REQUIRED = {
     "raw_items": ("id", "sku", "order_id"),
     "raw_orders": ("id", "customer", "ordered_at"),
@@ -150,11 +150,13 @@ NULLS_ALLOWED = {("raw_supplies", "perishable")}
 
 
 def landing_rules() -> list[Rule]:
-    """Blocking suites on the landing tables; here repeated NULL keys count as duplicates."""
+    """Blocking suites on the landing tables; here repeated NULL keys count as duplicates and NaN
+    as missing."""
     rules = []
     for table, columns in LANDING_REQUIRED.items():
         rules += [Rule.required_columns(table, *columns), Rule.row_count(table)]
-        rules += _not_null(table, *[c for c in columns if (table, c) not in NULLS_ALLOWED])
+        checked = [c for c in columns if (table, c) not in NULLS_ALLOWED]
+        rules += [Rule.not_null(table, c, nan_is_null=True) for c in checked]
         if table != "raw_supplies":
             rules.append(Rule.unique(table, LANDING[table].key[0], nulls_fail=True))
     return rules
@@ -172,8 +174,8 @@ def sentiment_rules(strict_null: bool = False, table: str = "product_sentiment")
         ),
         Rule.not_null(table, "product_name"),
         Rule.unique(table, "product_name", nulls_fail=True),
-        Rule.accepted_range(table, "avg_sentiment", -1, 1, nulls_fail=True),
+        Rule.accepted_range(table, "avg_sentiment", -1, 1, nulls_fail=True, nan_is_null=True),
         Rule.accepted_range(table, "mention_count", 1, nulls_fail=True),
-        Rule.accepted_range(table, "sentiment_std", 0, nulls_fail=strict_null),
+        Rule.accepted_range(table, "sentiment_std", 0, nulls_fail=strict_null, nan_is_null=True),
         Rule.accepted_values(table, "sentiment_category", BIN_LABELS, nulls_fail=True),
     ]

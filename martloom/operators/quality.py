@@ -25,13 +25,15 @@ ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "row_count")
 
 @dataclass(frozen=True)
 class Rule:
-    """One check on one table. ``nulls_fail`` tells whether a NULL breaks the rule."""
+    """One check on one table. ``nulls_fail`` tells whether a NULL breaks the rule, and
+    ``nan_is_null`` whether NaN counts as one."""
 
     table: str
     kind: str
     columns: tuple[str, ...] = ()
     severity: str = "error"
     nulls_fail: bool = False
+    nan_is_null: bool = False
     values: tuple = ()
     low: float | None = None
     high: float | None = None
@@ -94,13 +96,17 @@ def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def violation(rule: Rule) -> str:
-    """SQL condition, true on the rows that break a row rule and never NULL."""
+def violation(rule: Rule, kind: str = "") -> str:
+    """SQL condition, true on the rows that break a row rule and never NULL. ``kind`` is the
+    column's type, where it matters."""
     c = _name(rule.columns[0])
+    if rule.nan_is_null and kind in ("float", "double"):
+        c = f"nanvl({c}, NULL)"
     if rule.kind == "not_null":
         return f"{c} IS NULL"
     if rule.kind == "accepted_values":
-        bad = f"{c} NOT IN ({', '.join(map(_literal, rule.values))})"
+        listed = ", ".join(map(_literal, rule.values))
+        bad = f"{c} NOT IN ({listed})" if listed else f"{c} IS NOT NULL"
     elif rule.kind == "accepted_range":
         bounds = [
             f"{c} {op} {_literal(bound)}"
@@ -130,11 +136,12 @@ def _result_rows(totals: DataFrame, results: Sequence[str]) -> DataFrame:
 def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     counts = ["count(1) AS n"]
     results = []
+    types = dict(df.dtypes)
     for i, rule in enumerate(rules):
         if rule.kind == "row_count":
             results.append(_result(rule, "n", "int(n = 0)"))
         else:
-            counts.append(f"count_if({violation(rule)}) AS f{i}")
+            counts.append(f"count_if({violation(rule, types[rule.columns[0]])}) AS f{i}")
             results.append(_result(rule, "n", f"f{i}"))
     return _result_rows(df.selectExpr(*counts), results)
 
@@ -226,7 +233,7 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
             lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in rule.columns]
         )
         return df.join(repeated, same, "left_semi")
-    return df.filter(violation(rule))
+    return df.filter(violation(rule, dict(df.dtypes).get(rule.label, "")))
 
 
 def verdict(results: DataFrame) -> DataFrame:

@@ -233,6 +233,19 @@ def _v2_query(select: str) -> str:
     return _with(LANDING_SQL, STAGING_SQL, V2_SQL, select=select)
 
 
+def _freshness(policies: str, dataset: str) -> str:
+    return f"""with policies(dataset, max_lag_seconds, severity, every) as (values {policies}),
+last as (select {dataset} as dataset, max(ts) as last_update from events group by 1),
+lags as (
+  select p.*, l.last_update,
+         trunc((coalesce(as_of - as_of % (every::bigint * 1000000), as_of) - epoch_us(l.last_update))
+               / 1000000)::bigint as lag_seconds
+  from (select *, epoch_us(timestamp '{w.AS_OF}') as as_of from policies) p left join last l using (dataset))
+select dataset, last_update, lag_seconds, max_lag_seconds, severity,
+       coalesce(lag_seconds <= max_lag_seconds, false) as passed
+from lags"""
+
+
 def _text(select: str) -> str:
     return _with(LANDING_SQL, STAGING_SQL, TEXT_SQL, select=select)
 
@@ -423,16 +436,16 @@ from run_models left join runs using (model) group by model""",
         select="""select model, array_to_string(regexp_extract_all(model, '"([^"]+)"', 1), '|') as parts
 from run_models""",
     ),
-    "freshness": f"""with policies(dataset, max_lag_seconds, severity, every) as (values {VALUES["policies"]}),
-last as (select event_type as dataset, max(ts) as last_update from events group by 1),
-lags as (
-  select p.*, l.last_update,
-         trunc((coalesce(as_of - as_of % (every::bigint * 1000000), as_of) - epoch_us(l.last_update))
-               / 1000000)::bigint as lag_seconds
-  from (select *, epoch_us(timestamp '{w.AS_OF}') as as_of from policies) p left join last l using (dataset))
-select dataset, last_update, lag_seconds, max_lag_seconds, severity,
-       coalesce(lag_seconds <= max_lag_seconds, false) as passed
-from lags""",
+    "freshness": _freshness(VALUES["policies"], "event_type"),
+    # Written out, not taken from the library: the declared policies.
+    "freshness_policies": _freshness(
+        """('customers', 3600, 'error', null), ('orders', 3600, 'error', null),
+  ('stg_orders', 7200, 'error', null), ('stg_stores', 7200, 'error', null),
+  ('stg_products', 7200, 'error', null), ('stg_supplies', 7200, 'error', null),
+  ('tweets', 60, 'warn', 300)""",
+        """case event_type when 'click' then 'customers' when 'error' then 'orders'
+  when 'purchase' then 'stg_orders' when 'signup' then 'stg_products' when 'view' then 'tweets' end""",
+    ),
     "catch_up": _with(LANDING_SQL, select=f"select * from seed_events where {IN_RANGE}"),
     "streamed_landing": _with(LANDING_SQL, select=SEED_AS_INT),
     "csv_scan": _with(

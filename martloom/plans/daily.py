@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from martloom.operators.catalogue import landing_rules, mart_rules, sentiment_rules, staging_rules
 from martloom.operators.freshness import POLICY_DDL, freshness, mart_policies
-from martloom.operators.incremental import log_runs
+from martloom.operators.contract import enforce_contract
+from martloom.operators.incremental import create_day_table, log_runs, orders_per_item, rebuild_days
 from martloom.operators.lookup import bounded
-from martloom.operators.quality import evaluate, gate
+from martloom.operators.quality import QualityError, Rule, audit, audit_passes, evaluate, gate
 from martloom.operators.sentiment import product_sentiment
-from martloom.plans import marts_v1, staging
+from martloom.plans import marts_v1, marts_v2, staging
 from martloom.plans.products import priced_items, product_economics
-from martloom.sources.tables import materialise, qualify
+from martloom.schemas import LANDING
+from martloom.sources.tables import ensure_schema, materialise, qualify
+
 
 def staged(
     landing: Mapping[str, DataFrame], food_types: Sequence[str], drink_types: Sequence[str]
@@ -44,10 +47,12 @@ def build_marts(
     """Check the landing tables, then store every dollar mart and the sentiment mart.
 
     The marts' updates go to ``schema.run_log`` under ``finished_at`` (default: now, UTC). Raises
-    QualityError before anything is written when a landing check fails, and before the next layer
-    when a staging or mart rule does.
+    QualityError before anything is written when a landing check fails, ContractError when the
+    tweets break their contract, and QualityError before the next layer when a staging or mart
+    rule does.
     """
     gate(evaluate(landing, landing_rules()))
+    enforce_contract(landing["raw_tweets"], LANDING["raw_tweets"])
     stg = staged(landing, food_types, drink_types)
     for name, df in stg.items():
         materialise(df, name, "view")
@@ -81,6 +86,55 @@ def build_marts(
     return marts
 
 
+def build_cent_marts(
+    stg: Mapping[str, DataFrame], seed: DataFrame, schema: str = "main", finished_at: datetime | None = None
+) -> dict[str, DataFrame]:
+    """Store the marts in cents, the day-partitioned seed and the orders per item, checked.
+
+    ``stg`` holds the staging frames, ``seed`` the dated rows (id, item_id, event_date). Raises
+    QualityError before anything is stored when a staged key is broken, and when an item id of the
+    seed is negative. The updates go to ``schema.run_log``.
+    """
+    spark = seed.sparkSession
+    keys = {"stg_orders": "order_id", "stg_order_items": "order_item_id", "stg_customers": "customer_id"}
+    rules = [r for t, c in keys.items() for r in (Rule.unique(t, c), Rule.not_null(t, c))]
+    gate(evaluate(stg, rules))
+    if not audit_passes(seed, F.col("item_id") < 0):
+        raise QualityError(audit("positive_item_ids", seed, F.col("item_id") < 0).select(
+            F.lit("full_model").alias("table_name"), F.lit("item_id").alias("column_name"),
+            F.col("audit").alias("rule"), "n_failed",
+        ).collect())
+    ensure_schema(spark, schema)
+    economics = materialise(
+        product_economics(stg["stg_products"], stg["stg_supplies"]), "cent_economics", "table", schema
+    )
+    priced = priced_items(stg["stg_order_items"], bounded(economics))
+    dates = stg["stg_orders"].select("order_id", F.col("order_date").alias("ordered_at"))
+    items = priced.join(dates, "order_id", "left").select(
+        "order_item_id", "order_id", "product_id", "ordered_at", *marts_v2.ITEM_COLUMNS
+    )
+    marts = {"cent_order_items": materialise(items, "cent_order_items", "table", schema)}
+    orders = marts_v2.orders(stg["stg_orders"], marts["cent_order_items"])
+    marts["cent_orders"] = materialise(orders, "cent_orders", "table", schema)
+    customers = marts_v2.customers(stg["stg_customers"], stg["stg_orders"])
+    marts["cent_customers"] = materialise(customers, "cent_customers", "table", schema)
+    name = qualify("incremental_model", schema)
+    if not spark.catalog.tableExists(name):
+        create_day_table(seed, name)
+    else:
+        rebuild_days(seed, seed.select("event_date"), name)
+    marts["incremental_model"] = spark.table(name)
+    full = orders_per_item(marts["incremental_model"])
+    marts["full_model"] = materialise(full, "full_model", "table", schema)
+    done = finished_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    log_runs(
+        spark,
+        qualify("run_log", schema),
+        [(name, done.date(), done.date() + timedelta(days=1), done) for name in marts],
+    )
+    return marts
+
+
 def mart_freshness(spark: SparkSession, as_of: datetime, schema: str = "main") -> DataFrame:
     """How stale each stored mart is at ``as_of``, judged from the run log."""
     log = spark.table(qualify("run_log", schema)).select(F.col("model").alias("dataset"), "finished_at")

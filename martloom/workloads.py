@@ -54,11 +54,22 @@ POLICIES = (
 )
 
 
+# The dataset whose run each kind of event stands for.
+RUN_OF = {
+    "click": "customers",
+    "error": "orders",
+    "purchase": "stg_orders",
+    "signup": "stg_products",
+    "view": "tweets",
+}
+
+
 class Models:
     """Lazy frames of one folder, named as the marts know them.
 
-    ``stored`` writes the landing tables that need a join to the shared folder once, for queries
-    that read them many times.
+    ``stored`` writes the landing tables that need a join to the shared folder once, for checks
+    that read them many times. Of texts the checks only ask whether they are there, so no text is
+    copied.
     """
 
     JOINED = ("raw_orders", "raw_supplies", "raw_tweets")
@@ -66,9 +77,13 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str, stored: bool = False):
         self.spark = spark
         self.star = Star(spark, folder)
-        self._written = {
-            name: written(getattr(self.star, name)(), name) for name in self.JOINED if stored
-        }
+        self._written = {name: written(self._checked(name), name) for name in self.JOINED if stored}
+
+    def _checked(self, name: str) -> DataFrame:
+        df = getattr(self.star, name)()
+        if name != "raw_tweets":
+            return df
+        return df.withColumn("content", F.when(F.col("content").isNotNull(), F.lit("")))
 
     def raw(self, name: str) -> DataFrame:
         return self._written[name] if name in self._written else getattr(self.star, name)()
@@ -225,6 +240,14 @@ def _missing_intervals(m: Models) -> DataFrame:
     return incremental.missing_intervals(models, log)
 
 
+def _freshness_policies(m: Models) -> DataFrame:
+    """The declared policies against a run log in which five of the datasets have runs."""
+    dataset = F.element_at(F.create_map(*(F.lit(x) for kv in RUN_OF.items() for x in kv)), F.col("event_type"))
+    log = m.star.table("events").select(dataset.alias("dataset"), F.col("ts").alias("finished_at"))
+    policies = m.spark.createDataFrame(list(freshness.DATASET_POLICIES), freshness.POLICY_DDL)
+    return freshness.freshness(log, policies, F.lit(AS_OF).cast("timestamp_ntz"))
+
+
 def _freshness(m: Models) -> DataFrame:
     log = m.star.table("events").select(
         F.col("event_type").alias("dataset"), F.col("ts").alias("finished_at")
@@ -492,6 +515,7 @@ QUERIES: dict[str, Query] = {
     ),
     "parse_model_name": _models(_parse_model_name),
     "freshness": _models(_freshness),
+    "freshness_policies": _models(_freshness_policies),
     "catch_up": _models(_catch_up),
     "streamed_landing": _models(_streamed),
     # Scans, tables and exports, each written to the shared folder and read back

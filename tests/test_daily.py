@@ -46,3 +46,19 @@ def test_blocked_by_staging_rules(spark, landing, lexicon):
     with pytest.raises(QualityError, match="stg_products.product_type accepted_values"):
         build_marts(clean(landing), lexicon, ("food",), schema="blocked")
     assert not spark.catalog.databaseExists("blocked")
+
+
+def test_cent_marts(spark, stg):
+    from martloom.plans.daily import build_cent_marts
+
+    rows = [(1, 2, dt.date(2024, 1, 1)), (2, 2, dt.date(2024, 1, 2)), (3, 5, dt.date(2024, 1, 2))]
+    seed = spark.createDataFrame(rows, "id INT, item_id INT, event_date DATE")
+    for _ in range(2):
+        marts = build_cent_marts(stg, seed, "cents")
+    assert marts["cent_orders"].count() == 4 and marts["cent_customers"].count() == 3
+    assert {r.item_id: r.num_orders for r in spark.table("cents.full_model").collect()} == {2: 2, 5: 1}
+    assert spark.table("cents.run_log").count() == 10
+    bad = seed.selectExpr("id", "-item_id AS item_id", "event_date")
+    with pytest.raises(QualityError, match="positive_item_ids"):
+        build_cent_marts(stg, bad, "cents_bad")
+    assert not spark.catalog.databaseExists("cents_bad")

@@ -150,3 +150,17 @@ def test_sentiment_rules_on_single_mention(spark):
     gate(evaluate({"product_sentiment": df}, catalogue.sentiment_rules()))
     with pytest.raises(QualityError):
         gate(evaluate({"product_sentiment": df}, catalogue.sentiment_rules(strict_null=True)))
+
+
+def test_nan_is_missing_only_where_said(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x DOUBLE")
+    rules = [
+        Rule.not_null("t", "x"),
+        Rule.not_null("t", "x", nan_is_null=True),
+        Rule.accepted_range("t", "x", 0, nulls_fail=True),
+        Rule.accepted_range("t", "x", 0, nulls_fail=True, nan_is_null=True),
+        Rule.accepted_range("t", "x", 0, nan_is_null=True),
+        Rule.accepted_values("t", "x", ()),
+    ]
+    failed = [evaluate({"t": df}, [rule]).first().n_failed for rule in rules]
+    assert failed == [1, 2, 1, 2, 0, 2]

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from martloom.operators.lookup import bounded
 from martloom.session import written
 
-# A key with more rows than this is numbered in ranges of about so many rows.
+# A key with more rows than this is numbered in ranges.
 HOT_ROWS = 1_000_000
+# Rows of a range, about.
+RANGE_ROWS = 1_000_000
 
 
 def _ranged(df: DataFrame, key: str, order: Sequence[str], ranges: int, name: str) -> DataFrame:
@@ -50,12 +52,13 @@ def row_numbers(
     keys_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     name: str = "row_number",
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Number the rows of each key by ``order``, ascending, NULLs last.
 
     A window on the key alone sorts all rows of a key in one task. Keys with more than ``hot_rows``
-    rows, however many there are, are cut into ranges of their order instead; all others take the
-    plain window. Rows that tie in ``order`` stay in one range.
+    rows, however many there are, are cut into ranges of about ``range_rows`` of their order instead;
+    all others take the plain window. Rows that tie in ``order`` stay in one range.
 
     ``keys_from`` names a cheaper frame with the same keys for each row, used to count; it defaults
     to ``df``.
@@ -73,5 +76,5 @@ def row_numbers(
     keys = bounded(hot.select("_hot"))
     cool = keyed.join(keys, "_hot", "left_anti").select(*df.columns)
     warm = keyed.join(keys, "_hot", "left_semi").select(*df.columns)
-    ranges = max(2, -(-total // hot_rows))
+    ranges = max(2, -(-total // range_rows))
     return cool.withColumn(name, plain).unionByName(_ranged(warm, key, order, ranges, name))

@@ -16,7 +16,7 @@ def test_same_numbers_whatever_is_hot(spark, hot_rows):
         at = rnd.choice([None, dt.datetime(2024, 1, rnd.randint(1, 5), rnd.randint(0, 1))])
         rows.append((key, at, i))
     df = spark.createDataFrame(rows, "k STRING, t TIMESTAMP_NTZ, id INT")
-    out = row_numbers(df, "k", ("t", "id"), hot_rows=hot_rows)
+    out = row_numbers(df, "k", ("t", "id"), hot_rows=hot_rows, range_rows=50)
     expected = {}
     for key in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == key]
@@ -31,7 +31,7 @@ def test_one_hot_day_is_spread(spark):
     df = spark.range(20_000).select(
         F.lit("big").alias("k"), F.lit(dt.datetime(2024, 1, 1)).alias("t"), F.col("id").alias("id")
     )
-    out = row_numbers(df, "k", ("t", "id"), hot_rows=2_000)
+    out = row_numbers(df, "k", ("t", "id"), hot_rows=2_000, range_rows=2_000)
     assert out.filter("row_number <> id + 1").isEmpty() and out.count() == 20_000
     stored = [f for f in out.inputFiles() if "ranges" in f]
     assert len(stored) >= 5

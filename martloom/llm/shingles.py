@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WORDS = 5
-BUFFER_BYTES = 4_000_000
+BUFFER_BYTES = 1_000_000
 
 _U = np.uint64
 _FOLD = np.arange(256, dtype=np.uint8)

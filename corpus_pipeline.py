@@ -15,6 +15,9 @@ from martloom.session import configure, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# A character that str.split() keeps.
+SOLID = r"(?U)[^\s\x1c-\x1f]"
+
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; ``lang`` becomes the language found.
@@ -46,9 +49,10 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document or line has; what is left empty goes."""
-    deduped = line_dedup.dedup_lines(docs)
-    return _counted(deduped).filter(F.trim("text") != "")
+    """Texts without the lines, of any length, that an earlier document or line has; what is left
+    without a character other than white space goes."""
+    deduped = line_dedup.dedup_lines(docs, shortest=1)
+    return _counted(deduped).filter(F.col("text").rlike(SOLID))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from martloom.llm.shingles import mix, power_tables
 from martloom.operators.lookup import bounded
 from martloom.session import written
 
-# Shorter lines are left alone: a heading or a bracket may repeat.
+# Lines one edit apart have as many characters at least; of shorter ones an edit makes another line.
 MIN_CHARS = 20
 
 
@@ -65,27 +65,29 @@ def _signed(values) -> pa.Array:
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, h, halves`` of every line that takes part."""
+def _lines(docs: DataFrame, shortest: int) -> DataFrame:
+    """``doc_id, line, h, halves`` of every line that takes part; lines below ``MIN_CHARS`` meet equal
+    ones only and have no halves."""
 
     def run(batches):
         for batch in batches:
-            ids, numbers, hashes, keys = [], [], [], []
+            ids, numbers, hashes, keys, ends = [], [], [], [], [0]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for k, line in enumerate(text.split("\n")):
                     line = normal(line)
-                    if len(line) >= MIN_CHARS:
+                    if line and len(line) >= shortest:
                         ids.append(doc)
                         numbers.append(k)
                         hashes.append(_hash(line))
-                        keys.extend(halves(line))
-            ends = pa.array(np.arange(0, 4 * len(ids) + 1, 4, dtype=np.int32))
+                        if len(line) >= MIN_CHARS:
+                            keys.extend(halves(line))
+                        ends.append(len(keys))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(numbers, pa.int32()),
                     _signed(hashes),
-                    pa.ListArray.from_arrays(ends, _signed(keys)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(keys)),
                 ],
                 ["doc_id", "line", "h", "halves"],
             )
@@ -190,12 +192,15 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = MIN_CHARS
+) -> DataFrame:
     """``doc_id`` and ``line`` (from 0) of every line that an earlier one repeats.
 
-    Lines end at line feeds. A line repeats when, white space collapsed, it has 20 characters or more
-    and an earlier line, by (doc_id, line), is at most one inserted, left out or changed character
-    away, whether or not that line is itself a repetition.
+    Lines end at line feeds. A line repeats when, white space collapsed, an earlier line, by
+    (doc_id, line), is equal, or both have 20 characters or more and are one inserted, left out or
+    changed character apart, whether or not that line is itself a repetition. Lines below ``shortest``
+    characters take no part; at 1 every line does that is not blank.
 
     Edge cases: rows without doc_id or text have no lines. Repeated rows hold the same lines at the
     same places, which do not repeat themselves; of a doc_id with several texts, equal places count
@@ -203,7 +208,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
-    places = written(_lines(rows), "line_keys")
+    places = written(_lines(rows, shortest), "line_keys")
     at = F.struct("doc_id", "line")
     distinct = places.groupBy("h").agg(F.min(at).alias("at"), F.min_by("halves", at).alias("halves"))
     distinct = written(distinct, "distinct_lines")
@@ -218,11 +223,13 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` without repeated lines: all rows and columns, ``text`` with its other lines as they
     were. A null text stays null, and a text without repeated lines is not touched; a text of
     repeated lines only becomes empty."""
-    gone = repeated_lines(docs, doc_id, text)
+    gone = repeated_lines(docs, doc_id, text, shortest)
     by_doc = gone.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.collect_list("line").alias("__gone"))
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")

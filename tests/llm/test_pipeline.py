@@ -103,3 +103,11 @@ def test_stage_edges(spark, name):
     if name == "tokens":
         assert all(r.round_trip for r in rows) and len(rows) == len(ROWS)
     assert STAGES[name](spark, docs.limit(0), FOLDER).collect() == []
+
+
+def test_an_exact_copy_leaves_no_lines(spark):
+    text = "Les.\n\nthe first of these lines is a long one\n  \t\nHaanth.\n\u00a0\nx"
+    rows = [(k, text, "en", "src1", len(text), "k") for k in (1, 2)]
+    rows += [(3, "\n\t\n", "en", "src1", 3, "k"), (4, "y\nLes.\n", "en", "src1", 7, "k")]
+    out = STAGES["lines"](spark, spark.createDataFrame(rows, DDL), FOLDER).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in out} == {1: (text, len(text)), 4: ("y\n", 2)}

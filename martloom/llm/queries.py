@@ -138,7 +138,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", F.col("text").alias("whole"), "text")
     lines = lambda c: F.when(c == "", 0).otherwise(F.size(F.split(c, "\n", -1)))
-    return line_dedup.dedup_lines(docs).select(
+    return line_dedup.dedup_lines(docs, shortest=1).select(
         "doc_id",
         lines(F.col("whole")).alias("n_lines"),
         F.when(F.col("text") == F.col("whole"), lines(F.col("whole")))

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from martloom.llm import line_dedup
+from martloom.llm.queries import op9_line_dedup
 
 DDL = "doc_id BIGINT, text STRING, line INT, h STRING"
 
@@ -89,3 +90,29 @@ def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = {tuple(r) for r in line_dedup.repeated_lines(docs).collect()}
     assert got == brute(rows)
+
+
+def brute_of_every_length(rows):
+    """(doc_id, line) of lines that equal an earlier one, or are one edit from it at 20 characters."""
+    lines = sorted(
+        (d, k, " ".join(x.split())) for d, t in set(rows) for k, x in enumerate(t.split("\n")) if x.strip()
+    )
+    near = lambda a, b: min(len(a), len(b)) >= 20 and within_one(a, b)
+    return {
+        (d, k) for n, (d, k, x) in enumerate(lines) if any(y == x or near(y, x) for *_, y in lines[:n])
+    }
+
+
+def test_query_takes_lines_of_every_length(spark, tmp_path):
+    rnd = random.Random(3)
+    base = ["".join(rnd.choice("ab c") for _ in range(rnd.randrange(30))) for _ in range(40)]
+    rows = [(d, "\n".join(rnd.choice(base) for _ in range(rnd.randrange(1, 7)))) for d in range(80)]
+    rows += [(80, "Les.\n}\n \u00a0"), (81, "}\n{\n Les. \n\nLes"), (82, "Les."), (83, "")]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    gone = brute_of_every_length(rows)
+    expected = {
+        d: "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone) for d, t in rows
+    }
+    out = op9_line_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in out} == expected
+    assert expected[81] == "{\n\nLes" and expected[82] == ""

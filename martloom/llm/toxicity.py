@@ -157,6 +157,14 @@ def fit_logit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return tuple(map(float, beta))
 
 
+def prior_shift(clean: int, toxic: int, limit: int) -> float:
+    """What the intercept of a model of at most ``limit`` documents of each class lacks to the odds of
+    all labels."""
+    if not clean or not toxic:
+        return 0.0
+    return math.log(toxic / clean) - math.log(min(toxic, limit) / min(clean, limit))
+
+
 def terms_of(text: str) -> Iterator[tuple[str, str, int]]:
     """Each folded word and its prefixes as (kind, term, hash of the words around it)."""
     words = _WORD.findall(fold(text))
@@ -169,10 +177,9 @@ def terms_of(text: str) -> Iterator[tuple[str, str, int]]:
                 yield "start", word[:n], around
 
 
-def _sample(docs: DataFrame, labels: DataFrame, train: Column, limit: int) -> DataFrame:
+def _sample(docs: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     """``text`` and ``toxic`` of up to ``limit`` labelled documents of each class, by a hash."""
     order = F.xxhash64("doc_id")
-    known = labels.filter(train).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     picked = [known.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(limit) for y in (0, 1)]
     # At most 2 * limit rows.
     ids = F.broadcast(picked[0].unionByName(picked[1]))
@@ -233,13 +240,15 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit
     """A lexicon from ``labels`` (``doc_id``, ``toxic`` 0 or 1) of ``docs`` (``doc_id``, ``text``).
 
     Rows where ``train`` (over doc_id) is not true are never looked at. ``limit`` bounds the documents
-    of each class; the driver sees term counts and four features of each such document. Without
+    of each class, and the intercept is shifted to the odds of all of them; the driver sees term counts and four features of each such document. Without
     labels of both classes the lexicon is empty.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     known = known.filter("doc_id is not null and toxic is not null")
     train = F.lit(True) if train is None else train
-    sample = written(_sample(docs.select("doc_id", "text"), known, train, limit), "labelled")
+    known = known.filter(train).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    classes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    sample = written(_sample(docs.select("doc_id", "text"), known, limit), "labelled")
     toxic, clean = sample.filter("toxic = 1"), sample.filter("toxic = 0")
     contexts = _contexts(toxic).distinct().groupBy("kind", "term").agg(F.count(F.lit(1)).alias("n"))
     frequent = contexts.filter(F.col("n") >= MIN_CONTEXTS).orderBy(F.col("n").desc(), "kind", "term")
@@ -255,7 +264,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit
     lexicon = _shorter_wins(weights)
     rows = _featured(sample, lexicon, ["toxic"]).select("toxic", "features").collect()
     x = np.array([r.features for r in rows]).reshape(-1, 4)
-    lexicon.logit = fit_logit(x, np.array([r.toxic for r in rows]))
+    intercept, *slopes = fit_logit(x, np.array([r.toxic for r in rows]))
+    lexicon.logit = (intercept + prior_shift(classes.get(0, 0), classes.get(1, 0), limit), *slopes)
     return lexicon
 
 

@@ -105,3 +105,13 @@ def test_held_out(spark, folder):
     assert auc > 0.97
     assert (predicted[y == 1] == 1).mean() > 0.9 and (predicted[y == 0] == 1).mean() < 0.01
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_intercept_follows_the_odds_of_all_labels(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit_logit", lambda x, y: (-1.0, 2.0, 0.5, 0.1))
+    rows = [(k, f"some words {k}", "en", 1, int(k % 10 == 0)) for k in range(200)]
+    df = spark.createDataFrame(rows, DDL)
+    learn = lambda limit: toxicity.learn(df, df.select("doc_id", "toxic"), limit=limit).logit
+    assert learn(200) == (-1.0, 2.0, 0.5, 0.1)
+    assert learn(20) == learn(5) == pytest.approx((-1.0 + np.log(20 / 180), 2.0, 0.5, 0.1))
+    assert learn(90) == pytest.approx((-1.0 + np.log(20 / 180) - np.log(20 / 90), 2.0, 0.5, 0.1))

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.operators.lookup import bounded
 from martloom.session import written
 
 # Labelled documents of each class that a lexicon is fitted on at most.
@@ -34,7 +35,8 @@ SAMPLE = 6_000
 PREFIXES = (4, 5, 6)
 MIN_CONTEXTS = 4
 MIN_WEIGHT = 3.0
-MAX_TERMS = 50_000
+# Counts of clean documents that a task holds at a time.
+HELD_COUNTS = 100_000
 # Phrases with a lexicon word in a harmless sense (fixed values).
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy", "pond scum")
 
@@ -203,26 +205,33 @@ def _contexts(toxic: DataFrame) -> DataFrame:
     return toxic.select("text").mapInArrow(run, "kind STRING, term STRING, context BIGINT")
 
 
-def _occurrences(clean: DataFrame, candidates: set[tuple[str, str]]) -> DataFrame:
-    """``kind, term, n`` of the candidates in clean documents, and of all words under an empty term."""
+def _occurrences(clean: DataFrame, terms: DataFrame) -> DataFrame:
+    """``kind, term, n`` of ``terms`` in clean documents, and of all words under an empty term."""
 
     def run(batches):
         found: Counter = Counter()
+
+        def held():
+            columns = list(zip(*((*key, n) for key, n in found.items()))) if found else [[]] * 3
+            found.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
+                ["kind", "term", "n"],
+            )
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 for kind, term, _ in terms_of(text or ""):
-                    if (kind, term) in candidates:
-                        found[kind, term] += 1
+                    found[kind, term] += 1
                     found[kind, ""] += 1
-        rows = [(*key, n) for key, n in found.items()]
-        columns = list(zip(*rows)) if rows else [[]] * 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
-            ["kind", "term", "n"],
-        )
+                if len(found) > HELD_COUNTS:
+                    yield held()
+        yield held()
 
     counts = clean.select("text").mapInArrow(run, "kind STRING, term STRING, n BIGINT")
-    return counts.groupBy("kind", "term").agg(F.sum("n").alias("n"))
+    totals = clean.sparkSession.createDataFrame([("start", ""), ("word", "")], "kind STRING, term STRING")
+    wanted = bounded(terms.select("kind", "term").unionByName(totals))
+    return counts.join(wanted, ["kind", "term"], "left_semi").groupBy("kind", "term").agg(F.sum("n").alias("n"))
 
 
 def _shorter_wins(weights: dict[tuple[str, str], float]) -> Lexicon:
@@ -251,16 +260,17 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit
     sample = written(_sample(docs.select("doc_id", "text"), known, limit), "labelled")
     toxic, clean = sample.filter("toxic = 1"), sample.filter("toxic = 0")
     contexts = _contexts(toxic).distinct().groupBy("kind", "term").agg(F.count(F.lit(1)).alias("n"))
-    frequent = contexts.filter(F.col("n") >= MIN_CONTEXTS).orderBy(F.col("n").desc(), "kind", "term")
-    seen = {(r.kind, r.term): r.n for r in frequent.limit(MAX_TERMS).collect()}
+    contexts = written(contexts, "toxic_terms")
     everything = {r.kind: r.n for r in contexts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    counted = {(r.kind, r.term): r.n for r in _occurrences(clean, set(seen)).collect()}
-    weights = {}
-    for (kind, term), n in seen.items():
-        rate = (n + 0.5) / (everything[kind] + 1)
-        usual = (counted.get((kind, term), 0) + 0.5) / (counted.get((kind, ""), 0) + 1)
-        if (w := math.log(rate / usual)) >= MIN_WEIGHT and counted:
-            weights[kind, term] = w
+    frequent = contexts.filter(F.col("n") >= MIN_CONTEXTS)
+    counted = written(_occurrences(clean, frequent), "clean_terms")
+    total = {r.kind: r.n for r in counted.filter("term = ''").collect()}
+    of_kind = lambda d: F.when(F.col("kind") == "start", d.get("start", 0)).otherwise(d.get("word", 0))
+    rate = (F.col("n") + 0.5) / (of_kind(everything) + 1)
+    usual = (F.coalesce("usual", F.lit(0)) + 0.5) / (of_kind(total) + 1)
+    both = frequent.join(counted.withColumnRenamed("n", "usual"), ["kind", "term"], "left")
+    heavy = both.withColumn("weight", F.log(rate / usual)).filter(F.col("weight") >= MIN_WEIGHT)
+    weights = {(r.kind, r.term): r.weight for r in heavy.collect()} if total else {}
     lexicon = _shorter_wins(weights)
     rows = _featured(sample, lexicon, ["toxic"]).select("toxic", "features").collect()
     x = np.array([r.features for r in rows]).reshape(-1, 4)

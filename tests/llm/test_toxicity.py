@@ -115,3 +115,19 @@ def test_intercept_follows_the_odds_of_all_labels(spark, monkeypatch):
     assert learn(200) == (-1.0, 2.0, 0.5, 0.1)
     assert learn(20) == learn(5) == pytest.approx((-1.0 + np.log(20 / 180), 2.0, 0.5, 0.1))
     assert learn(90) == pytest.approx((-1.0 + np.log(20 / 180) - np.log(20 / 90), 2.0, 0.5, 0.1))
+
+
+def test_rare_terms_are_weighed_whatever_is_more_frequent(spark, monkeypatch):
+    # A cap on the terms by their frequency, should there be one, is reached by everyday words.
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 20, raising=False)
+    monkeypatch.setattr(toxicity, "HELD_COUNTS", 50, raising=False)
+    rnd = random.Random(5)
+    everyday = ["common" + chr(97 + k) for k in range(20)]
+    rows = []
+    for k in range(200):
+        words = [rnd.choice(everyday) for _ in range(40)]
+        rows.append((k, " ".join(words[:20] + (["zgromp"] if k % 10 == 1 else []) + words[20:]), "en", 1, k % 2))
+    df = spark.createDataFrame(rows, DDL)
+    lexicon = toxicity.learn(df, df.select("doc_id", "toxic"))
+    assert [t for t in [*lexicon.starts, *lexicon.words] if t.startswith("zgr")]
+    assert not [t for t in [*lexicon.starts, *lexicon.words] if t.startswith("com")]

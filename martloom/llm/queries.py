@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.llm import (
     bpe,
     chat,
+    fingerprint,
     jaccard,
     language,
     line_dedup,
@@ -152,6 +153,20 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and its edited text; all edge cases are those of ``fingerprint.near_edits``."""
+    near = fingerprint.near_edits(_table(spark, folder, "documents"))
+    return near.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprint.as_text(F.col("lanes")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_lanes")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -163,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_fingerprints": op12_fingerprints,
 }
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard": r"""

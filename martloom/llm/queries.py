@@ -16,6 +16,7 @@ from martloom.llm import (
     language,
     line_dedup,
     mixing,
+    negatives,
     resharding,
     topk,
     toxicity,
@@ -153,6 +154,14 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are every fiftieth vec_id; every seventh carries the label after its own. Edge cases
+    are those of ``negatives.hard_negatives``."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = _table(spark, folder, "embeddings")
+    return negatives.hard_negatives(embeddings, F.col("vec_id") % 50 == 0, label)
+
+
 def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and its edited text; all edge cases are those of ``fingerprint.near_edits``."""
     near = fingerprint.near_edits(_table(spark, folder, "documents"))
@@ -178,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_fingerprints": op12_fingerprints,
 }
 ORACLES: dict[str, str] = {
@@ -259,4 +269,25 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings e JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
     """,
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND NOT list_contains([coalesce(isfinite(x), false) FOR x IN embedding], false)),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+            FROM whole a JOIN whole c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+               n.vec_id AS negative_id, positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+             AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+        QUALIFY rank <= 3
+    """,
 }

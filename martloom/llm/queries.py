@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import (
+    align,
     bpe,
     chat,
     fingerprint,
@@ -24,6 +25,7 @@ from martloom.llm import (
 )
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 # The mix of the corpus: sources fall into four domains; weights by domain and by language.
 DOMAINS = 4
@@ -176,6 +178,12 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document by both tokenizers; edge cases are those of ``align.align``."""
+    paths = map(public_tokenizers.path, (TOKENIZER, PIECES))
+    return align.align(_table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -189,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_fingerprints": op12_fingerprints,
+    "op13_alignment": op13_alignment,
 }
 ORACLES: dict[str, str] = {
     "op4_ngram_jaccard": r"""

@@ -25,10 +25,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.bpe import codec
+from martloom.llm.bpe import PIECES, codec
 from martloom.session import written
 
 # Characters that are multiplied at a time; a longer text makes a block of its own.
@@ -50,6 +51,8 @@ SLICE = 200_000
 # before (pieces of the second hold the space sign at their start only, which is checked).
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_SIGN = "▁"
+# The library's pattern matcher keeps a state for each character of a run of white space.
+_LONG_SPACE = re.compile(r"\s{2000}")
 
 
 @dataclass
@@ -66,10 +69,11 @@ class Csr:
         """From coordinates; those of one place are added."""
         data = np.ones(len(rows), dtype=np.int64) if data is None else data
         key = rows.astype(np.int64) * shape[1] + indices
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        if (key[1:] < key[:-1]).any():
+            order = np.argsort(key, kind="stable")
+            key, data = key[order], data[order]
         first = np.flatnonzero(np.diff(key, prepend=-1))
-        summed = np.add.reduceat(data[order], first) if len(key) else data
+        summed = np.add.reduceat(data, first) if len(key) else data
         row, column = np.divmod(key[first], shape[1])
         indptr = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=shape[0]))])
         return Csr(indptr, column, summed, shape[1])
@@ -121,11 +125,20 @@ class Tokenizers:
 
     def __init__(self, first: str, second: str):
         self.codec = codec(first)
+        tokens = {t: i for i, t in enumerate(self.codec.strings) if i not in self.codec.special.values()}
+        # The library takes ids as ranks, which holds where each merge makes the next id.
+        ranked = all(whole == 256 + rank for rank, (*_, whole) in enumerate(self.codec.pairs))
+        self.first = tiktoken.Encoding("first", pat_str=PIECES, mergeable_ranks=tokens, special_tokens={}) if ranked else None
         self.second = sentencepiece.SentencePieceProcessor(model_file=second)
         self.a_bytes = self.codec.strings
         self.b_bytes = [self._bytes(i) for i in range(self.second.get_piece_size())]
         self.a_length = np.array([len(t) for t in self.a_bytes])
         self.b_length = np.array([len(t) for t in self.b_bytes])
+        # Ids as text, followed by what separates them from the next token of their group and of another.
+        self.a_text, self.b_text = (
+            np.array([f"{i}{end}" for end in ends for i in range(n)], dtype=object)
+            for ends, n in ((",|", len(self.a_bytes)), (",;", len(self.b_bytes)))
+        )
 
     def _bytes(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -141,19 +154,22 @@ class Tokenizers:
         if not text:
             return none
         spaced = " " + text
-        a = np.frombuffer(b"".join(self.codec._plain(spaced)), dtype=np.int32)
-        slabs, at = [], 0
+        if self.first is not None and not _LONG_SPACE.search(spaced):
+            a = self.first.encode_ordinary(spaced)
+        else:
+            a = np.frombuffer(b"".join(self.codec._plain(spaced)), dtype=np.int32).tolist()
+        b, at = [], 0
         while at < len(text):
             cut = _CUT.search(text, at + SLAB_CHARS) if len(text) - at > SLAB_CHARS else None
             to = cut.start() if cut else len(text)
-            slabs.append(text[at:to])
+            b += self.second.encode(text[at:to])
             at = to + 1  # the tokenizer itself puts a space before each slab
-        b = np.array([i for ids in self.second.encode(slabs, num_threads=1) for i in ids], dtype=np.int32)
         whole = spaced.encode()
-        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
-                return none
-        return a, b
+        a = np.array(a, dtype=np.int32)
+        # Tokens of a byte-level tokenizer are the bytes of its pieces, and these are all of the text.
+        if self.a_length[a].sum() != len(whole) or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+            return none
+        return a, np.array(b, dtype=np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -191,17 +207,19 @@ class Block:
 
     def group_digests(self) -> list[str]:
         """The hash of each document's groups, written as ``a1,a2|b1;a3|b2,b3``."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        a_at = np.searchsorted(self.a_group, np.arange(len(self.ends) + 1)).tolist()
-        b_at = np.searchsorted(self.b_group, np.arange(len(self.ends) + 1)).tolist()
-        written_ = [
-            ",".join(a[x:y]) + "|" + ",".join(b[u:v]) for x, y, u, v in zip(a_at, a_at[1:], b_at, b_at[1:])
-        ]
-        edges = np.concatenate([[0], np.cumsum(self.per_document(self.group_documents()))]).tolist()
-        return [
-            hashlib.sha256(";".join(written_[x:y]).encode()).hexdigest() if y > x else ""
-            for x, y in zip(edges, edges[1:])
-        ]
+        groups = np.arange(len(self.ends) + 1)
+        a_at, b_at = np.searchsorted(self.a_group, groups), np.searchsorted(self.b_group, groups)
+        # Each group's tokens of the first kind, then those of the second.
+        text = np.empty(len(self.a) + len(self.b), dtype=object)
+        last = lambda group: np.diff(group, append=-1) != 0
+        a_place = np.arange(len(self.a)) + b_at[self.a_group]
+        text[a_place] = self.pair.a_text[self.a + last(self.a_group) * len(self.pair.a_length)]
+        b_place = np.arange(len(self.b)) + a_at[self.b_group + 1]
+        text[b_place] = self.pair.b_text[self.b + last(self.b_group) * len(self.pair.b_length)]
+        sizes = self.per_document(self.a_doc) + self.per_document(self.b_doc)
+        edges = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        joined = ("".join(text[x:y].tolist())[:-1] for x, y in zip(edges, edges[1:]))
+        return [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in joined]
 
     def group_documents(self) -> np.ndarray:
         return self.a_doc[np.searchsorted(self.a_end, self.ends)]

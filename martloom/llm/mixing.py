@@ -37,7 +37,9 @@ class Tree:
     children: dict[str | None, Tree] = field(default_factory=dict)
 
     def room(self, epochs: int) -> int:
-        return sum(c.room(epochs) for c in self.children.values()) if self.children else self.supply * epochs
+        """Tokens that ``share`` can place below; it serves nothing of weight 0."""
+        served = [c for c in self.children.values() if c.weight > 0]
+        return sum(c.room(epochs) for c in served) if self.children else self.supply * epochs
 
 
 def share(budget: int, weights: list[float], rooms: list[int]) -> list[int]:

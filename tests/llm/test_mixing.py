@@ -20,6 +20,13 @@ def test_shortage_goes_to_siblings_first():
     assert mixing.allocate(mixing.build_tree({("a",): 5, ("b",): 5}, {("b",): 0.0}), 8, 1) == {("a",): 5, ("b",): 0}
 
 
+def test_nothing_is_lost_below_a_weight_of_zero():
+    tree = mixing.build_tree({("a", "x"): 100, ("a", "y"): 10, ("b", "z"): 100}, {("a", "x"): 0.0})
+    assert mixing.allocate(tree, 100, 1) == {("a", "x"): 0, ("a", "y"): 10, ("b", "z"): 90}
+    tree = mixing.build_tree({("a", "x"): 100, ("b", "z"): 100}, {("a", "x"): 0.0})
+    assert mixing.allocate(tree, 80, 1) == {("a", "x"): 0, ("b", "z"): 80}
+
+
 @pytest.mark.parametrize("budget", [0, 1, 7, 99, 100, 1000])
 def test_shares_add_up(budget):
     for weights in ([1, 1, 1], [0.1, 0.7, 0.2], [5, 0, 1e-9]):

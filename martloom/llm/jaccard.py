@@ -108,7 +108,7 @@ def _rarest(shown: DataFrame, shared: int | None) -> DataFrame:
 
 
 def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node`` and its packed shingle set."""
+    """``node`` and its packed shingle set, where it has any."""
 
     def run(batches):
         for batch in batches:
@@ -120,7 +120,9 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 )
 
     wanted = docs.join(bounded(nodes.withColumnRenamed("node", "doc_id")), "doc_id")
-    return wanted.select("doc_id", "text").mapInArrow(run, "node BIGINT, packed BINARY")
+    # A doc_id may come with a text without words beside one that has some.
+    sets = wanted.select("doc_id", "text").mapInArrow(run, "node BIGINT, packed BINARY")
+    return sets.filter(F.octet_length("packed") > 0)
 
 
 def _meeting(regions: DataFrame) -> DataFrame:

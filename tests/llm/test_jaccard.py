@@ -120,3 +120,11 @@ def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert got(jaccard.near_copies(docs)) == brute(rows)
+
+
+def test_one_id_with_a_blank_text_and_another(spark):
+    words = " ".join(f"w{k}" for k in range(200))
+    rows = [(9, words), (9, " \n"), (2, words + " x y z"), (3, words + " x y z")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    out = {r.component_id for r in jaccard.near_copies(df).filter("n_shingles > 0").collect()}
+    assert out == {2}

@@ -24,6 +24,9 @@ from martloom.llm.shingles import mix, power_tables
 from martloom.operators.lookup import bounded
 from martloom.session import written
 
+# Texts that a task turns into Python strings at a time.
+TEXTS = 256
+
 # Lines one edit apart have as many characters at least; of shorter ones an edit makes another line.
 MIN_CHARS = 20
 
@@ -65,12 +68,18 @@ def _signed(values) -> pa.Array:
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
 
+def _sliced(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(start, TEXTS)
+
+
 def _lines(docs: DataFrame, shortest: int) -> DataFrame:
     """``doc_id, line, h, halves`` of every line that takes part; lines below ``MIN_CHARS`` meet equal
     ones only and have no halves."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches):
             ids, numbers, hashes, keys, ends = [], [], [], [], [0]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for k, line in enumerate(text.split("\n")):
@@ -99,7 +108,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``h, at, content``: the normal text of the lines ``wanted`` (``h`` and ``at``, their place)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches):
             hs, docs_, lines, texts = [], [], [], []
             for doc, text, places in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 split = text.split("\n")

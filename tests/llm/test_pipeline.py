@@ -4,7 +4,7 @@ import corpus_pipeline
 from martloom.llm import bpe
 from martloom.llm.queries import TOKENIZER
 from tests.llm.test_jaccard import brute as brute_groups
-from tests.llm.test_line_dedup import brute as brute_lines
+from tests.llm.test_line_dedup import brute_of_every_length as brute_lines
 
 FOLDER = "/root/testdata/sf0.001"
 STAGES = dict(corpus_pipeline.STAGES)
@@ -47,7 +47,7 @@ def test_lines_like_brute_force(stages):
     for r in before:
         lines = [x for k, x in enumerate(r.text.split("\n")) if (r.doc_id, k) not in gone]
         text = "\n".join(lines)
-        if text.strip(" "):
+        if text.strip():
             expected[r.doc_id] = (text, len(text))
     assert {r.doc_id: (r.text, r.n_chars) for r in after} == expected
 

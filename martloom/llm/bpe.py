@@ -57,6 +57,10 @@ class _Pieces(dict):
         self.codec = codec
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, piece: str) -> bytes:
         packed = self.old.get(piece)
         if packed is None:
@@ -190,8 +194,11 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """``df`` with the ids of each ``text``; narrow, no shuffle."""
+def encode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", remember: bool = True
+) -> DataFrame:
+    """``df`` with the ids of each ``text``; narrow, no shuffle. Workers ``remember`` encoded pieces
+    from one task to the next, or free their memory for other stages."""
 
     def run(batches):
         c = codec(path)
@@ -201,6 +208,8 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids")
                 part = batch.slice(start, 256)
                 rows = [c.encode(t.as_py() or "") for t in texts.slice(start, 256)]
                 yield _replaced(part, {ids: _lists(rows)})
+        if not remember:
+            c.cache.forget()
 
     return df.mapInArrow(run, _with(df, **{ids: T.ArrayType(T.IntegerType())}))
 

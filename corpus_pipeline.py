@@ -84,7 +84,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that is left, checked by decoding them."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, remember=False)
     return bpe.decode(encoded, path).select(
         "doc_id",
         "lang",

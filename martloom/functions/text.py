@@ -14,6 +14,7 @@ SCORE_ALPHA = 15.0
 
 # Tokens are runs of letters, marks, digits and apostrophes of any script.
 TOKEN_BREAK = r"[^\p{L}\p{M}\p{N}']+"
+WORD = r"[\p{L}\p{M}\p{N}']+"
 
 
 def contains_ignoring_case(text: Column, part: Column) -> Column:

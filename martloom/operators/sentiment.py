@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.text import TOKEN_BREAK, normalised_score, score_bin, tokens
+from martloom.operators.lexicon import entries, inline_lookup
 from martloom.operators.lookup import bounded
 from martloom.operators.mentions import block_mentions, inline_names, row_key, with_mentions
+from martloom.operators.rules import Words, rule_scores
 
 SCORE_PLACES = 6
 
@@ -18,23 +20,41 @@ def lexicon_scores(
     keep: tuple[str, ...] = ("id",),
     text_column: str = "content",
     token_break: str = TOKEN_BREAK,
+    most_inline: int | None = None,
 ) -> DataFrame:
     """One row per row of ``texts``: its ``keep`` columns and its score in (-1, 1); no hit scores 0.
 
-    Every token is looked up in ``lexicon`` (token, valence) and summed as integer millionths, so
-    the result is the same however the work is split. All tokens of a text sit in one task, so
-    the partial sum leaves about one row per text to exchange. Equal rows are summed together and
-    told apart again by their number; rows that only share an id are not.
+    Every token is looked up in ``lexicon`` (token, valence) and summed as integer millionths, so the
+    result is the same however the work is split. The tokens are summed inside the row; a lexicon too
+    large for that (``most_inline``) is joined instead.
+    """
+    lookup = inline_lookup(lexicon, most_inline)
+    if lookup is None:
+        return _joined_scores(texts, lexicon, keep, text_column, token_break)
+    zero = F.lit(0).cast("bigint")
+    found = tokens(F.col(text_column), token_break)
+    summed = F.aggregate(found, zero, lambda total, t: total + F.coalesce(lookup(t), zero))
+    total = texts.select(*keep, F.coalesce(summed, zero).alias("_total"))
+    score = normalised_score(F.col("_total") / 1_000_000)
+    return total.select(*keep, F.round(score, SCORE_PLACES).alias("sentiment_score"))
+
+
+def _joined_scores(
+    texts: DataFrame, lexicon: DataFrame, keep: tuple[str, ...], text_column: str, token_break: str
+) -> DataFrame:
+    """``lexicon_scores`` by a join of tokens.
+
+    All tokens of a text sit in one task, so the partial sum leaves about one row per text to
+    exchange. Equal rows are summed together and told apart again by their number; rows that only
+    share an id are not.
     """
     words = texts.select(
         *keep,
         F.sha2(text_column, 256).alias("_text"),
         F.posexplode_outer(tokens(F.col(text_column), token_break)).alias("_place", "token"),
     )
-    millionths = F.rint(F.col("valence") * 1_000_000).cast("bigint")
-    entries = lexicon.groupBy("token").agg(F.sum(millionths).alias("_valence"))
     summed = (
-        words.join(bounded(entries), "token", "left")
+        words.join(bounded(entries(lexicon)), "token", "left")
         .groupBy(*keep, "_text")
         .agg(
             F.sum(F.coalesce(F.col("_valence"), F.lit(0))).alias("_total"),
@@ -80,31 +100,44 @@ def mention_stats(scored_mentions: DataFrame) -> DataFrame:
 
 
 def scored_mentions(
-    tweets: DataFrame, names: DataFrame, lexicon: DataFrame, most_inline: int | None = None
+    tweets: DataFrame,
+    names: DataFrame,
+    lexicon: DataFrame,
+    most_inline: int | None = None,
+    rules: Words | None = None,
 ) -> DataFrame:
     """(id, tweeted_at, product_name, sentiment_score) for every row of ``tweets`` and name in it.
-    ``names`` holds product_name; ids may repeat or be NULL.
+    ``names`` holds product_name; ids may repeat or be NULL. With ``rules``, the words around a token
+    change its valence; without, its valence alone counts.
 
     With a small dictionary each text is read once: found names ride along as a short list while
     its tokens are scored, and texts that mention nothing are not scored at all.
     """
+
+    def score(texts: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+        if rules is None:
+            return lexicon_scores(texts, lexicon, keep)
+        return rule_scores(texts, lexicon, rules, keep)
+
     distinct = names.select("product_name").distinct()
     inline = inline_names(distinct, most=most_inline)
     if inline is None:
         keyed = tweets.withColumn("_key", row_key("id", "tweeted_at", "content"))
         mentions = block_mentions(keyed, distinct, "_key", "content", "product_name")
-        scores = lexicon_scores(keyed, lexicon, ("_key", "id", "tweeted_at"))
+        scores = score(keyed, ("_key", "id", "tweeted_at"))
         return mentions.join(scores, "_key").select(
             "id", "tweeted_at", "product_name", "sentiment_score"
         )
     tagged = with_mentions(tweets, inline, "content", "mentions")
-    scores = lexicon_scores(tagged, lexicon, ("id", "tweeted_at", "mentions"))
+    scores = score(tagged, ("id", "tweeted_at", "mentions"))
     # Every list has a name; the outer explode only spares a second look at the texts for it.
     return scores.select(
         "id", "tweeted_at", F.explode_outer("mentions").alias("product_name"), "sentiment_score"
     )
 
 
-def product_sentiment(tweets: DataFrame, names: DataFrame, lexicon: DataFrame) -> DataFrame:
+def product_sentiment(
+    tweets: DataFrame, names: DataFrame, lexicon: DataFrame, rules: Words | None = None
+) -> DataFrame:
     """Sentiment mart: one row per product that at least one text mentions."""
-    return mention_stats(scored_mentions(tweets, names, lexicon))
+    return mention_stats(scored_mentions(tweets, names, lexicon, rules=rules))

@@ -199,6 +199,50 @@ product_sentiment as (
          round(stddev_samp(sentiment_score), 6) as sentiment_std,
          min(tweeted_at) as first_mention, max(tweeted_at) as last_mention
   from scored_mentions join sentiment_means using (product_name) group by 1)"""
+RULES_SQL = f"""
+lexicon(token, valence) as (values {VALUES["lexicon"]}),
+degrees(word, degree) as (values {", ".join(f"('{t}', {v}::double)" for t, v in w.RULE_WORDS.degrees.items())}),
+loud as (
+  select id, case when id::bigint % 3 = 0 then replace(replace(content, 'that', 'THAT'), ' the ', ' THE ')
+                  else content end as content from stg_tweets),
+spoken as (
+  select id, case when id::bigint % 4 = 0 then replace(content, '.', '!')
+                  when id::bigint % 5 = 0 then replace(content, '.', '?') else content end as content from loud),
+split as (
+  select id, regexp_extract_all(content, '[\\p{{L}}\\p{{M}}\\p{{N}}'']+') as t from spoken),
+positions as (select id, unnest(t) as t, generate_subscripts(t, 1) as i from split),
+read as (
+  select id, i, valence as v, t = upper(t) and t <> lower(t) as caps,
+         lower(t) in ({", ".join(f"'{x}'" for x in w.RULE_WORDS.negations)}) as negates,
+         lower(t) in ({", ".join(f"'{x}'" for x in w.RULE_WORDS.contrasts)}) as contrasts,
+         case when valence is null then coalesce(degree, 0) else 0 end as degree
+  from positions left join lexicon on token = lower(t) left join degrees on word = lower(t)),
+whole as (
+  select id, count_if(caps) between 1 and count(*) - 1 as mixed, min(case when contrasts then i end) as turn
+  from read group by id),
+around as (
+  select *, {", ".join(f"lag({c}, {k}) over (partition by id order by i) as {c}{k}" for k in (1, 2, 3) for c in ("degree", "caps", "negates"))}
+  from read),
+strength as (
+  select a.*, turn, case when v < 0 then -1::double else 1::double end as s,
+         case when caps and mixed then 0.733::double else 0::double end as own,
+         {", ".join(f"coalesce(degree{k}, 0::double) + case when coalesce(degree{k}, 0) <> 0 and caps{k} and mixed then 0.733::double else 0::double end as d{k}" for k in (1, 2, 3))}
+  from around a join whole using (id) where v is not null),
+raised as (
+  select *, v::double / 1000000 + s * own + s * d1 * 1::double + s * d2 * 0.95::double + s * d3 * 0.9::double as r
+  from strength),
+turned as (
+  select id, r * {" * ".join(f"case when negates{k} then -0.74::double else 1::double end" for k in (1, 2, 3))}
+    * case when turn is null or i = turn then 1::double when i < turn then 0.5::double else 1.5::double end as x
+  from raised),
+sums as (select id, sum(floor(x * 1000000 + 0.5::double)::bigint)::bigint as total from turned group by id),
+marks as (
+  select id, least(length(content) - length(replace(content, '!', '')), 4) * 0.292::double as noise,
+         length(content) - length(replace(content, '?', '')) as asked from spoken),
+strong as (
+  select id, coalesce(total, 0)::double / 1000000 + sign(coalesce(total, 0)) * (noise + case
+    when asked <= 1 then 0::double when asked <= 3 then asked * 0.18::double else 0.96::double end) as x
+  from marks left join sums using (id))"""
 REPEATED_TWEETS = """
 repeated as (
   select case when id::bigint % 4 <> 0 then (id::bigint % 7)::varchar end as id, user_id, tweeted_at, content
@@ -400,6 +444,12 @@ from documents join names on contains(lower(text), product_name) group by 1""",
         for name in ("mention_repeated_ids", "mention_repeated_ids_blocks")
     },
     "lexicon_score": _text("select id, sentiment_score from scores"),
+    "sentiment_rules_score": _with(
+        LANDING_SQL,
+        STAGING_SQL,
+        RULES_SQL,
+        select="select id, round(x / sqrt(x * x + 15::double), 6) as sentiment_score from strong",
+    ),
     "sentiment_bins": _text(
         f"""select id, c as sentiment_category,
        case c when 'Very Negative' then 1 when 'Negative' then 2 when 'Neutral' then 3

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martloom.functions.money import cents_to_dollars
 from martloom.functions.names import quoted_parts, utc_to_epoch_ms
 from martloom.functions.text import bin_rank, score_bin
-from martloom.operators import catalogue, freshness, incremental, mentions, quality, sentiment
+from martloom.operators import catalogue, freshness, incremental, mentions, quality, rules, sentiment
 from martloom.operators.lookup import bounded
 from martloom.operators.quality import Rule
 from martloom.plans import marts_v1, marts_v2, reports, staging
@@ -40,6 +40,8 @@ LEXICON = (
     ("thor", 1.1),
     ("erin", -1.7),
 )
+# Words of the texts that take the part of negations, degree words and contrasts.
+RULE_WORDS = rules.Words(("in", "as"), {"the": 0.293, "and": 0.293, "of": -0.293, "is": -0.293}, ("was",))
 PRODUCT_TYPES = ("ECONOMY", "STANDARD", "MEDIUM", "SMALL", "PROMO", "LARGE")
 RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 14))
 AS_OF = "2024-01-31 00:04:00"
@@ -210,6 +212,19 @@ def _repeated_sentiment(most_inline: int) -> Query:
     )
 
 
+def _spoken(m: Models) -> DataFrame:
+    """Tweets of which some shout, exclaim or ask."""
+    number, content = F.col("id").cast("bigint"), F.col("content")
+    put = lambda c, old, new: F.replace(c, F.lit(old), F.lit(new))
+    loud = F.when(number % 3 == 0, put(put(content, "that", "THAT"), " the ", " THE ")).otherwise(content)
+    marked = F.when(number % 4 == 0, put(loud, ".", "!")).when(number % 5 == 0, put(loud, ".", "?"))
+    return m.tweets().withColumn("content", marked.otherwise(loud))
+
+
+def _sentiment_rules_score(m: Models) -> DataFrame:
+    return rules.rule_scores(_spoken(m), m.lexicon(), RULE_WORDS)
+
+
 def _sentiment_bins(m: Models) -> DataFrame:
     scores = sentiment.lexicon_scores(m.tweets(), m.lexicon())
     label = score_bin(F.col("sentiment_score"))
@@ -497,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "mention_repeated_ids": _repeated_sentiment(64),
     "mention_repeated_ids_blocks": _repeated_sentiment(0),
     "lexicon_score": _models(lambda m: sentiment.lexicon_scores(m.tweets(), m.lexicon())),
+    "sentiment_rules_score": _models(_sentiment_rules_score),
     "sentiment_bins": _models(_sentiment_bins),
     "mention_stats": _models(
         lambda m: sentiment.mention_stats(_mention_scores(m)).drop("sentiment_category")

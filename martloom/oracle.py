@@ -497,6 +497,20 @@ from run_models""",
   when 'purchase' then 'stg_orders' when 'signup' then 'stg_products' when 'view' then 'tweets' end""",
     ),
     "catch_up": _with(LANDING_SQL, select=f"select * from seed_events where {IN_RANGE}"),
+    "catch_up_emptied_day": _with(
+        LANDING_SQL, select=f"select * from seed_events where {IN_RANGE} and event_date <> date '{END}'"
+    ),
+    "rebuild_atomic": _with(
+        LANDING_SQL,
+        select=f"""select s.* from seed_events s join events e on s.id = e.event_id
+where not ({IN_RANGE}) or event_type <> 'error' and event_date <> date '{START}'""",
+    ),
+    "full_model_from_days": _with(
+        LANDING_SQL,
+        select=f"""select item_id, count(distinct id) as num_orders
+from seed_events s join events e on s.id = e.event_id
+where event_date <> date '{START}' or event_type <> 'error' group by 1""",
+    ),
     "streamed_landing": _with(LANDING_SQL, select=SEED_AS_INT),
     "csv_scan": _with(
         LANDING_SQL,

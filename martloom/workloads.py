@@ -11,7 +11,17 @@ from pyspark.sql import functions as F
 from martloom.functions.money import cents_to_dollars
 from martloom.functions.names import quoted_parts, utc_to_epoch_ms
 from martloom.functions.text import bin_rank, score_bin
-from martloom.operators import catalogue, freshness, incremental, mentions, quality, rules, sentiment
+from martloom.operators import (
+    catalogue,
+    distinct_state,
+    freshness,
+    incremental,
+    mentions,
+    quality,
+    rules,
+    sentiment,
+    versions,
+)
 from martloom.operators.lookup import bounded
 from martloom.operators.quality import Rule
 from martloom.plans import marts_v1, marts_v2, reports, staging
@@ -376,6 +386,38 @@ def _incremental_rerun(m: Models) -> DataFrame:
     return m.spark.table(name).select("id", "item_id", "event_date")
 
 
+def _rebuild_atomic(m: Models) -> DataFrame:
+    """As above, in a table whose range is replaced at once; its days that lost all rows go too."""
+    name = tables.qualify("events", _scratch_schema(m.spark))
+    versions.create(m.seed(), name)
+    corrected = m.star.seed_events(F.col("event_type") != "error")
+    for source in (m.seed(), corrected, corrected.filter(F.col("event_date") != RANGE[0])):
+        versions.replace_range(source, name, *RANGE)
+    versions.vacuum(m.spark, name)
+    return m.spark.table(name).select("id", "item_id", "event_date")
+
+
+def _full_model_from_days(m: Models) -> DataFrame:
+    """Distinct ids per item from daily states, after the first day of the range has lost its errors
+    and its state alone has been made again."""
+    name = tables.qualify("event_sets", _scratch_schema(m.spark))
+    versions.create(distinct_state.daily_sets(m.seed()), name)
+    day = F.col("event_date") == F.lit(RANGE[0])
+    corrected = m.star.seed_events(F.col("event_type") != "error").filter(day)
+    versions.replace_days(distinct_state.daily_sets(corrected), name, [RANGE[0]])
+    return distinct_state.merged_counts(m.spark.table(name))
+
+
+def _catch_up_emptied_day(m: Models) -> DataFrame:
+    """Catch up, then rebuild a listed day that has lost all its rows, and one that has not."""
+    schema = _scratch_schema(m.spark)
+    name, log = tables.qualify("events", schema), tables.qualify("run_log", schema)
+    incremental.catch_up(m.seed(), name, "events", log, *RANGE, dt.datetime.fromisoformat(AS_OF))
+    days = m.spark.createDataFrame([(d,) for d in RANGE], "event_date DATE")
+    incremental.rebuild_days(m.seed().filter(F.col("event_date") != RANGE[1]), days, name)
+    return m.spark.table(name).select("id", "item_id", "event_date")
+
+
 def _catch_up(m: Models) -> DataFrame:
     """Build the days up to the middle of the range, then catch up with the rest."""
     schema = _scratch_schema(m.spark)
@@ -533,6 +575,9 @@ QUERIES: dict[str, Query] = {
     "freshness": _models(_freshness),
     "freshness_policies": _models(_freshness_policies),
     "catch_up": _models(_catch_up),
+    "catch_up_emptied_day": _models(_catch_up_emptied_day),
+    "rebuild_atomic": _models(_rebuild_atomic),
+    "full_model_from_days": _models(_full_model_from_days),
     "streamed_landing": _models(_streamed),
     # Scans, tables and exports, each written to the shared folder and read back
     "csv_scan": _models(

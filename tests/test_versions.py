@@ -1,0 +1,125 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.operators import distinct_state, versions
+from martloom.session import scratch_path
+from martloom.sources import tables
+
+DDL = "id INT, item_id INT, event_date DATE"
+
+
+def day(n):
+    return dt.date(2024, 3, n)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, DDL)
+
+
+@pytest.fixture
+def table(spark):
+    path = scratch_path(spark, "schema")
+    schema = "versions_" + path.rsplit("-", 1)[1]
+    tables.ensure_schema(spark, schema, path)
+    name = f"{schema}.events"
+    versions.create(frame(spark, [(i, i % 3, day(1 + i % 5)) for i in range(20)]), name)
+    return name
+
+
+def shown(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_a_range_is_replaced_and_emptied_days_go(spark, table):
+    new = frame(spark, [(100, 1, day(2)), (101, 1, day(9)), (102, 2, None)])
+    versions.replace_range(new, table, day(2), day(4))
+    expected = [(i, i % 3, day(1 + i % 5)) for i in range(20) if i % 5 in (0, 4)] + [(100, 1, day(2))]
+    assert shown(spark.table(table)) == sorted(expected)
+    assert spark.table(table).columns == ["id", "item_id", "event_date"]
+    versions.replace_range(new, table, day(2), day(4))
+    assert shown(spark.table(table)) == sorted(expected)
+    versions.replace_days(new, table, [day(9), day(1)])
+    expected = [r for r in expected if r[2] != day(1)] + [(101, 1, day(9))]
+    assert shown(spark.table(table)) == sorted(expected)
+    versions.replace_days(new, table, [])
+    assert versions.vacuum(spark, table) > 0 and versions.vacuum(spark, table) == 0
+    assert shown(spark.table(table)) == sorted(expected)
+    versions.replace_range(new.limit(0), table, day(1), day(31))
+    assert shown(spark.table(table)) == []
+    versions.replace_range(new, table, day(1), day(31))
+    assert shown(spark.table(table)) == [(100, 1, day(2)), (101, 1, day(9))]
+
+
+def test_a_reader_keeps_its_days_and_a_failure_changes_nothing(spark, table, monkeypatch):
+    before = shown(spark.table(table))
+    reader = spark.table(table)
+    new = frame(spark, [(100, 1, day(2))])
+    seen = []
+
+    def dies(*args):
+        seen.append(shown(spark.table(table)))  # everything is written, nothing is shown
+        raise RuntimeError("lost")
+
+    switch = versions._switch
+    monkeypatch.setattr(versions, "_switch", dies)
+    with pytest.raises(RuntimeError):
+        versions.replace_range(new, table, day(1), day(4))
+    monkeypatch.setattr(versions, "_switch", switch)
+    assert seen == [before] and shown(spark.table(table)) == before
+    versions.replace_range(new, table, day(1), day(4))
+    assert shown(reader) == before
+    after = sorted([r for r in before if r[2] > day(4)] + [(100, 1, day(2))])
+    assert shown(spark.table(table)) == after
+    # What the dead run has left is dropped with the rest.
+    versions.vacuum(spark, table)
+    assert shown(spark.table(table)) == after
+    assert spark.table(f"{table}__data").count() == len(after)
+
+
+def test_a_source_may_read_its_target(spark, table):
+    before = shown(spark.table(table))
+    versions.replace_range(spark.table(table).withColumn("id", F.col("id") + 1), table, day(1), day(2))
+    assert shown(spark.table(table)) == sorted((i + (d <= day(2)), k, d) for i, k, d in before)
+
+
+def test_days_prune_and_odd_tables_raise(spark, table):
+    plan = spark.table(table).filter(F.col("event_date") == day(3))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "dynamicpruning" in plan
+    with pytest.raises(ValueError, match="without"):
+        versions.create(frame(spark, [(1, 1, None)]), table + "_odd")
+    with pytest.raises(ValueError, match="taken"):
+        versions.create(frame(spark, [(1, 1, day(1))]).withColumnRenamed("id", "version"), table + "_odd")
+
+
+@pytest.mark.parametrize("dense", [0, 3, distinct_state.DENSE])
+def test_merged_states_count_as_the_rows_do(spark, dense):
+    rnd = random.Random(dense)
+    ids = [*range(-40, 40), 32_767, 32_768, 32_769, 65_536, -32_768, 2**40, None]
+    rows = [(rnd.choice(ids), rnd.choice([1, 2, 3, None]), rnd.choice([day(1), day(2), day(3), None])) for _ in range(600)]
+    rows += [(None, 9, day(1)), (None, 9, None)]
+    df = spark.createDataFrame(rows, "id BIGINT, item_id INT, event_date DATE")
+    states = distinct_state.daily_sets(df, dense=dense)
+    assert states.filter("places is not null and bits is not null").isEmpty()
+    merged = {r.item_id: r.num_orders for r in distinct_state.merged_counts(states).collect()}
+    assert merged == {k: len({i for i, x, _ in rows if x == k and i is not None}) for k in (1, 2, 3, None, 9)}
+    some = states.filter(F.col("event_date") == day(2))
+    merged = {r.item_id: r.num_orders for r in distinct_state.merged_counts(some).collect()}
+    assert merged[1] == len({i for i, x, d in rows if (x, d) == (1, day(2)) and i is not None})
+    assert distinct_state.merged_counts(states.limit(0)).collect() == []
+
+
+def test_a_changed_day_reads_that_day_only(spark, table):
+    events = spark.table(table)
+    name = table + "_sets"
+    versions.create(distinct_state.daily_sets(events), name)
+    versions.replace_range(frame(spark, [(500, 0, day(2)), (1, 0, day(2))]), table, day(2), day(2))
+    changed = spark.table(table).filter(F.col("event_date") == day(2))
+    versions.replace_days(distinct_state.daily_sets(changed), name, [day(2)])
+    got = {r.item_id: r.num_orders for r in distinct_state.merged_counts(spark.table(name)).collect()}
+    whole = spark.table(table).groupBy("item_id").agg(F.count_distinct("id").alias("n")).collect()
+    assert got == {r.item_id: r.n for r in whole}
+    plan = distinct_state.merged_counts(spark.table(name))._jdf.queryExecution().optimizedPlan().toString()
+    assert "events__data" not in plan

@@ -195,10 +195,20 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def encode(
-    df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", remember: bool = True
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "token_ids",
+    decoded: str | None = None,
+    remember: bool = True,
 ) -> DataFrame:
-    """``df`` with the ids of each ``text``; narrow, no shuffle. Workers ``remember`` encoded pieces
-    from one task to the next, or free their memory for other stages."""
+    """``df`` with the ids of each ``text``; narrow, no shuffle.
+
+    With ``decoded``, a column of that name holds the text that the ids decode to, in the same pass and
+    worker. Workers ``remember`` encoded pieces from one task to the next, or free their memory for
+    other stages.
+    """
+    fields = {ids: T.ArrayType(T.IntegerType())} | ({decoded: T.StringType()} if decoded else {})
 
     def run(batches):
         c = codec(path)
@@ -207,11 +217,14 @@ def encode(
             for start in range(0, len(texts), 256):  # bounds the ids held at once
                 part = batch.slice(start, 256)
                 rows = [c.encode(t.as_py() or "") for t in texts.slice(start, 256)]
-                yield _replaced(part, {ids: _lists(rows)})
+                columns = {ids: _lists(rows)}
+                if decoded:
+                    columns[decoded] = pa.array([c.decode(r.tolist()) for r in rows], pa.string())
+                yield _replaced(part, columns)
         if not remember:
             c.cache.forget()
 
-    return df.mapInArrow(run, _with(df, **{ids: T.ArrayType(T.IntegerType())}))
+    return df.mapInArrow(run, _with(df, **fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:

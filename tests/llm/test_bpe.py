@@ -76,3 +76,12 @@ def test_query_against_the_library(spark, theirs):
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         assert (r.n_tokens, r.ids_sha256) == (len(ids), sha(",".join(map(str, ids))))
         assert r.decoded_sha256 == sha(theirs.decode(ids, skip_special_tokens=False))
+
+
+def test_both_ways_in_one_pass(spark):
+    rows = [(1, None, 7), (2, "ab ab <|endoftext|>", 7), (3, "no\x00o 🙂", None)]
+    df = spark.createDataFrame(rows, "id INT, text STRING, decoded INT")
+    apart = bpe.decode(bpe.encode(df, PATH), PATH)
+    for remember in (True, False):
+        once = bpe.encode(df, PATH, decoded="decoded", remember=remember)
+        assert once.dtypes == apart.dtypes and sorted(once.collect()) == sorted(apart.collect())

@@ -84,8 +84,9 @@ def _counted(docs: DataFrame) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that is left, checked by decoding them."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, remember=False)
-    return bpe.decode(encoded, path).select(
+    texts = docs.select("doc_id", "lang", "source", "text")
+    # One worker for both ways, so that no second one holds memory through the other stages.
+    return bpe.encode(texts, path, decoded="decoded", remember=False).select(
         "doc_id",
         "lang",
         "source",

@@ -1,4 +1,4 @@
-"""Day tables whose days are replaced all at once.
+"""Day tables whose days are replaced all at once; buckets or any other parts go the same way.
 
 The rows of a table lie in ``<table>__data``, partitioned by version and day. Each replacement adds a
 version of its own and never touches another. ``<table>__manifest`` holds lists, each under a name of
@@ -39,12 +39,19 @@ def manifest(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(_manifests(table)).filter(F.col("manifest") == _shown(spark, table)).drop("manifest")
 
 
-def _switch(spark: SparkSession, table: str, on: str, name: str, columns: list[str]) -> None:
-    """Show another list: one change in the catalogue."""
+def note(spark: SparkSession, table: str) -> str:
+    """What the last replacement has noted."""
+    return spark.sql(f"SHOW TBLPROPERTIES {table} ('note')").first().value
+
+
+def _switch(spark: SparkSession, table: str, on: str, name: str, columns: list[str], noted: str) -> None:
+    """Show another list, with a note: one change in the catalogue."""
+    if "'" in noted or "\\" in noted:
+        raise ValueError(f"note {noted!r}")
     listed = ", ".join(f"d.`{c}`" for c in columns)
     # The days are few, so they prune the partitions that are read.
     spark.sql(
-        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('manifest' = '{name}') AS "
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('manifest' = '{name}', 'note' = '{noted}') AS "
         f"SELECT {listed} FROM {_data(table)} d LEFT SEMI JOIN "
         f"(SELECT `{on}`, {VERSION} FROM {_manifests(table)} WHERE manifest = '{name}') m "
         f"ON d.`{on}` = m.`{on}` AND d.{VERSION} = m.{VERSION}"
@@ -61,12 +68,12 @@ def _add(rows: DataFrame, table: str, on: str) -> DataFrame:
     return added.select(on, VERSION).distinct()
 
 
-def _publish(days: DataFrame, table: str, on: str, columns: list[str]) -> None:
+def _publish(days: DataFrame, table: str, on: str, columns: list[str], noted: str = "") -> None:
     # Not a number: a replacement that died may have left a list behind.
     name = uuid.uuid4().hex
     listed = days.select(on, VERSION, F.lit(name).alias("manifest")).coalesce(1)
     listed.write.mode("append").partitionBy("manifest").saveAsTable(_manifests(table))
-    _switch(days.sparkSession, table, on, name, columns)
+    _switch(days.sparkSession, table, on, name, columns, noted)
 
 
 def create(rows: DataFrame, table: str, on: str = "event_date") -> None:
@@ -78,12 +85,12 @@ def create(rows: DataFrame, table: str, on: str = "event_date") -> None:
     _publish(_add(rows, table, on), table, on, rows.columns)
 
 
-def _replace(rows: DataFrame, table: str, replaced: Column, on: str) -> None:
+def _replace(rows: DataFrame, table: str, replaced: Column, on: str, noted: str = "") -> None:
     spark = rows.sparkSession
     columns = spark.table(table).columns
     kept = manifest(spark, table).filter(~replaced).select(on, VERSION)
     added = _add(rows.select(*columns), table, on)
-    _publish(kept.unionByName(added), table, on, columns)
+    _publish(kept.unionByName(added), table, on, columns, noted)
 
 
 def replace_range(source: DataFrame, table: str, start: date, end: date, on: str = "event_date") -> None:
@@ -95,11 +102,14 @@ def replace_range(source: DataFrame, table: str, start: date, end: date, on: str
     _replace(in_range(source, F.lit(start), F.lit(end), on), table, F.col(on).between(start, end), on)
 
 
-def replace_days(source: DataFrame, table: str, days: list[date], on: str = "event_date") -> None:
-    """Replace exactly the days listed, all at once; a listed day without rows is gone."""
+def replace_days(
+    source: DataFrame, table: str, days: list[date] | list[int], on: str = "event_date", noted: str = ""
+) -> None:
+    """Replace exactly the days listed, all at once; a listed day without rows is gone. ``noted``
+    becomes the table's note in the same change."""
     if days:
         listed = F.col(on).isin(sorted(set(days)))
-        _replace(source.filter(listed), table, listed, on)
+        _replace(source.filter(listed), table, listed, on, noted)
 
 
 def vacuum(spark: SparkSession, table: str, on: str = "event_date") -> int:
@@ -112,7 +122,8 @@ def vacuum(spark: SparkSession, table: str, on: str = "event_date") -> int:
     # One row per calendar day and replacement.
     dead = stored.join(manifest(spark, table), [on, VERSION], "left_anti").collect()
     for r in dead:
-        spark.sql(f"ALTER TABLE {data} DROP IF EXISTS PARTITION ({VERSION} = '{r[VERSION]}', `{on}` = DATE '{r[on].isoformat()}')")
+        part = f"DATE '{r[on].isoformat()}'" if isinstance(r[on], date) else str(r[on])
+        spark.sql(f"ALTER TABLE {data} DROP IF EXISTS PARTITION ({VERSION} = '{r[VERSION]}', `{on}` = {part})")
     lists = spark.table(_manifests(table)).filter(F.col("manifest") != name).select("manifest").distinct()
     for r in lists.collect():
         spark.sql(f"ALTER TABLE {_manifests(table)} DROP IF EXISTS PARTITION (manifest = '{r.manifest}')")

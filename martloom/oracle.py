@@ -273,6 +273,19 @@ def _v1_query(select: str, literal_macro: bool = False) -> str:
     return _with(LANDING_SQL, STAGING_SQL, _v1(literal_macro), select=select)
 
 
+CHANGED_ITEMS = """
+changed_items as (
+  select * from raw_items where order_id % 100 <> 7
+  union all by name
+  select * replace (sku % 100 + 1 as sku) from raw_items where order_id % 200 = 7)"""
+
+
+def _changed_query(select: str) -> str:
+    """The dollar marts over changed items."""
+    staging = STAGING_SQL.replace("from raw_items)", "from changed_items)")
+    return _with(LANDING_SQL, CHANGED_ITEMS, staging, _v1(False), select=select)
+
+
 def _v2_query(select: str) -> str:
     return _with(LANDING_SQL, STAGING_SQL, V2_SQL, select=select)
 
@@ -500,6 +513,8 @@ from run_models""",
     "catch_up_emptied_day": _with(
         LANDING_SQL, select=f"select * from seed_events where {IN_RANGE} and event_date <> date '{END}'"
     ),
+    "delta_orders": _changed_query("select * from orders_mart"),
+    "delta_customers": _changed_query("select * from customers_mart"),
     "rebuild_atomic": _with(
         LANDING_SQL,
         select=f"""select s.* from seed_events s join events e on s.id = e.event_id

@@ -46,13 +46,9 @@ def _kind_flag(kind: str) -> Column | None:
     return None if kind == "total" else F.col(f"is_{kind}_item")
 
 
-def order_summary(items: DataFrame) -> DataFrame:
-    """Counts and cent sums per order. ``items`` needs only the item columns, not the order's."""
-    measures = []
-    for kind in KINDS:
-        flag = _kind_flag(kind)
-        n = F.count(F.lit(1)) if flag is None else F.count_if(flag)
-        measures.append(n.alias(f"{kind}_items_count"))
+def order_measures() -> dict[str, Column]:
+    """Cents that each item adds to a sum of its order."""
+    measures = {}
     for measure, column in (
         ("revenue", "product_price"),
         ("cost", "supply_cost"),
@@ -62,8 +58,19 @@ def order_summary(items: DataFrame) -> DataFrame:
         for kind in KINDS:
             flag = _kind_flag(kind)
             part = cents if flag is None else F.when(flag, cents).otherwise(F.lit(0))
-            measures.append(F.sum(part).alias(f"{kind}_{measure}"))
-    return items.groupBy("order_id").agg(*measures)
+            measures[f"{kind}_{measure}"] = part
+    return measures
+
+
+def order_summary(items: DataFrame) -> DataFrame:
+    """Counts and cent sums per order. ``items`` needs only the item columns, not the order's."""
+    counts = []
+    for kind in KINDS:
+        flag = _kind_flag(kind)
+        n = F.count(F.lit(1)) if flag is None else F.count_if(flag)
+        counts.append(n.alias(f"{kind}_items_count"))
+    sums = [F.sum(part).alias(name) for name, part in order_measures().items()]
+    return items.groupBy("order_id").agg(*counts, *sums)
 
 
 def orders(stg_orders: DataFrame, items: DataFrame) -> DataFrame:

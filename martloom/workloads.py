@@ -24,7 +24,7 @@ from martloom.operators import (
 )
 from martloom.operators.lookup import bounded
 from martloom.operators.quality import Rule
-from martloom.plans import marts_v1, marts_v2, reports, staging
+from martloom.plans import delta, marts_v1, marts_v2, reports, staging
 from martloom.plans.products import (
     priced_items,
     product_economics,
@@ -52,6 +52,7 @@ LEXICON = (
 )
 # Words of the texts that take the part of negations, degree words and contrasts.
 RULE_WORDS = rules.Words(("in", "as"), {"the": 0.293, "and": 0.293, "of": -0.293, "is": -0.293}, ("was",))
+DELTA_BUCKETS = 16
 PRODUCT_TYPES = ("ECONOMY", "STANDARD", "MEDIUM", "SMALL", "PROMO", "LARGE")
 RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 14))
 AS_OF = "2024-01-31 00:04:00"
@@ -408,6 +409,22 @@ def _full_model_from_days(m: Models) -> DataFrame:
     return distinct_state.merged_counts(m.spark.table(name))
 
 
+def _delta(m: Models) -> tuple[DataFrame, DataFrame]:
+    """Both marts after one order in a hundred has lost its items, and half of these got others."""
+    schema = _scratch_schema(m.spark)
+    names = tables.qualify("order_states", schema), tables.qualify("customers", schema)
+    economics = bounded(m.economics())
+    priced = lambda items, *extra: marts_v1.item_dollars(priced_items(items, economics), extra)
+    delta.create(m.customers(), m.orders(), priced(m.items()), *names, DELTA_BUCKETS)
+    old = m.items().filter(F.col("order_id") % 100 == 7).withColumn("sign", F.lit(-1))
+    other = (F.col("product_id") % 100 + 1).cast(old.schema["product_id"].dataType)
+    new = old.filter(F.col("order_id") % 200 == 7).withColumn("product_id", other).withColumn("sign", F.lit(1))
+    changes = written(priced(old.unionByName(new), "sign"), "changes")
+    delta.apply(m.customers(), m.orders(), changes, "one in a hundred", *names, DELTA_BUCKETS)
+    orders, customers = map(m.spark.table, names)
+    return delta.orders_mart(orders), customers.drop("bucket")
+
+
 def _catch_up_emptied_day(m: Models) -> DataFrame:
     """Catch up, then rebuild a listed day that has lost all its rows, and one that has not."""
     schema = _scratch_schema(m.spark)
@@ -576,6 +593,8 @@ QUERIES: dict[str, Query] = {
     "freshness_policies": _models(_freshness_policies),
     "catch_up": _models(_catch_up),
     "catch_up_emptied_day": _models(_catch_up_emptied_day),
+    "delta_orders": _models(lambda m: _delta(m)[0]),
+    "delta_customers": _models(lambda m: _delta(m)[1]),
     "rebuild_atomic": _models(_rebuild_atomic),
     "full_model_from_days": _models(_full_model_from_days),
     "streamed_landing": _models(_streamed),

@@ -12,17 +12,23 @@ join works down from large regions to small ones:
    at the threshold shares on average three in four of them, and fewer than ``SHARED`` with a chance
    of 4e-16, about that of a hash collision (short texts show all, where the bound is certain). Only
    documents whose sketch meets another's this way go on, and these with all their shingles.
-3. A region with more than one component elects ``PIVOTS`` of its core documents. Every member's
-   distance to each is computed exactly. A core member's home is its nearest pivot, the Voronoi
-   region; a linked pair lies within the radius, so by the triangle inequality the other is at most
-   two radii further from that pivot than from its own home. Members inside that window are copied
-   to the region; there they are compared with its core only.
-4. Pivots leave with all their links found. Members in one component need not be compared, so a
-   region of thousands of near copies is done once its pivots have tied them together. Each level
-   elects more pivots, and a region with few core members for its level is joined directly.
-
-Every link is decided by the exact shingle sets. Work per document depends on its regions, not on
-the size of its group: copies in one component are never paired with each other.
+3. First rounds: a region elects a few pivots, by a rank of all documents, so that regions with the
+   same documents elect the same ones. Each pivot is compared with the members outside its component,
+   and leaves with all its links found. Members of one component need not be compared, so most
+   regions of near copies are done once their pivots have tied them together.
+4. What a region holds beside its largest component are its outliers; every pair that is left has one.
+   A region of many outliers elects ``PIVOTS``, and every member's distance to each is computed
+   exactly. A core member's home is its nearest pivot, the Voronoi region; a linked pair lies within
+   the radius, so by the triangle inequality the other is at most two radii further from that pivot
+   than from its own home. Members inside that window are copied to the region; there they are
+   compared with its core only. Such regions are joined by the same steps again.
+5. In a region of few outliers, blocks of them stay in a task while its members stream past: a member
+   is a row for each block, never one for each pair. Only sets of fitting sizes, in different
+   components, are compared, and a tile reports one link between two components.
+
+Every link is decided by the exact shingle sets. Copies in one component are never compared with each
+other. Outliers that share rare shingles with a large group and link with none of it are compared
+with all of it: in tiles their time, not their rows, grows with the square of such a group.
 """
 
 from __future__ import annotations
@@ -46,9 +52,14 @@ SHARED = 10
 # members neither link nor lie apart.
 PIVOTS = 8
 MORE = 4
-# Core members of a region that is joined directly: at first, and later per pivot of the level.
-LEAF = 8
-LEAF_PER_PIVOT = 2
+# Pivots of each region in the first rounds.
+ROUNDS = (1, 4)
+# Outliers of a region that is joined in tiles: at first, and later per pivot of the level.
+LEAF = 1024
+LEAF_PER_PIVOT = 128
+# Outliers of a tile, and members that pass them in one task.
+BLOCK = 256
+LOT = 2048
 # Members compared with one copy of a pivot's set in one run.
 RUN = 256
 
@@ -228,6 +239,120 @@ def _windows(members: DataFrame, met: DataFrame, pivots: DataFrame) -> DataFrame
     )
 
 
+class _Block:
+    """The sets of a block of outliers, by shingle."""
+
+    def __init__(self, rows: list[tuple]):
+        self.node, self.label = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1))
+        self.core = np.array([r[2] for r in rows], dtype=bool)
+        sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        self.n = np.array([len(x) for x in sets], dtype=np.int64)
+        shingles = np.concatenate(sets)
+        order = np.argsort(shingles, kind="stable")
+        self.owner = np.repeat(np.arange(len(rows)), self.n)[order]
+        self.shingle, self.start, self.many = np.unique(
+            shingles[order], return_index=True, return_counts=True
+        )
+        self.reported: set[tuple[int, int]] = set()
+
+    def linked(self, node: int, label: int, core: bool, main: bool, packed: bytes) -> np.ndarray:
+        """The rows of the block that link with a member; pairs of outliers are decided once."""
+        n = len(packed) // 8
+        low, high = np.minimum(self.n, n), np.maximum(self.n, n)
+        open_ = (self.label != label) & (low * 100 >= high * PERCENT)
+        if not core:
+            open_ &= self.core
+        if not main:
+            open_ &= self.node < node
+        if not open_.any():
+            return np.empty(0, dtype=np.int64)
+        s = np.frombuffer(packed, dtype=np.uint64)
+        at = np.minimum(np.searchsorted(self.shingle, s), len(self.shingle) - 1)
+        at = at[self.shingle[at] == s]
+        many = self.many[at]
+        ends = np.cumsum(many)
+        places = np.arange(many.sum()) + np.repeat(self.start[at] - ends + many, many)
+        shared = np.bincount(self.owner[places], minlength=len(self.n))
+        return np.flatnonzero(open_ & (shared * 100 >= (self.n + n - shared) * PERCENT))
+
+
+def _tile_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` between the components of each region, at least one of any two that link.
+
+    ``members`` holds ``region, node, core, label`` and ``main`` for those of the region's largest
+    component; a pair without a core member is left to other regions.
+    """
+
+    def run(batches):
+        key, rows, block = None, [], None
+        for batch in batches:
+            out = []
+            columns = (batch.column(k).to_pylist() for k in range(batch.num_columns))
+            for region, tile, lot, member, node, label, core, main, packed in zip(*columns):
+                if key != (region, tile, lot):
+                    key, rows, block = (region, tile, lot), [], None
+                if not member:
+                    rows.append((node, label, core, packed))
+                    continue
+                if not rows:
+                    continue
+                if block is None:
+                    block = _Block(rows)
+                for k in block.linked(node, label, core, main, packed).tolist():
+                    tied = (int(block.label[k]), label)
+                    if tied not in block.reported:
+                        block.reported.add(tied)
+                        out.append((int(block.node[k]), node))
+            columns = list(zip(*out)) if out else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    sizes = members.groupBy("region").agg(
+        F.ceil(F.count_if(~F.col("main")) / BLOCK).alias("tiles"),
+        F.ceil(F.count(F.lit(1)) / LOT).alias("lots"),
+    )
+    dealt = members.join(sizes, "region")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    hashed = lambda n: F.pmod(F.xxhash64("node", F.lit(n)), F.col(n))
+    columns = ["node", "label", "core", "main"]
+    outliers = dealt.filter("not main").select(
+        "region", hashed("tiles").alias("tile"), each("lots").alias("lot"), F.lit(False).alias("member"), *columns
+    )
+    passing = dealt.select(
+        "region", each("tiles").alias("tile"), hashed("lots").alias("lot"), F.lit(True).alias("member"), *columns
+    )
+    rows = (
+        outliers.unionByName(passing)
+        .join(sets, "node")
+        .select("region", "tile", "lot", "member", *columns, "packed")
+        .repartition("region", "tile", "lot")
+        .sortWithinPartitions("region", "tile", "lot", "member")
+    )
+    return rows.mapInArrow(run, "a BIGINT, b BIGINT")
+
+
+def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of regions where pairs are left: with their ``label``, the component so far,
+    whether that is the region's largest, ``main``, and the region's number of ``outliers``."""
+    label = F.coalesce("component", "node").alias("label")
+    members = regions.join(found, "node", "left").select("region", "node", "core", label)
+    of_label = members.groupBy("region", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.max("core").alias("core")
+    )
+    of_region = (
+        of_label.groupBy("region")
+        .agg(
+            F.max(F.struct("n", "label")).alias("top"),
+            F.sum("n").alias("n"),
+            F.max("core").alias("core"),
+        )
+        .filter("core and n > top.n")
+        .select("region", F.col("top.label").alias("largest"), (F.col("n") - F.col("top.n")).alias("outliers"))
+    )
+    return members.join(of_region, "region").select(
+        "region", "node", "core", "label", (F.col("label") == F.col("largest")).alias("main"), "outliers"
+    )
+
+
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links ``a, b`` that tie together all nodes of each component.
 
@@ -240,57 +365,61 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = written(_shingles_of(docs, written(involved, "involved")), "shingles")
     regions = written(_meeting(_rarest(_unpacked(sets), None)).withColumn("core", F.lit(True)), "regions")
     found = spark.createDataFrame([], "node BIGINT, component BIGINT")
+
+    def with_links(new: DataFrame) -> DataFrame:
+        if new.isEmpty():
+            return found
+        old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(old.unionByName(new))
+
+    for turn, wanted in enumerate(ROUNDS):
+        members = written(_mixed(regions, found), "members")
+        pivots = written(_elected(members, F.xxhash64("node", F.lit(-1 - turn)), wanted), "pivots")
+        pairs = (
+            members.join(pivots, "region")
+            .filter("label <> pivot_label")
+            .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        )
+        found = with_links(written(_compared(pairs.distinct(), sets), "distances").filter(_linked()).select("a", "b"))
+        regions = members.select("region", "node", "core").join(
+            pivots.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti"
+        )
     level = 0
     while True:
         wanted = PIVOTS * MORE**level
         leaf_size = LEAF_PER_PIVOT * wanted if level else LEAF
-        label = F.coalesce("component", "node").alias("label")
-        members = regions.join(found, "node", "left").select("region", "node", "core", label)
-        mixed = (
-            members.groupBy("region")
-            .agg(
-                F.min("label").alias("lo"),
-                F.max("label").alias("hi"),
-                F.count_if("core").alias("cores"),
-            )
-            .filter("lo < hi and cores > 0")
-            .select("region", (F.col("cores") <= leaf_size).alias("leaf"))
-        )
-        members = written(members.join(mixed, "region"), "members")
+        members = written(_mixed(regions, found), "members")
         if members.isEmpty():
             return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        leaf = members.filter("leaf")
-        core = leaf.filter("core").select("region", F.col("node").alias("b"), F.col("label").alias("label_b"))
-        # Each pair once: within the core by order, and of the window's members with the core.
-        direct = (
-            leaf.join(core, "region")
-            .filter("label <> label_b and (not core or node < b)")
-            .select(F.col("node").alias("a"), "b")
-        )
-        large = members.filter("not leaf")
+        leaf = members.filter(F.col("outliers") <= leaf_size)
+        large = members.filter(F.col("outliers") > leaf_size)
+        if not level:
+            # As long as all members are core, the outliers alone cover every pair that is left.
+            large = large.withColumn("core", ~F.col("main"))
+        new = written(_tile_links(leaf, sets), "tile_links")
         pivots = written(_elected(large, F.xxhash64("node", F.lit(level)), wanted), "pivots")
+        if pivots.isEmpty():
+            found = with_links(new)
+            return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         to_pivots = (
             large.join(pivots, "region")
             .filter("node <> pivot")
             .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         )
-        met = written(_compared(direct.unionByName(to_pivots).distinct(), sets), "distances")
-        new = met.filter(_linked()).select("a", "b")
-        if not new.isEmpty():
-            old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = components(old.unionByName(new))
+        met = written(_compared(to_pivots.distinct(), sets), "distances")
+        found = with_links(new.unionByName(met.filter(_linked()).select("a", "b")))
         regions = written(_windows(large.select("region", "node", "core"), met, pivots), "regions")
         level += 1
 
 
 def _elected(members: DataFrame, rank: F.Column, wanted: int) -> DataFrame:
-    """``region`` and ``pivot``: of each region about ``wanted`` core members, those of least rank in
-    each bin of the rank, so that electing is a plain aggregate."""
+    """``region``, ``pivot`` and ``pivot_label``: of each region about ``wanted`` core members, those
+    of least rank in each bin of the rank, so that electing is a plain aggregate."""
     return (
         members.filter("core")
         .groupBy("region", F.pmod(rank, F.lit(wanted)).alias("bin"))
-        .agg(F.min_by("node", rank).alias("pivot"))
-        .select("region", "pivot")
+        .agg(F.min(F.struct(rank.alias("rank"), "node", "label")).alias("least"))
+        .select("region", F.col("least.node").alias("pivot"), F.col("least.label").alias("pivot_label"))
     )
 
 

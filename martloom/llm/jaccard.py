@@ -22,9 +22,11 @@ join works down from large regions to small ones:
    the radius, so by the triangle inequality the other is at most two radii further from that pivot
    than from its own home. Members inside that window are copied to the region; there they are
    compared with its core only. Such regions are joined by the same steps again.
-5. In a region of few outliers, blocks of them stay in a task while its members stream past: a member
-   is a row for each block, never one for each pair. Only sets of fitting sizes, in different
-   components, are compared, and a tile reports one link between two components.
+5. A region of few pairs adds them to the distinct pairs of all such regions. The others, if their
+   outliers are few, become one for each largest component, as its documents meet in many regions.
+   There, blocks of outliers stay in a task while the members stream past: a member is a row for each
+   block, never one for each pair. Only sets of fitting sizes, in different components, are compared,
+   and a tile reports one link between two components.
 
 Every link is decided by the exact shingle sets. Copies in one component are never compared with each
 other. Outliers that share rare shingles with a large group and link with none of it are compared
@@ -57,6 +59,8 @@ ROUNDS = (1, 4)
 # Outliers of a region that is joined in tiles: at first, and later per pivot of the level.
 LEAF = 1024
 LEAF_PER_PIVOT = 128
+# Pairs of a region that is not joined in tiles.
+PAIRS = 1024
 # Outliers of a tile, and members that pass them in one task.
 BLOCK = 256
 LOT = 2048
@@ -279,9 +283,12 @@ class _Block:
 def _tile_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links ``a, b`` between the components of each region, at least one of any two that link.
 
-    ``members`` holds ``region, node, core, label`` and ``main`` for those of the region's largest
-    component; a pair without a core member is left to other regions.
+    ``members`` holds ``largest``, the region's largest component, ``main`` for the members of it,
+    ``node``, ``core`` and ``label``; a pair without a core member is left to other regions.
     """
+    members = members.groupBy(F.col("largest").alias("region"), "node", "label", "main").agg(
+        F.max("core").alias("core")
+    )
 
     def run(batches):
         key, rows, block = None, [], None
@@ -332,7 +339,8 @@ def _tile_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
     """The members of regions where pairs are left: with their ``label``, the component so far,
-    whether that is the region's largest, ``main``, and the region's number of ``outliers``."""
+    whether that is the region's ``largest``, ``main``, and the region's numbers of members, ``n``,
+    and of ``outliers``."""
     label = F.coalesce("component", "node").alias("label")
     members = regions.join(found, "node", "left").select("region", "node", "core", label)
     of_label = members.groupBy("region", "label").agg(
@@ -346,10 +354,29 @@ def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
             F.max("core").alias("core"),
         )
         .filter("core and n > top.n")
-        .select("region", F.col("top.label").alias("largest"), (F.col("n") - F.col("top.n")).alias("outliers"))
+        .select(
+            "region",
+            F.col("top.label").alias("largest"),
+            "n",
+            (F.col("n") - F.col("top.n")).alias("outliers"),
+        )
     )
-    return members.join(of_region, "region").select(
-        "region", "node", "core", "label", (F.col("label") == F.col("largest")).alias("main"), "outliers"
+    main = F.col("label") == F.col("largest")
+    return members.join(of_region, "region").withColumn("main", main)
+
+
+def _few_pairs(members: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of regions of few: an outlier ``b`` and a member outside its component."""
+    outlier = members.filter("not main").select(
+        "region",
+        F.col("node").alias("b"),
+        F.col("label").alias("label_b"),
+        F.col("core").alias("core_b"),
+    )
+    return (
+        members.join(outlier, "region")
+        .filter("label <> label_b and (core or core_b) and (main or node < b)")
+        .select(F.col("node").alias("a"), "b")
     )
 
 
@@ -396,18 +423,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         if not level:
             # As long as all members are core, the outliers alone cover every pair that is left.
             large = large.withColumn("core", ~F.col("main"))
-        new = written(_tile_links(leaf, sets), "tile_links")
+        few = F.col("outliers") * F.col("n") <= PAIRS
+        tied = written(_tile_links(leaf.filter(~few), sets), "tile_links")
+        pairs = _few_pairs(leaf.filter(few))
         pivots = written(_elected(large, F.xxhash64("node", F.lit(level)), wanted), "pivots")
-        if pivots.isEmpty():
-            found = with_links(new)
-            return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         to_pivots = (
             large.join(pivots, "region")
             .filter("node <> pivot")
             .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         )
-        met = written(_compared(to_pivots.distinct(), sets), "distances")
-        found = with_links(new.unionByName(met.filter(_linked()).select("a", "b")))
+        met = written(_compared(pairs.unionByName(to_pivots).distinct(), sets), "distances")
+        found = with_links(tied.unionByName(met.filter(_linked()).select("a", "b")))
+        if pivots.isEmpty():
+            return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         regions = written(_windows(large.select("region", "node", "core"), met, pivots), "regions")
         level += 1
 

@@ -128,3 +128,30 @@ def test_one_id_with_a_blank_text_and_another(spark):
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
     out = {r.component_id for r in jaccard.near_copies(df).filter("n_shingles > 0").collect()}
     assert out == {2}
+
+
+@pytest.mark.parametrize("leaf", [1024, 10])
+def test_a_group_on_both_sides_of_the_threshold(spark, monkeypatch, leaf):
+    """Near copies of one text, of which some link with none: joined in tiles of a few outliers, or
+    through pivots and windows first; the rows that carry sets stay below the pairs of the group."""
+    monkeypatch.setattr(jaccard, "PAIRS", 0)
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    monkeypatch.setattr(jaccard, "LOT", 50)
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    rnd = random.Random(11)
+    base = [f"w{k}" for k in range(146)]
+    rows = []
+    for k in range(500):
+        t = list(base)
+        for _ in range(rnd.randrange(8)):
+            t[rnd.randrange(len(t))] = f"x{rnd.randrange(60)}"
+        rows.append((k, " ".join(t)))
+    shipped = []
+    compared = jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda p, s: shipped.append(p.count()) or compared(p, s))
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    expected = brute(rows)
+    assert got(jaccard.near_copies(df)) == expected
+    assert len({c for _, c in expected.values()}) > 20
+    if leaf == 1024:
+        assert sum(shipped) < 500 * 499 / 2 / 10

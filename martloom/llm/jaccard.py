@@ -68,6 +68,17 @@ LOT = 2048
 RUN = 256
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files of the jobs so far given back.
+
+    Spark deletes them once the driver's JVM has collected their plans, which a roomy heap puts off
+    for as long as the join runs; so it is asked to collect now.
+    """
+    table = written(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
@@ -389,8 +400,8 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shown = nodes.select("node", "set", "n", F.explode("sketch").alias("region"))
     involved = _meeting(_rarest(shown, SHARED)).select("node").distinct()
-    sets = written(_shingles_of(docs, written(involved, "involved")), "shingles")
-    regions = written(_meeting(_rarest(_unpacked(sets), None)).withColumn("core", F.lit(True)), "regions")
+    sets = _stored(_shingles_of(docs, _stored(involved, "involved")), "shingles")
+    regions = _stored(_meeting(_rarest(_unpacked(sets), None)).withColumn("core", F.lit(True)), "regions")
     found = spark.createDataFrame([], "node BIGINT, component BIGINT")
 
     def with_links(new: DataFrame) -> DataFrame:
@@ -400,14 +411,14 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         return components(old.unionByName(new))
 
     for turn, wanted in enumerate(ROUNDS):
-        members = written(_mixed(regions, found), "members")
-        pivots = written(_elected(members, F.xxhash64("node", F.lit(-1 - turn)), wanted), "pivots")
+        members = _stored(_mixed(regions, found), "members")
+        pivots = _stored(_elected(members, F.xxhash64("node", F.lit(-1 - turn)), wanted), "pivots")
         pairs = (
             members.join(pivots, "region")
             .filter("label <> pivot_label")
             .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         )
-        found = with_links(written(_compared(pairs.distinct(), sets), "distances").filter(_linked()).select("a", "b"))
+        found = with_links(_stored(_compared(pairs.distinct(), sets), "distances").filter(_linked()).select("a", "b"))
         regions = members.select("region", "node", "core").join(
             pivots.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti"
         )
@@ -415,7 +426,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     while True:
         wanted = PIVOTS * MORE**level
         leaf_size = LEAF_PER_PIVOT * wanted if level else LEAF
-        members = written(_mixed(regions, found), "members")
+        members = _stored(_mixed(regions, found), "members")
         if members.isEmpty():
             return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         leaf = members.filter(F.col("outliers") <= leaf_size)
@@ -424,19 +435,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             # As long as all members are core, the outliers alone cover every pair that is left.
             large = large.withColumn("core", ~F.col("main"))
         few = F.col("outliers") * F.col("n") <= PAIRS
-        tied = written(_tile_links(leaf.filter(~few), sets), "tile_links")
+        tied = _stored(_tile_links(leaf.filter(~few), sets), "tile_links")
         pairs = _few_pairs(leaf.filter(few))
-        pivots = written(_elected(large, F.xxhash64("node", F.lit(level)), wanted), "pivots")
+        pivots = _stored(_elected(large, F.xxhash64("node", F.lit(level)), wanted), "pivots")
         to_pivots = (
             large.join(pivots, "region")
             .filter("node <> pivot")
             .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         )
-        met = written(_compared(pairs.unionByName(to_pivots).distinct(), sets), "distances")
+        met = _stored(_compared(pairs.unionByName(to_pivots).distinct(), sets), "distances")
         found = with_links(tied.unionByName(met.filter(_linked()).select("a", "b")))
         if pivots.isEmpty():
             return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        regions = written(_windows(large.select("region", "node", "core"), met, pivots), "regions")
+        regions = _stored(_windows(large.select("region", "node", "core"), met, pivots), "regions")
         level += 1
 
 
@@ -465,10 +476,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gives an empty result. Other columns of ``docs`` are not read.
     """
     texts = _texts(docs, doc_id, text)
-    shown = written(sketches(texts), "sketches")
+    shown = _stored(sketches(texts), "sketches")
     full = shown.filter("n > 0")
     classes = full.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"))
-    classes = written(classes, "classes")
+    classes = _stored(classes, "classes")
     nodes = (
         full.join(
             classes.select(F.col("node").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"]

@@ -303,6 +303,18 @@ select dataset, last_update, lag_seconds, max_lag_seconds, severity,
 from lags"""
 
 
+# The tables of a listed schema with their declared types (fixed values).
+CUSTOMER_COLUMNS = "[['customer_id', 'bigint'], ['customer_name', 'string']]"
+ORDER_COLUMNS = """[['order_id', 'bigint'], ['customer_id', 'bigint'], ['order_date', 'timestamp_ntz'],
+  ['store_id', 'int'], ['subtotal', 'bigint'], ['tax_paid', 'bigint'], ['order_total', 'bigint'],
+  ['status', 'string']]"""
+CATALOGUED = f"""select *, len(columns) as n_columns from (
+  select 'customers' as table_name, true as is_stored, {CUSTOMER_COLUMNS} as columns, count(*) as n_rows
+  from stg_customers
+  union all select 'orders', true, {ORDER_COLUMNS}, count(*) from stg_orders
+  union all select 'late_orders', false, {ORDER_COLUMNS}, count(*) from stg_orders where order_id > 100)"""
+
+
 def _text(select: str) -> str:
     return _with(LANDING_SQL, STAGING_SQL, TEXT_SQL, select=select)
 
@@ -515,6 +527,8 @@ from run_models""",
     ),
     "delta_orders": _changed_query("select * from orders_mart"),
     "delta_customers": _changed_query("select * from customers_mart"),
+    "colocated_orders": _v1_query("select * from orders_mart"),
+    "colocated_customers": _v1_query("select * from customers_mart"),
     "rebuild_atomic": _with(
         LANDING_SQL,
         select=f"""select s.* from seed_events s join events e on s.id = e.event_id
@@ -543,6 +557,22 @@ from raw_products""",
     ),
     "seed_load": _with(LANDING_SQL, select=SEED_AS_INT),
     "keyed_load": _with(LANDING_SQL, select="select id::varchar as id, name from raw_customers"),
+    "materialize_kinds": _staging(
+        "select *, 'view' as kind from stg_products union all select *, 'table' from stg_products"
+    ),
+    "qualify_name": _staging(
+        """select *, 'default' as place from stg_stores
+union all select *, 'custom' from stg_stores where store_id % 2 = 0"""
+    ),
+    "flush_schema": _staging(
+        f"""select moment, table_name, n_columns::integer as n_columns,
+       case when moment = 'before' then n_rows else 0 end as n_rows
+from ({CATALOGUED}) cross join (values ('before'), ('after')) w(moment)"""
+    ),
+    "catalog_list": _staging(
+        f"""select table_name, is_stored, c[1] as column_name, c[2] as data_type, n_rows
+from (select *, unnest(columns) as c from ({CATALOGUED}))"""
+    ),
     "write_replace": _staging("select * from stg_orders"),
     "write_truncate_load": _staging("select * from stg_customers"),
     "export_csv": _v1_query("select * from customers_mart"),
@@ -563,6 +593,19 @@ from raw_products""",
         select=_audit_sql("positive_item_ids", "item_id < 0", "full_model"),
     ),
     "audit_negative_balance": _audit_sql("negative_balance", "c_acctbal < 0", "customer"),
+    "check_required_columns": _staging(_rules_sql(w.REQUIRED)),
+    "contract_check": _staging(
+        """select c.* exclude (n), n as n_values
+from (select count(*) as rows, count(case when order_total % 2 = 0 then 1 end) as even from raw_orders),
+lateral (values
+  ('id', 'string', 'string', 'ok', rows), ('customer', 'string', 'string', 'ok', rows),
+  ('ordered_at', 'timestamp_ntz', 'timestamp_ntz', 'ok', rows), ('store_id', 'string', null, 'missing', 0),
+  ('subtotal', 'int', 'double', 'type_mismatch', rows), ('tax_paid', 'int', 'int', 'ok', rows),
+  ('order_total', 'int', 'int', 'ok', rows), ('channel', null, 'string', 'unexpected', even)
+) c("column", expected, actual, status, n)"""
+    ),
+    "gate_blocks": _staging("select * from stg_orders"),
+    "publish_observed": _v1_query(_rules_sql([r for rules in w.PUBLISHED.values() for r in rules])),
     "check_sentiment": _with(
         LANDING_SQL,
         STAGING_SQL,

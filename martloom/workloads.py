@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,12 @@ from martloom.functions.names import quoted_parts, utc_to_epoch_ms
 from martloom.functions.text import bin_rank, score_bin
 from martloom.operators import (
     catalogue,
+    contract,
     distinct_state,
     freshness,
     incremental,
     mentions,
+    observed,
     quality,
     rules,
     sentiment,
@@ -24,7 +27,7 @@ from martloom.operators import (
 )
 from martloom.operators.lookup import bounded
 from martloom.operators.quality import Rule
-from martloom.plans import delta, marts_v1, marts_v2, reports, staging
+from martloom.plans import colocated, delta, marts_v1, marts_v2, reports, staging
 from martloom.plans.products import (
     priced_items,
     product_economics,
@@ -53,6 +56,7 @@ LEXICON = (
 # Words of the texts that take the part of negations, degree words and contrasts.
 RULE_WORDS = rules.Words(("in", "as"), {"the": 0.293, "and": 0.293, "of": -0.293, "is": -0.293}, ("was",))
 DELTA_BUCKETS = 16
+COLOCATED_BUCKETS = 8
 PRODUCT_TYPES = ("ECONOMY", "STANDARD", "MEDIUM", "SMALL", "PROMO", "LARGE")
 RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 14))
 AS_OF = "2024-01-31 00:04:00"
@@ -326,6 +330,26 @@ STAGED_CHECKS = {
         Rule.row_count("stg_tweets"),
     ],
 }
+REQUIRED = [
+    Rule.required_columns("stg_orders", "order_id", "customer_id"),
+    Rule.required_columns("stg_tweets", "content"),
+    Rule.row_count("stg_tweets"),
+]
+PUBLISHED = {
+    "orders": [
+        Rule.unique("orders", "order_id"),
+        Rule.not_null("orders", "customer_id"),
+        Rule.accepted_range("orders", "total_revenue", 0),
+        Rule.accepted_range("orders", "food_profit", 1000, severity="warn"),
+        Rule.relationships("orders", "customer_id", "stg_customers", "customer_id"),
+        Rule.row_count("orders"),
+    ],
+    "customers": [
+        Rule.unique("customers", "customer_id"),
+        Rule.not_null("customers", "total_revenue", severity="warn"),
+        Rule.accepted_range("customers", "number_of_orders", 1),
+    ],
+}
 ORPHANS = Rule.relationships("stg_orders", "order_id", "stg_order_items", "order_id")
 REPEATED = Rule.unique("stg_order_items", "order_id", "product_id")
 
@@ -344,21 +368,142 @@ def all_rules() -> list[Rule]:
 
 
 def _check_all(m: Models) -> DataFrame:
-    """Every rule of every table. The marts are written once, as a build would, then checked."""
+    """Every rule of every table. The marts are written once, as a build would; their row rules are
+    measured meanwhile."""
+    rules = all_rules()
     stg = m.staged()
-    items = written(m.v1_order_items(), "order_items")
-    orders = written(marts_v1.orders(stg["stg_orders"], items), "orders")
     frames = {
         **m.landing(),
         **stg,
         "products": marts_v1.products(stg["stg_products"]),
         "supplies": marts_v1.supplies(stg["stg_supplies"]),
         "tweets": marts_v1.tweets(stg["stg_tweets"]),
-        "order_items": items,
-        "orders": orders,
-        "customers": written(marts_v1.customers(stg["stg_customers"], orders), "customers"),
     }
-    return quality.evaluate(frames, all_rules())
+    measured = []
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        mine = [r for r in rules if r.table == name and observed.observable(df, r)]
+        frames[name], results = observed.written_checked(df, scratch_path(m.spark, name), mine)
+        measured.append(results)
+        rules[:] = [r for r in rules if r not in mine]
+        return frames[name]
+
+    orders = store("orders", marts_v1.orders(stg["stg_orders"], store("order_items", m.v1_order_items())))
+    store("customers", marts_v1.customers(stg["stg_customers"], orders))
+    return reduce(DataFrame.unionByName, measured, quality.evaluate(frames, rules))
+
+
+def _publish_observed(m: Models) -> DataFrame:
+    """Results of the rules of two marts that are shown only because they pass."""
+    schema = _scratch_schema(m.spark)
+    items = marts_v1.item_dollars(m.priced())
+    orders = marts_v1.orders(m.orders(), items)
+    frames = {"stg_customers": m.customers()}
+    first = observed.publish(orders, f"{schema}.orders", PUBLISHED["orders"], frames)
+    mart = marts_v1.customers(m.customers(), m.spark.table(f"{schema}.orders"))
+    return first.unionByName(observed.publish(mart, f"{schema}.customers", PUBLISHED["customers"]))
+
+
+def _gate_blocks(m: Models) -> DataFrame:
+    """A published table after a replacement that has lost the status of some orders was refused."""
+    name = f"{_scratch_schema(m.spark)}.stg_orders"
+    rules = [Rule.not_null("stg_orders", "status"), Rule.unique("stg_orders", "order_id")]
+    observed.publish(m.orders(), name, rules)
+    broken = m.orders().withColumn("status", F.when(F.col("order_id") % 100 != 7, F.col("status")))
+    try:
+        observed.publish(broken, name, rules)
+    except quality.QualityError:
+        return m.spark.table(name)
+    raise AssertionError("the replacement was not refused")
+
+
+def _contract_check(m: Models) -> DataFrame:
+    """Orders that keep their contract, and the report of a version that has drifted from it, with the
+    values that each column has there."""
+    spec = LANDING["raw_orders"]
+    kept = m.raw("raw_orders").select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
+    contract.enforce_contract(kept, spec)
+    drifted = (
+        kept.drop("store_id")
+        .withColumn("subtotal", F.col("subtotal").cast("double") / 100)
+        .withColumn("channel", F.when(F.col("order_total") % 2 == 0, F.lit("web")))
+    )
+    values = [F.struct(F.lit(c).alias("column"), F.count(c).alias("n_values")) for c in drifted.columns]
+    counted = drifted.agg(F.array(*values).alias("v")).select(F.inline("v"))
+    return (
+        contract.contract_report(drifted, spec)
+        .join(counted, "column", "left")
+        .withColumn("n_values", F.coalesce("n_values", F.lit(0)))
+    )
+
+
+def _materialize_kinds(m: Models) -> DataFrame:
+    """One model as a view and as a table."""
+    schema = _scratch_schema(m.spark)
+    kinds = [
+        tables.materialise(m.products(), name, kind, schema).withColumn("kind", F.lit(kind))
+        for kind, name in (("view", f"{schema}_products"), ("table", "products"))
+    ]
+    return kinds[0].unionByName(kinds[1])
+
+
+def _qualify_name(m: Models) -> DataFrame:
+    """Tables under the default schema and under a custom one, written with blanks around its name."""
+    default, custom = _scratch_schema(m.spark), _scratch_schema(m.spark)
+    plain = tables.qualify("stores", default=default)
+    other = tables.qualify("stores", f" {custom} ", default)
+    tables.write_replace(m.stores(), plain)
+    tables.write_replace(m.stores().filter("store_id % 2 = 0"), other)
+    shown = lambda name, place: m.spark.table(name).withColumn("place", F.lit(place))
+    return shown(f"{default}.stores", "default").unionByName(shown(f"{custom}.stores", "custom"))
+
+
+def _catalogued(m: Models) -> str:
+    schema = _scratch_schema(m.spark)
+    for name, df in (("customers", m.customers()), ("orders", m.orders())):
+        tables.write_replace(df, f"{schema}.{name}")
+    m.spark.sql(f"CREATE VIEW {schema}.late_orders AS SELECT * FROM {schema}.orders WHERE order_id > 100")
+    return schema
+
+
+def _flush_schema(m: Models) -> DataFrame:
+    """Rows and columns of the tables of a schema before and after it was flushed; views follow."""
+    schema = _catalogued(m)
+
+    def sizes(when: str) -> list[tuple]:
+        names = [r.tableName for r in tables.list_tables(m.spark, schema).collect()]
+        read = [(n, tables.read_table(m.spark, f"{schema}.{n}")) for n in sorted(names)]
+        return [(when, n, len(df.columns), df.count()) for n, df in read]
+
+    before = sizes("before")
+    tables.flush_schema(m.spark, schema)
+    return m.spark.createDataFrame(
+        before + sizes("after"), "moment STRING, table_name STRING, n_columns INT, n_rows BIGINT"
+    )
+
+
+def _catalog_list(m: Models) -> DataFrame:
+    """Columns, types and kinds of all that a schema has, and the rows of each."""
+    schema = _catalogued(m)
+    stored = tables.base_tables(m.spark, schema)
+    parts = []
+    for r in tables.list_tables(m.spark, schema).collect():
+        name = f"{schema}.{r.tableName}"
+        parts.append(
+            tables.describe(m.spark, name).select(
+                F.lit(r.tableName).alias("table_name"),
+                F.lit(r.tableName in stored).alias("is_stored"),
+                F.col("col_name").alias("column_name"),
+                "data_type",
+                F.lit(m.spark.table(name).count()).alias("n_rows"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _colocated(m: Models) -> dict[str, DataFrame]:
+    items = marts_v1.item_dollars(m.priced())
+    return colocated.build(m.customers(), m.orders(), items, _scratch_schema(m.spark), COLOCATED_BUCKETS)
 
 
 def _check_sentiment(m: Models) -> DataFrame:
@@ -595,6 +740,8 @@ QUERIES: dict[str, Query] = {
     "catch_up_emptied_day": _models(_catch_up_emptied_day),
     "delta_orders": _models(lambda m: _delta(m)[0]),
     "delta_customers": _models(lambda m: _delta(m)[1]),
+    "colocated_orders": _models(lambda m: _colocated(m)["orders"]),
+    "colocated_customers": _models(lambda m: _colocated(m)["customers"]),
     "rebuild_atomic": _models(_rebuild_atomic),
     "full_model_from_days": _models(_full_model_from_days),
     "streamed_landing": _models(_streamed),
@@ -612,6 +759,10 @@ QUERIES: dict[str, Query] = {
         lambda m: files.seed(m.spark, SEED_EVENTS, _as_csv(m.seed(), "seed"))
     ),
     "keyed_load": _models(_keyed_load),
+    "materialize_kinds": _models(_materialize_kinds),
+    "qualify_name": _models(_qualify_name),
+    "flush_schema": _models(_flush_schema),
+    "catalog_list": _models(_catalog_list),
     "write_replace": _models(_write_replace),
     "write_truncate_load": _models(_truncate_load),
     "export_csv": _models(_csv_roundtrip),
@@ -629,6 +780,10 @@ QUERIES: dict[str, Query] = {
             "negative_balance", m.star.table("customer"), F.col("c_acctbal") < 0
         )
     ),
+    "check_required_columns": _models(lambda m: quality.evaluate(m.staged(), REQUIRED)),
+    "contract_check": _models(_contract_check),
+    "gate_blocks": _models(_gate_blocks),
+    "publish_observed": _models(_publish_observed),
     "check_sentiment": _models(_check_sentiment),
     "check_all": _models(_check_all, stored=True),
     "check_verdict": _models(

@@ -56,15 +56,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by doc_id, of every group of near copies."""
+    """The first document, by doc_id, of every group of near copies.
+
+    Rows that repeat a doc_id and its text become one; different texts under one doc_id stay or go
+    together, as ``jaccard.near_copies`` groups them by their doc_id.
+    """
     groups = jaccard.near_copies(docs)
     gone = written(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
     left = docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
-    # A document that comes in several rows stays in one.
+    # A document that comes in several rows stays in one, but no other text of its doc_id is lost.
     rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
     rows = written(rows.select("doc_id"), "repeated")
     single = left.join(bounded(rows), "doc_id", "left_anti").select(*docs.columns)
-    once = left.join(bounded(rows), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = left.join(bounded(rows), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return single.unionByName(once.select(*docs.columns))
 
 

@@ -111,3 +111,14 @@ def test_an_exact_copy_leaves_no_lines(spark):
     rows += [(3, "\n\t\n", "en", "src1", 3, "k"), (4, "y\nLes.\n", "en", "src1", 7, "k")]
     out = STAGES["lines"](spark, spark.createDataFrame(rows, DDL), FOLDER).collect()
     assert {r.doc_id: (r.text, r.n_chars) for r in out} == {1: (text, len(text)), 4: ("y\n", 2)}
+
+
+def test_no_other_text_of_a_repeated_id_is_lost(spark):
+    words = lambda seed: " ".join(f"w{seed}x{k}" for k in range(40))
+    rows = [(1, words(1)), (1, words(2)), (1, words(1)), (2, words(3)), (3, words(3)), (None, words(4))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars INT")
+    out = STAGES["near_copies"](spark, docs, FOLDER)
+    expected = [(1, words(1)), (1, words(2)), (2, words(3)), (None, words(4))]
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame(expected, "doc_id BIGINT, text STRING").collect())
+    )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.functions.text import mentions_list
+from martloom.functions.text import WORD, mentions_list
 from martloom.operators.lookup import bounded
 
 # A dictionary up to this many names (and characters) is matched inside each row; a larger one
@@ -15,6 +18,14 @@ from martloom.operators.lookup import bounded
 MAX_INLINE_NAMES = 64
 MAX_INLINE_CHARS = 16_384
 
+# Names that are one word of up to this many characters are looked up in the words of the texts, if
+# there are no more of them than this (and characters); all others go through the block join.
+MAX_WORD_NAME = 64
+MAX_WORD_NAMES = 20_000
+MAX_WORD_CHARS = 1_000_000
+# Words that a task remembers with their names.
+REMEMBERED = 200_000
+
 # Block lengths of the block join. A text is cut into blocks of q characters; any stretch of 2q-1
 # characters covers one of them whole, so a name of at least that length is found by one of its
 # first q grams. Longer names take longer blocks, each ``STEP`` times the one before, so that a block
@@ -102,17 +113,107 @@ def _name_grams(names: DataFrame, column: str, lengths: list[int], reach: int) -
     )
 
 
+def _lowered_pieces(texts: DataFrame, key: str, text_column: str, longest_name: int) -> DataFrame:
+    """``key`` and ``_piece``; every stretch as long as a name lies in one piece of its text."""
+    size = max(PIECE, 4 * longest_name)
+    lowered = texts.filter(F.col(text_column).isNotNull()).select(key, F.lower(text_column).alias("_text"))
+    return lowered.select(key, F.explode(_pieces(F.col("_text"), size, longest_name)).alias("_piece"))
+
+
+def _lookup(
+    by_name: dict[str, list[int]], key: str
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Numbers of the names in each list of words, for ``mapInArrow``."""
+    lengths = sorted({len(name) for name in by_name})
+
+    def numbers(word: str) -> list[int]:
+        parts = {word[i : i + n] for n in lengths for i in range(len(word) - n + 1)}
+        return [k for part in by_name.keys() & parts for k in by_name[part]]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+
+        def remembered(word: str) -> list[int]:
+            if len(word) > MAX_WORD_NAME:
+                return numbers(word)
+            if word not in known:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[word] = numbers(word)
+            return known[word]
+
+        for batch in batches:
+            words = batch.column("_words")
+            coded = words.flatten().dictionary_encode()
+            of_word = [remembered(word) for word in coded.dictionary.to_pylist()]
+            ends = words.value_lengths().to_numpy().cumsum().tolist()
+            codes = coded.indices.to_numpy()
+            rows = [
+                sorted(set().union(*[of_word[c] for c in codes[start:end].tolist()]))
+                for start, end in zip([0, *ends], ends)
+            ]
+            listed = pa.array(rows, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(key), listed], [key, "_found"])
+
+    return run
+
+
+def word_mentions(
+    texts: DataFrame, names: list[tuple[str, str]], key: str, text_column: str, name_column: str
+) -> DataFrame:
+    """``block_mentions`` for names that are one word each, given with their lower case.
+
+    Such a name lies inside a word of the text. The words of a text, each once, are looked up in
+    its own task, which remembers the names of the words before; a row a piece of text, the numbers
+    of its names, is exchanged.
+    """
+    spark = texts.sparkSession
+    by_name: dict[str, list[int]] = {}
+    for k, (_, lowered) in enumerate(names):
+        by_name.setdefault(lowered, []).append(k)
+    pieces = _lowered_pieces(texts, key, text_column, max(len(lowered) for _, lowered in names))
+    words = pieces.select(key, F.array_distinct(F.regexp_extract_all("_piece", F.lit(WORD), F.lit(0))).alias("_words"))
+    schema = T.StructType([words.schema[key], T.StructField("_found", T.ArrayType(T.IntegerType()))])
+    found = words.mapInArrow(_lookup(by_name, key), schema).filter(F.size("_found") > 0)
+    # Dealt by the key, so that telling its names apart needs no exchange of its own.
+    numbers = found.repartition(key).select(key, F.explode("_found").alias("_number")).distinct()
+    numbered = spark.createDataFrame([(k, name) for k, (name, _) in enumerate(names)], f"_number INT, `{name_column}` STRING")
+    return numbers.join(F.broadcast(numbered), "_number").select(key, name_column)
+
+
 def block_mentions(
     texts: DataFrame, names: DataFrame, key: str, text_column: str, name_column: str
 ) -> DataFrame:
     """Distinct (key, name) for every name that occurs in a text, for dictionaries of any size.
 
+    Names of one word are looked up in the words of the texts (``word_mentions``), the others, and
+    those of a dictionary too large for that, in blocks of the texts (``joined_mentions``). Rows that
+    share ``key`` count as one.
+    """
+    distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
+    lowered = F.lower(name_column)
+    # Any line end at the end of a name is no part of a word, which $ would overlook.
+    is_word = F.rlike(lowered, F.lit(rf"\A{WORD}\z")) & (F.char_length(lowered) <= MAX_WORD_NAME)
+    rows = distinct.filter(is_word).select(name_column, lowered.alias("_lowered")).limit(MAX_WORD_NAMES + 1).collect()
+    if not rows or len(rows) > MAX_WORD_NAMES or sum(len(r[1]) for r in rows) > MAX_WORD_CHARS:
+        return joined_mentions(texts, distinct, key, text_column, name_column)
+    by_words = word_mentions(texts, [tuple(r) for r in rows], key, text_column, name_column)
+    others = distinct.filter(~is_word)
+    if others.isEmpty():
+        return by_words
+    return by_words.unionByName(joined_mentions(texts, others, key, text_column, name_column))
+
+
+def joined_mentions(
+    texts: DataFrame, distinct: DataFrame, key: str, text_column: str, name_column: str
+) -> DataFrame:
+    """``block_mentions`` for names of any kind and number, none of them twice or NULL.
+
     Texts and names meet in an equi-join of text blocks with name grams, so no text is compared
     with every name. Each block brings the characters around it, as many as the longest name of
     its length needs, so the join itself decides whether the name is there: the texts are read
-    once and never exchanged. Rows that share ``key`` count as one.
+    once and never exchanged.
     """
-    distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
     lowered_name = F.lower(name_column)
     longest_name = distinct.agg(F.max(F.char_length(lowered_name))).first()[0]
     if longest_name is None:
@@ -128,9 +229,7 @@ def block_mentions(
     # Blocks that can follow the first gram of a class's longest name.
     after = {q: -(-(n - q) // q) if q else 0 for q, n in longest.items()}
     reach = max(after.values())
-    size, overlap = max(PIECE, 4 * longest_name), longest_name
-    lowered = texts.filter(F.col(text_column).isNotNull()).select(key, F.lower(text_column).alias("_text"))
-    piece = lowered.select(key, F.explode(_pieces(F.col("_text"), size, overlap)).alias("_piece"))
+    piece = _lowered_pieces(texts, key, text_column, longest_name)
     cut = piece.select(key, *[_text_blocks(F.col("_piece"), q).alias(f"_{q}") for q in after])
     following = [f"after_{i}" for i in range(reach)]
     windows = F.concat(*[_with_context(F.col(f"_{q}"), reach) for q in after])
@@ -153,7 +252,8 @@ def block_mentions(
 
 def row_key(*columns: str) -> Column:
     """A hash of the columns that tells different rows apart, NULLs included."""
-    parts = [F.struct(F.col(c).cast("string").alias("x")) for c in columns]
+    # Each value by its own hash, so that no long text is written as JSON.
+    parts = [F.struct(F.sha2(F.col(c).cast("string"), 256).alias("x")) for c in columns]
     return F.sha2(F.to_json(F.array(*parts)), 256)
 
 

@@ -148,3 +148,28 @@ def test_a_very_long_text(spark):
     names = spark.createDataFrame([("pepper sauce",), ("b a",), ("zz",)], "product_name STRING")
     found = mentions.block_mentions(df, names, "id", "content", "product_name").collect()
     assert sorted(map(tuple, found)) == [(1, "b a"), (1, "pepper sauce")]
+
+
+def test_names_of_one_word_are_looked_up_in_words(spark, monkeypatch):
+    """No block of a text becomes a row for them; all others still take the join."""
+    rows = [(i, t) for i, t in texts(60)] + [(900, "x" * 8_190 + "überraschung" + "y" * 20_000 + "abc!abc"), (None, "abc")]
+    rows += [(7, "Straße ΟΔΟΣ"), (901, "İstanbul it's 42")]
+    plain = ["a", "é", "aBCa", "bcabc", "Überraschung", "a" * 13, "y" * 64, "ΟΔΟΣ", "it's", "4", "İst", "ABCA"]
+    other = ["", "the soup ", "abc\n", "y" * 65, "c a"]
+    df = spark.createDataFrame(rows, "id INT, content STRING")
+    named = lambda names: spark.createDataFrame([(n,) for n in names] + [(None,)], "product_name STRING")
+    joined = mentions.joined_mentions
+    monkeypatch.setattr(mentions, "REMEMBERED", 3)
+    for names in (plain, plain + other, other):
+        asked = []
+        monkeypatch.setattr(mentions, "joined_mentions", lambda t, d, *a: asked.extend(r[0] for r in d.collect()) or joined(t, d, *a))
+        found = mentions.block_mentions(df, named(names), "id", "content", "product_name")
+        lowered = [tuple(r) for r in df.selectExpr("id", "lower(content)").collect()]
+        low = {r[0]: r[1] for r in named(names).selectExpr("product_name", "lower(product_name)").collect() if r[0] is not None}
+        expected = {(i, n) for i, t in lowered if t is not None for n in names if low[n] in t}
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+        assert sorted(asked) == sorted(set(names) & set(other))
+    # Too many names for the tasks to hold: all by the join.
+    monkeypatch.setattr(mentions, "MAX_WORD_NAMES", 2)
+    assert mentions.block_mentions(df, named(plain), "id", "content", "product_name").count() > 0
+    assert set(plain) <= set(asked)

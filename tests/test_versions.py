@@ -123,3 +123,14 @@ def test_a_changed_day_reads_that_day_only(spark, table):
     assert got == {r.item_id: r.n for r in whole}
     plan = distinct_state.merged_counts(spark.table(name))._jdf.queryExecution().optimizedPlan().toString()
     assert "events__data" not in plan
+
+
+def test_bitmaps_are_made_of_dense_lists_only(spark):
+    """A bitmap of 4 KB for each of many short lists is what fills a task."""
+    events = spark.range(10).selectExpr("id", "id % 3 AS item_id", "DATE '2024-01-01' AS event_date")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    states = plan(distinct_state.daily_sets(events))
+    assert states.count("bitmap_construct_agg(") == 1
+    assert "(size(places" in states[states.index("bitmap_construct_agg(") :] and " > 2048)" in states
+    merged = plan(distinct_state.merged_counts(distinct_state.daily_sets(events)))
+    assert "bitmap_or_agg" not in merged and merged.count("bitmap_construct_agg(") == 1

@@ -9,6 +9,8 @@ adaptive execution splits skewed joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from martloom.plans import marts_v1
 
 # A bucket should fit a task; at 100 TB that takes some thousands.
 BUCKETS = 64
+# Rows of a bucket, about: tables that have more get more buckets than asked for.
+BUCKET_ROWS = 1_000_000
 # Tasks that write one bucket, so that a hot key is not written by one.
 SPLIT = 4
 # A bucket is hot with more rows than this, if it also has so many times the mean.
@@ -70,16 +74,32 @@ def customers(stg_customers: DataFrame, orders_mart: DataFrame) -> DataFrame:
     return marts_v1.customers(stg_customers.hint("merge"), orders_mart)
 
 
+def enough_buckets(rows: int, buckets: int) -> int:
+    """``buckets``, doubled until a bucket has no more than ``BUCKET_ROWS`` of the rows, on average."""
+    while rows > buckets * BUCKET_ROWS:
+        buckets *= 2
+    return buckets
+
+
 def build(
-    stg_customers: DataFrame, stg_orders: DataFrame, items: DataFrame, schema: str, buckets: int = BUCKETS
+    stg_customers: DataFrame,
+    stg_orders: DataFrame,
+    items: DataFrame,
+    schema: str,
+    buckets: int = BUCKETS,
+    counted: Sequence[DataFrame] = (),
 ) -> dict[str, DataFrame]:
     """Store the inputs and the orders mart in buckets; returns the marts of orders and customers.
 
+    ``buckets`` is the least number; the tables get more as they grow, so that what a task holds does
+    not. ``counted`` names cheaper frames with as many rows as the three inputs.
+
     ``items`` is ``marts_v1.item_dollars`` of priced items. Tables of ``schema``: ``order_items`` and
     ``placed_orders`` in buckets of ``order_id``, ``orders`` and ``known_customers`` of ``customer_id``.
     """
     spark = items.sparkSession
     name = lambda table: f"{schema}.{table}"
+    buckets = enough_buckets(max(df.count() for df in counted or (stg_customers, stg_orders, items)), buckets)
     store(items, name("order_items"), "order_id", buckets)
     store(stg_orders.select(*ORDER_COLUMNS), name("placed_orders"), "order_id", buckets)
     placed, bought = stored(spark, name("placed_orders")), stored(spark, name("order_items"))

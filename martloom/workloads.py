@@ -144,7 +144,8 @@ class Models:
         return product_economics(self.products(), self.supplies(), literal_macro)
 
     def priced(self, literal_macro: bool = False) -> DataFrame:
-        return priced_items(self.items(), bounded(self.economics(literal_macro)))
+        # A row a product; the check of its size and the join read it, and neither makes it again.
+        return priced_items(self.items(), bounded(written(self.economics(literal_macro), "economics")))
 
     def v1_order_items(self, literal_macro: bool = False) -> DataFrame:
         return marts_v1.order_items(
@@ -503,7 +504,9 @@ def _catalog_list(m: Models) -> DataFrame:
 
 def _colocated(m: Models) -> dict[str, DataFrame]:
     items = marts_v1.item_dollars(m.priced())
-    return colocated.build(m.customers(), m.orders(), items, _scratch_schema(m.spark), COLOCATED_BUCKETS)
+    schema = _scratch_schema(m.spark)
+    counted = [m.star.table(name) for name in ("customer", "orders", "lineitem")]
+    return colocated.build(m.customers(), m.orders(), items, schema, COLOCATED_BUCKETS, counted)
 
 
 def _check_sentiment(m: Models) -> DataFrame:
@@ -558,7 +561,7 @@ def _delta(m: Models) -> tuple[DataFrame, DataFrame]:
     """Both marts after one order in a hundred has lost its items, and half of these got others."""
     schema = _scratch_schema(m.spark)
     names = tables.qualify("order_states", schema), tables.qualify("customers", schema)
-    economics = bounded(m.economics())
+    economics = bounded(written(m.economics(), "economics"))
     priced = lambda items, *extra: marts_v1.item_dollars(priced_items(items, economics), extra)
     delta.create(m.customers(), m.orders(), priced(m.items()), *names, DELTA_BUCKETS)
     old = m.items().filter(F.col("order_id") % 100 == 7).withColumn("sign", F.lit(-1))

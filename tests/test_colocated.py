@@ -65,3 +65,15 @@ def test_empty_and_null_keys(spark, schema):
     assert rows(colocated.stored(spark, f"{schema}.nulls")) == rows(df)
     colocated.store(df.limit(0), f"{schema}.nulls", "k", buckets=4)
     assert rows(colocated.stored(spark, f"{schema}.nulls")) == []
+
+
+def test_buckets_grow_with_the_tables(spark, stg, items, schema, monkeypatch):
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 1)
+    counted = [spark.range(3), spark.range(4), spark.range(7)]
+    marts = colocated.build(stg["stg_customers"], stg["stg_orders"], items, schema, 2, counted)
+    for table in ("order_items", "placed_orders", "orders", "known_customers"):
+        noted = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {schema}.{table}").collect()}
+        assert noted["buckets"] == "8"
+    assert rows(marts["orders"]) == rows(marts_v1.orders(stg["stg_orders"], items))
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 1_000_000)
+    assert [colocated.enough_buckets(n, 8) for n in (0, 8_000_000, 8_000_001, 216_000_000)] == [8, 8, 16, 256]

@@ -72,7 +72,8 @@ def row_numbers(
     )
     if total is None:
         return df.withColumn(name, plain)
-    keyed = df.withColumn("_hot", F.struct(F.col(key).alias("k")))
+    # Read by both parts and by the sampling of the ranges, and made once.
+    keyed = written(df, "unnumbered").withColumn("_hot", F.struct(F.col(key).alias("k")))
     keys = bounded(hot.select("_hot"))
     cool = keyed.join(keys, "_hot", "left_anti").select(*df.columns)
     warm = keyed.join(keys, "_hot", "left_semi").select(*df.columns)

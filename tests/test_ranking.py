@@ -35,3 +35,21 @@ def test_one_hot_day_is_spread(spark):
     assert out.filter("row_number <> id + 1").isEmpty() and out.count() == 20_000
     stored = [f for f in out.inputFiles() if "ranges" in f]
     assert len(stored) >= 5
+
+
+def test_rows_are_made_once_when_a_key_is_hot(spark):
+    """For both parts, and for the sampling of the ranges."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def noted(n):
+        made.add(1)
+        return -n
+
+    ids = spark.range(60).select(F.when(F.col("id") < 40, 0).otherwise(F.col("id")).alias("k"), "id")
+    df = ids.select("k", "id", noted("id").alias("at"))
+    got = row_numbers(df, "k", ("at",), keys_from=ids, hot_rows=5, range_rows=7).collect()
+    assert sorted((r.k, r.id, r.row_number) for r in got) == sorted(
+        (0, i, 40 - i) if i < 40 else (i, i, 1) for i in range(60)
+    )
+    assert made.value == 60

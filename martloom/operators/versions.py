@@ -80,9 +80,11 @@ def create(rows: DataFrame, table: str, on: str = "event_date") -> None:
     """Store rows as a table whose days can be replaced. Rows without a day are an error."""
     if VERSION in rows.columns:
         raise ValueError(f"{table}: column {VERSION} is taken")
-    if not rows.filter(F.col(on).isNull()).isEmpty():
+    added = _add(rows, table, on)
+    # Asked of the stored rows, as the rows themselves would be made twice.
+    if not added.filter(F.col(on).isNull()).isEmpty():
         raise ValueError(f"{table}: rows without {on}")
-    _publish(_add(rows, table, on), table, on, rows.columns)
+    _publish(added, table, on, rows.columns)
 
 
 def _replace(rows: DataFrame, table: str, replaced: Column, on: str, noted: str = "") -> None:

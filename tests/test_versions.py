@@ -134,3 +134,15 @@ def test_bitmaps_are_made_of_dense_lists_only(spark):
     assert "(size(places" in states[states.index("bitmap_construct_agg(") :] and " > 2048)" in states
     merged = plan(distinct_state.merged_counts(distinct_state.daily_sets(events)))
     assert "bitmap_or_agg" not in merged and merged.count("bitmap_construct_agg(") == 1
+
+
+def test_rows_are_made_once(spark, table):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("date")
+    def noted(n):
+        made.add(1)
+        return day(1 + n % 3)
+
+    versions.create(spark.range(20).select("id", noted("id").alias("event_date")), table + "_once")
+    assert spark.table(table + "_once").count() == made.value == 20

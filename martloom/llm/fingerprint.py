@@ -34,6 +34,17 @@ _LOW = 0xFFFFFFFF
 _PAIR = 0x0000000100000001
 
 
+def _step(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files of the jobs so far given back.
+
+    Spark deletes a shuffle's files once the driver has collected its plan, which a driver with memory
+    to spare may not do before the query ends; the texts exchanged would lie there until then.
+    """
+    df = written(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def _halves(x: Column) -> list[Column]:
     return [x.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(x, 32)]
 
@@ -122,7 +133,7 @@ def _followers(units: DataFrame) -> DataFrame:
     one row a partition, meets in one task.
     """
     ids = units.filter("doc_id is not null").groupBy("doc_id").agg(F.min("h").alias("h"))
-    cut = written(ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ranges")
+    cut = _step(ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ranges")
     cut = cut.select("range", "doc_id", F.struct("doc_id", "h").alias("key"))
     in_order = Window.orderBy("range")
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -162,7 +173,7 @@ def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         .groupBy("doc_id", "h")
         .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     )
-    units = written(units, "units")
+    units = _step(units, "units")
     edges = units.join(_followers(units).hint("merge"), "doc_id", "left").select(
         F.struct("doc_id", "h").alias("key"),
         F.col("n").cast("bigint").alias("n_chars"),
@@ -170,7 +181,7 @@ def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         "copies",
         "next",
     )
-    edges = written(edges, "edges")
+    edges = _step(edges, "edges")
     key = F.struct("doc_id", "h")
     # One row of each key, by the order that the joins need anyway.
     number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
@@ -206,7 +217,7 @@ def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     side = lambda k: F.coalesce(F.try_element_at("m", F.lit(k)), nothing())
     sums = sums.select("key", "edited_sha256", plus(side(0), side(1)).alias("lanes"), side(1).alias("out"), side(2).alias("new"))
     sums = sums.select("key", "edited_sha256", "lanes", plus(minus(F.col("lanes"), F.col("out")), F.col("new")).alias("edited_lanes"))
-    sums = written(sums, "fingerprints")
+    sums = _step(sums, "fingerprints")
     of_next = sums.select(F.col("key").alias("next"), F.col("lanes").alias("next_lanes"))
     return (
         edges.join(sums.hint("merge"), "key")

@@ -155,3 +155,13 @@ def test_query_over_its_table(spark):
     assert np.mean([r.near_edited > r.near_next for r in longer]) > 0.95
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_shuffles_of_finished_steps_are_given_back(spark, monkeypatch):
+    """Each written step is followed by a collection of the driver, which frees the files of its shuffles."""
+    steps = []
+    kept = fingerprint._step
+    monkeypatch.setattr(fingerprint, "_step", lambda df, name: steps.append(name) or kept(df, name))
+    df = spark.createDataFrame([(i, f"text {i}\nof {i % 3}") for i in range(9)], "doc_id BIGINT, text STRING")
+    assert fingerprint.near_edits(df).count() == 9
+    assert steps == ["units", "ranges", "edges", "fingerprints"]

@@ -100,12 +100,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _configured(stage: Stage) -> Stage:
+    """The stage with the scale settings, also where it is run by itself."""
+    return lambda spark, docs, sf_dir: stage(configure(spark), docs, sf_dir)
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("languages", languages),
-    ("lines", lines),
-    ("near_copies", near_copies),
-    ("mixture", mixture),
-    ("tokens", tokens),
+    (stage.__name__, _configured(stage)) for stage in (languages, lines, near_copies, mixture, tokens)
 ]
 # Trained models, joins of texts and seeded epochs are beyond SQL; tests hold each stage to brute force.
 ORACLE_SQL = None
@@ -113,7 +114,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

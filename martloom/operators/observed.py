@@ -36,7 +36,7 @@ def written_checked(df: DataFrame, path: str, rules: Sequence[Rule]) -> tuple[Da
         if rule.kind != "row_count":
             metrics.append(F.expr(f"count_if({violation(rule, types[rule.columns[0]])})").alias(f"f{i}"))
     seen = Observation()
-    df.observe(seen, *metrics).write.parquet(path)
+    df.observe(seen, *metrics).write.parquet(path, compression="zstd")
     table = spark.read.schema(df.schema).parquet(path)
     found = seen.get
     # An empty frame may be planned away together with its metrics.

@@ -86,24 +86,28 @@ class Models:
 
     ``stored`` writes the landing tables that need a join to the shared folder once, for checks
     that read them many times. Of texts the checks only ask whether they are there, so no text is
-    copied.
+    copied, nor exchanged with the items of its product.
     """
 
     JOINED = ("raw_orders", "raw_supplies", "raw_tweets")
+    TEXTS = {"raw_tweets": "content", "raw_supplies": "name", "raw_products": "name"}
 
     def __init__(self, spark: SparkSession, folder: str, stored: bool = False):
         self.spark = spark
         self.star = Star(spark, folder)
+        self._stored = stored
         self._written = {name: written(self._checked(name), name) for name in self.JOINED if stored}
 
     def _checked(self, name: str) -> DataFrame:
-        df = getattr(self.star, name)()
-        if name != "raw_tweets":
+        df, text = getattr(self.star, name)(), self.TEXTS.get(name)
+        if text is None:
             return df
-        return df.withColumn("content", F.when(F.col("content").isNotNull(), F.lit("")))
+        return df.withColumn(text, F.when(F.col(text).isNotNull(), F.lit("")))
 
     def raw(self, name: str) -> DataFrame:
-        return self._written[name] if name in self._written else getattr(self.star, name)()
+        if name in self._written:
+            return self._written[name]
+        return self._checked(name) if self._stored else getattr(self.star, name)()
 
     def landing(self) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in catalogue.LANDING_REQUIRED}

@@ -5,6 +5,7 @@ from martloom.operators import observed
 from martloom.operators.quality import QualityError, Rule, evaluate
 from martloom.session import scratch_path
 from martloom.sources import tables
+from martloom.workloads import Models
 
 RULES = [
     Rule.not_null("people", "id"),
@@ -91,3 +92,16 @@ def test_nothing_is_shown_when_the_first_version_fails(spark, kinds, table):
     with pytest.raises(QualityError):
         observed.publish(spark.createDataFrame(BAD, DDL), table, RULES, {"kinds": kinds})
     assert not spark.catalog.tableExists(table)
+
+
+def test_checked_names_are_neither_copied_nor_exchanged(spark):
+    """A product's name would travel with each of its items, although the rules ask only for NULLs."""
+    folder = "/root/testdata/sf0.001"
+    checked, plain = Models(spark, folder, stored=True), Models(spark, folder)
+    assert {r.product_name for r in checked.v1_order_items().select("product_name").distinct().collect()} == {""}
+    assert {r.name for r in checked.raw("raw_supplies").select("name").distinct().collect()} == {""}
+    assert plain.products().filter("product_name <> ''").count() == plain.products().count()
+    # A missing name stays missing.
+    named = checked.star.raw_products().withColumn("name", F.when(F.col("sku") % 2 == 0, F.col("name")))
+    checked.star.raw_products = lambda: named
+    assert checked.products().filter("product_name IS NULL").count() == named.filter("name IS NULL").count() > 0

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.text import WORD, mentions_list
+from martloom.functions.text import WORD, mentions_list, tokens
 from martloom.operators.lookup import bounded
 
 # A dictionary up to this many names (and characters) is matched inside each row; a larger one
@@ -25,6 +28,8 @@ MAX_WORD_NAMES = 20_000
 MAX_WORD_CHARS = 1_000_000
 # Words that a task remembers with their names.
 REMEMBERED = 200_000
+# Names of up to this many characters together are first looked for as one pattern.
+MAX_PATTERN_CHARS = 2_048
 
 # Block lengths of the block join. A text is cut into blocks of q characters; any stretch of 2q-1
 # characters covers one of them whole, so a name of at least that length is found by one of its
@@ -121,19 +126,21 @@ def _lowered_pieces(texts: DataFrame, key: str, text_column: str, longest_name:
 
 
 def _lookup(
-    by_name: dict[str, list[int]], key: str
+    by_name: dict[str, list], value: pa.DataType
 ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Numbers of the names in each list of words, for ``mapInArrow``."""
+    """What stands for the names in each list of words, in place of ``_words``, for ``mapInArrow``."""
     lengths = sorted({len(name) for name in by_name})
+    # Words without a name are passed over together, where the names make no long pattern.
+    some = None if sum(map(len, by_name)) > MAX_PATTERN_CHARS else "|".join(map(re.escape, by_name))
 
-    def numbers(word: str) -> list[int]:
+    def numbers(word: str) -> list:
         parts = {word[i : i + n] for n in lengths for i in range(len(word) - n + 1)}
         return [k for part in by_name.keys() & parts for k in by_name[part]]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, list] = {}
 
-        def remembered(word: str) -> list[int]:
+        def remembered(word: str) -> list:
             if len(word) > MAX_WORD_NAME:
                 return numbers(word)
             if word not in known:
@@ -143,21 +150,52 @@ def _lookup(
             return known[word]
 
         for batch in batches:
-            words = batch.column("_words")
+            place = batch.schema.get_field_index("_words")
+            words = batch.column(place)
             coded = words.flatten().dictionary_encode()
-            of_word = [remembered(word) for word in coded.dictionary.to_pylist()]
-            ends = words.value_lengths().to_numpy().cumsum().tolist()
-            codes = coded.indices.to_numpy()
-            rows = [
-                sorted(set().union(*[of_word[c] for c in codes[start:end].tolist()]))
-                for start, end in zip([0, *ends], ends)
-            ]
-            listed = pa.array(rows, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(key), listed], [key, "_found"])
+            distinct, codes = coded.dictionary, coded.indices.to_numpy()
+            if some is None:
+                asked = np.arange(len(distinct))
+            else:
+                matched = pc.match_substring_regex(distinct, some)
+                asked = np.flatnonzero(matched.to_numpy(zero_copy_only=False))
+            of_word = dict(zip(asked.tolist(), map(remembered, distinct.take(pa.array(asked)).to_pylist())))
+            named = np.zeros(len(distinct), dtype=bool)
+            named[[c for c, found in of_word.items() if found]] = True
+            at = np.flatnonzero(named[codes])
+            ends = words.value_lengths().to_numpy().cumsum()
+            rows: list[set] = [set() for _ in range(len(batch))]
+            for row, c in zip(np.searchsorted(ends, at, side="right").tolist(), codes[at].tolist()):
+                rows[row].update(of_word[c])
+            listed = pa.array([sorted(row) for row in rows], pa.list_(value))
+            yield pa.RecordBatch.from_arrays(
+                [listed if i == place else c for i, c in enumerate(batch.columns)],
+                ["_found" if n == "_words" else n for n in batch.schema.names],
+            )
 
     return run
 
 
+def _found_in_words(worded: DataFrame, names: list[tuple], numbered: bool = False) -> DataFrame:
+    """Rows of ``worded`` that hold names (name or number, lower case), listed as ``_found`` in place of
+    ``_words``."""
+    value, arrow = (T.IntegerType(), pa.int32()) if numbered else (T.StringType(), pa.string())
+    by_name: dict[str, list] = {}
+    for k, lowered in names:
+        by_name.setdefault(lowered, []).append(k)
+    found = T.StructField("_found", T.ArrayType(value))
+    schema = T.StructType([found if f.name == "_words" else f for f in worded.schema.fields])
+    return worded.mapInArrow(_lookup(by_name, arrow), schema).filter(F.size("_found") > 0)
+
+
+def with_word_mentions(texts: DataFrame, names: list[tuple[str, str]], text_column: str, out: str) -> DataFrame:
+    """``with_mentions`` for names that are one word each, given with their lower case: rows keep all
+    their columns, and nothing is exchanged, whatever columns repeat."""
+    words = F.array_distinct(tokens(F.col(text_column)))
+    worded = texts.filter(F.col(text_column).isNotNull()).withColumn("_words", words)
+    return _found_in_words(worded, names).withColumnRenamed("_found", out)
+
+
 def word_mentions(
     texts: DataFrame, names: list[tuple[str, str]], key: str, text_column: str, name_column: str
 ) -> DataFrame:
@@ -168,13 +206,9 @@ def word_mentions(
     of its names, is exchanged.
     """
     spark = texts.sparkSession
-    by_name: dict[str, list[int]] = {}
-    for k, (_, lowered) in enumerate(names):
-        by_name.setdefault(lowered, []).append(k)
     pieces = _lowered_pieces(texts, key, text_column, max(len(lowered) for _, lowered in names))
     words = pieces.select(key, F.array_distinct(F.regexp_extract_all("_piece", F.lit(WORD), F.lit(0))).alias("_words"))
-    schema = T.StructType([words.schema[key], T.StructField("_found", T.ArrayType(T.IntegerType()))])
-    found = words.mapInArrow(_lookup(by_name, key), schema).filter(F.size("_found") > 0)
+    found = _found_in_words(words, [(k, lowered) for k, (_, lowered) in enumerate(names)], numbered=True)
     # Dealt by the key, so that telling its names apart needs no exchange of its own.
     numbers = found.repartition(key).select(key, F.explode("_found").alias("_number")).distinct()
     numbered = spark.createDataFrame([(k, name) for k, (name, _) in enumerate(names)], f"_number INT, `{name_column}` STRING")
@@ -190,18 +224,29 @@ def block_mentions(
     those of a dictionary too large for that, in blocks of the texts (``joined_mentions``). Rows that
     share ``key`` count as one.
     """
+    distinct, rows, others = split_names(names, name_column)
+    if rows is None:
+        return joined_mentions(texts, distinct, key, text_column, name_column)
+    by_words = word_mentions(texts, rows, key, text_column, name_column)
+    if others is None:
+        return by_words
+    return by_words.unionByName(joined_mentions(texts, others, key, text_column, name_column))
+
+
+def split_names(
+    names: DataFrame, name_column: str
+) -> tuple[DataFrame, list[tuple[str, str]] | None, DataFrame | None]:
+    """The distinct names; those of one word with their lower case, or None where there are none or too
+    many for the tasks to hold; the others, or None where there are none."""
     distinct = names.select(name_column).filter(F.col(name_column).isNotNull()).distinct()
     lowered = F.lower(name_column)
     # Any line end at the end of a name is no part of a word, which $ would overlook.
     is_word = F.rlike(lowered, F.lit(rf"\A{WORD}\z")) & (F.char_length(lowered) <= MAX_WORD_NAME)
     rows = distinct.filter(is_word).select(name_column, lowered.alias("_lowered")).limit(MAX_WORD_NAMES + 1).collect()
     if not rows or len(rows) > MAX_WORD_NAMES or sum(len(r[1]) for r in rows) > MAX_WORD_CHARS:
-        return joined_mentions(texts, distinct, key, text_column, name_column)
-    by_words = word_mentions(texts, [tuple(r) for r in rows], key, text_column, name_column)
+        return distinct, None, distinct
     others = distinct.filter(~is_word)
-    if others.isEmpty():
-        return by_words
-    return by_words.unionByName(joined_mentions(texts, others, key, text_column, name_column))
+    return distinct, [tuple(r) for r in rows], None if others.isEmpty() else others
 
 
 def joined_mentions(
@@ -280,9 +325,16 @@ def extract_mentions(
     distinct = names.select(name_column).distinct()
     inline = inline_names(distinct, name_column, most_inline)
     if inline is None:
-        keyed = texts.select(id_column, text_column, row_key(id_column, text_column).alias("_key"))
-        found = block_mentions(keyed, distinct, "_key", text_column, name_column)
-        return keyed.select("_key", id_column).join(found, "_key").select(id_column, name_column)
+        _, rows, others = split_names(distinct, name_column)
+        parts = []
+        if rows is not None:
+            named = with_word_mentions(texts.select(id_column, text_column), rows, text_column, "_names")
+            parts.append(named.select(id_column, F.explode("_names").alias(name_column)))
+        if others is not None:
+            keyed = texts.select(id_column, text_column, row_key(id_column, text_column).alias("_key"))
+            found = joined_mentions(keyed, others, "_key", text_column, name_column)
+            parts.append(keyed.select("_key", id_column).join(found, "_key").select(id_column, name_column))
+        return reduce(DataFrame.unionByName, parts)
     lowered = texts.select(id_column, F.lower(text_column).alias("_lowered"))
     found = mentions_list(F.col("_lowered"), inline)
     # The outer explode and the later filter keep the list from being evaluated twice.

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.text import TOKEN_BREAK, normalised_score, score_bin, tokens
 from martloom.operators.lexicon import entries, inline_lookup
 from martloom.operators.lookup import bounded
-from martloom.operators.mentions import block_mentions, inline_names, row_key, with_mentions
+from martloom.operators.mentions import (
+    inline_names,
+    joined_mentions,
+    row_key,
+    split_names,
+    with_mentions,
+    with_word_mentions,
+)
 from martloom.operators.rules import Words, rule_scores
 
 SCORE_PLACES = 6
@@ -110,8 +119,8 @@ def scored_mentions(
     ``names`` holds product_name; ids may repeat or be NULL. With ``rules``, the words around a token
     change its valence; without, its valence alone counts.
 
-    With a small dictionary each text is read once: found names ride along as a short list while
-    its tokens are scored, and texts that mention nothing are not scored at all.
+    With a small dictionary, or names of one word, each text is read once: found names ride along as a
+    short list while its tokens are scored, and texts that mention nothing are not scored at all.
     """
 
     def score(texts: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -119,21 +128,29 @@ def scored_mentions(
             return lexicon_scores(texts, lexicon, keep)
         return rule_scores(texts, lexicon, rules, keep)
 
+    def exploded(tagged: DataFrame) -> DataFrame:
+        scores = score(tagged, ("id", "tweeted_at", "mentions"))
+        # Every list has a name; the outer explode only spares a second look at the texts for it.
+        return scores.select(
+            "id", "tweeted_at", F.explode_outer("mentions").alias("product_name"), "sentiment_score"
+        )
+
     distinct = names.select("product_name").distinct()
     inline = inline_names(distinct, most=most_inline)
     if inline is None:
-        keyed = tweets.withColumn("_key", row_key("id", "tweeted_at", "content"))
-        mentions = block_mentions(keyed, distinct, "_key", "content", "product_name")
-        scores = score(keyed, ("_key", "id", "tweeted_at"))
-        return mentions.join(scores, "_key").select(
-            "id", "tweeted_at", "product_name", "sentiment_score"
-        )
-    tagged = with_mentions(tweets, inline, "content", "mentions")
-    scores = score(tagged, ("id", "tweeted_at", "mentions"))
-    # Every list has a name; the outer explode only spares a second look at the texts for it.
-    return scores.select(
-        "id", "tweeted_at", F.explode_outer("mentions").alias("product_name"), "sentiment_score"
-    )
+        _, rows, others = split_names(distinct, "product_name")
+        parts = []
+        if rows is not None:
+            parts.append(exploded(with_word_mentions(tweets.select("id", "tweeted_at", "content"), rows, "content", "mentions")))
+        if others is not None:
+            keyed = tweets.withColumn("_key", row_key("id", "tweeted_at", "content"))
+            mentions = joined_mentions(keyed, others, "_key", "content", "product_name")
+            scores = score(keyed, ("_key", "id", "tweeted_at"))
+            parts.append(
+                mentions.join(scores, "_key").select("id", "tweeted_at", "product_name", "sentiment_score")
+            )
+        return reduce(DataFrame.unionByName, parts)
+    return exploded(with_mentions(tweets, inline, "content", "mentions"))
 
 
 def product_sentiment(

@@ -173,3 +173,29 @@ def test_names_of_one_word_are_looked_up_in_words(spark, monkeypatch):
     monkeypatch.setattr(mentions, "MAX_WORD_NAMES", 2)
     assert mentions.block_mentions(df, named(plain), "id", "content", "product_name").count() > 0
     assert set(plain) <= set(asked)
+
+
+def test_names_of_one_word_are_scored_in_their_row(spark, lexicon):
+    """No key of a row and no second look at the texts: nothing is exchanged for such names."""
+    rows = [(str(i % 5) if i % 3 else None, t) for i, t in texts(40)] + [("1", "Soup-abc's"), ("1", None), (None, "")]
+    rows += rows[::3]
+    tweets = spark.createDataFrame(rows, "id STRING, content STRING").withColumn(
+        "tweeted_at", F.lit("2024-01-01").cast("timestamp_ntz")
+    )
+    named = lambda names: spark.createDataFrame([(n,) for n in names] + [(None,)], "product_name STRING")
+    plain, other = ["a", "bc", "A", "soup", "é"], ["the soup", "p-a", "c a"]
+    for names in (plain, plain + other, other):
+        both = [
+            sorted(map(str, sentiment.scored_mentions(tweets, named(names), lexicon, most).collect())) for most in (64, 0)
+        ]
+        assert both[0] == both[1] and both[0]
+        found = [
+            sorted(map(str, mentions.extract_mentions(tweets, named(names), most_inline=most).collect())) for most in (64, 0)
+        ]
+        assert found[0] == found[1] and len(found[0]) == len(both[0])
+    for df in (
+        sentiment.scored_mentions(tweets, named(plain), lexicon, 0),
+        mentions.extract_mentions(tweets, named(plain), most_inline=0),
+    ):
+        plan = df._jdf.queryExecution().toString()
+        assert "Exchange" not in plan and "Join" not in plan

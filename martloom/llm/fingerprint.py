@@ -17,6 +17,9 @@ estimates that of their features, within about 1 / sqrt(BITS): ``likeness``.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ WIDTH = EXACT + 1 + BITS
 # the words of one piece at a time.
 PIECE = 8_192
 
+# Ranges of doc_id for each partition of an exchange, so that ranges dealt by hash fill them evenly.
+RANGES = 32
+
 _LOW = 0xFFFFFFFF
 # A bit for each of the two counts that share a bigint.
 _PAIR = 0x0000000100000001
@@ -126,27 +132,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(inside)
 
 
-def _followers(units: DataFrame) -> DataFrame:
-    """``doc_id`` and ``next``, the key of the document after it; after the last comes the first.
+def _range_of(starts: list[int]):
+    """Rows with ``range``, the number of the last start up to their doc_id; rows without doc_id are dealt
+    by their text into ranges below 0, of which none follows another."""
+    # Large ids that are one double fall into one range.
+    inner = sorted({float(s) for s in starts})[1:]
+
+    def run(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("range", F.lit(0.0))
+        if inner:
+            rows = rows.drop("range").withColumn("_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)))
+            splits = [-math.inf, *inner, math.inf]
+            rows = Bucketizer(splits=splits, inputCol="_id", outputCol="range").transform(rows).drop("_id")
+        without = -1 - F.pmod("h", F.lit(len(inner) + 1))
+        return rows.withColumn("range", F.when(F.col("doc_id").isNull(), without).otherwise(F.col("range")).cast("int"))
+
+    return run, len(inner) + 1
 
-    Ids are dealt into ranges, and each range is ordered by itself; only the first id of each range,
-    one row a partition, meets in one task.
+
+def _in_ranges(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``rows`` (doc_id, text, h) with ``range``, and ``range, edge``: the text that follows the last of each
+    range, which is that of the first document of the next, and after the last range of the first;
+    and the number of ranges.
+
+    Ranges of doc_id hold about as many ids each; of a range, its first id goes to the driver.
     """
-    ids = units.filter("doc_id is not null").groupBy("doc_id").agg(F.min("h").alias("h"))
-    cut = _step(ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ranges")
-    cut = cut.select("range", "doc_id", F.struct("doc_id", "h").alias("key"))
-    in_order = Window.orderBy("range")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = cut.groupBy("range").agg(F.min("key").alias("start"))
-    starts = starts.select(
-        "range", F.coalesce(F.lead("start").over(in_order), F.first("start").over(whole)).alias("next_start")
-    )
-    after = F.lead("key").over(Window.partitionBy("range").orderBy("doc_id"))
-    return (
-        cut.withColumn("after", after)
-        .join(F.broadcast(starts), "range")  # a row a partition
-        .select("doc_id", F.coalesce("after", "next_start").alias("next"))
+    spark = rows.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "1")),
     )
+    units = _step(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("h").alias("h")), "units")
+    dealt = units.select("doc_id").repartitionByRange(RANGES * partitions, "doc_id")
+    starts = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min("doc_id").alias("start"))
+    starts = _step(starts, "ranges").select("start").collect()  # a row a range
+    ranged, n = _range_of([r.start for r in starts])
+    first = ranged(units).groupBy("range").agg(F.min(F.struct("doc_id", "h")).alias("key"))
+    first = first.select(F.pmod(F.col("range") - 1, F.lit(n)).alias("range"), "key.*")
+    edges = rows.join(F.broadcast(first), ["doc_id", "h"])  # a row a range
+    edges = _step(edges.groupBy("range").agg(F.first("text").alias("edge")), "edges")
+    return ranged(rows), edges, n
 
 
 def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -168,35 +193,28 @@ def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), content.alias("text"))
     # Nullable, as it is when read back: a cast of a key would cost an exchange.
     rows = rows.withColumn("h", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    units = (
-        rows.select("doc_id", "h", F.char_length("text").alias("n"))
-        .groupBy("doc_id", "h")
-        .agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    )
-    units = _step(units, "units")
-    edges = units.join(_followers(units).hint("merge"), "doc_id", "left").select(
-        F.struct("doc_id", "h").alias("key"),
-        F.col("n").cast("bigint").alias("n_chars"),
-        F.floor(F.col("n") / 4).cast("int").alias("cut"),
-        "copies",
-        "next",
-    )
-    edges = _step(edges, "edges")
-    key = F.struct("doc_id", "h")
-    # One row of each key, by the order that the joins need anyway.
-    number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    once = rows.select(key.alias("key"), "text").withColumn("_n", number).filter("_n = 1").drop("_n")
-    heads = (
-        edges.filter("cut > 0 and next is not null")
-        .select(F.col("next").alias("key"), F.col("key").alias("to"), "cut")
-        .hint("merge")
-        .join(once, "key")
-        .select(F.col("to").alias("key"), F.expr("substring(text, 1, cut)").alias("head"))
+    rows, edges, n_ranges = _in_ranges(rows)
+    # Texts are exchanged once, by range; what follows stays in their tasks.
+    order = Window.partitionBy("range").orderBy(F.desc("doc_id"), F.desc("h"))
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    same_id, same_h = (F.lag(c).over(order).eqNullSafe(F.col(c)) for c in ("doc_id", "h"))
+    number = F.row_number().over(order)
+    once = (
+        rows.withColumns({"_n": number, "_all": F.count(F.lit(1)).over(whole), "_again": same_id & same_h})
+        .filter((F.col("_n") == 1) | ~F.col("_again"))
+        .withColumns({"copies": F.coalesce(F.lead("_n").over(order), F.col("_all") + 1) - F.col("_n"), "_id": F.lead("doc_id").over(order)})
+        # The least hash of a doc_id is the last of it, and that of the first doc_id the last of all.
+        .withColumn("is_next", F.col("doc_id").isNotNull() & ~F.col("_id").eqNullSafe(F.col("doc_id")))
+        .withColumn("is_start", F.col("doc_id").isNotNull() & F.col("_id").isNull())
+        .withColumn("after", F.last(F.when(F.col("is_next"), F.col("text")), True).over(before))
     )
     edited = (
-        once.join(edges.select("key", "n_chars", "cut").hint("merge"), "key")
-        .join(heads.hint("merge"), "key", "left")
-        .withColumn("kept", F.expr("substring(text, 1, int(n_chars) - cut)"))
+        once.join(edges.hint("merge"), "range", "left")
+        .withColumn("n_chars", F.char_length("text"))
+        .withColumn("cut", F.floor(F.col("n_chars") / 4).cast("int"))
+        .withColumn("kept", F.expr("substring(text, 1, n_chars - cut)"))
+        .withColumn("head", F.expr("substring(coalesce(after, edge), 1, cut)"))
         .withColumn("edited", F.concat("kept", F.coalesce("head", F.lit(""))))
     )
     # Paragraphs before the one that the edit begins in stay as they are.
@@ -206,30 +224,45 @@ def near_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         "substring(text, same + 1)",
         "substring(edited, same + 1)",
     )
-    from_edit = edited.withColumn("same", same).select(
-        "key",
+    row = F.struct(
+        "doc_id",
+        "h",
+        F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.posexplode(F.array(*map(F.expr, sides))).alias("side", "part"),
+        F.col("copies").cast("bigint").alias("copies"),
+        "is_next",
+        "is_start",
     )
-    parts = paragraph_sums(from_edit.filter("part is not null"), ["key", "edited_sha256", "side"], "part")
+    from_edit = edited.withColumn("same", same).select(
+        "range", row.alias("row"), F.posexplode(F.array(*map(F.expr, sides))).alias("side", "part")
+    )
+    parts = paragraph_sums(from_edit.filter("part is not null"), ["range", "row", "side"], "part")
     # Three sums at most: what stays, goes and comes.
-    sums = parts.groupBy("key", "edited_sha256").agg(F.map_from_entries(F.collect_list(F.struct("side", "lanes"))).alias("m"))
+    sums = parts.groupBy("range", "row").agg(F.map_from_entries(F.collect_list(F.struct("side", "lanes"))).alias("m"))
     side = lambda k: F.coalesce(F.try_element_at("m", F.lit(k)), nothing())
-    sums = sums.select("key", "edited_sha256", plus(side(0), side(1)).alias("lanes"), side(1).alias("out"), side(2).alias("new"))
-    sums = sums.select("key", "edited_sha256", "lanes", plus(minus(F.col("lanes"), F.col("out")), F.col("new")).alias("edited_lanes"))
-    sums = _step(sums, "fingerprints")
-    of_next = sums.select(F.col("key").alias("next"), F.col("lanes").alias("next_lanes"))
+    sums = sums.select("range", "row.*", plus(side(0), side(1)).alias("lanes"), side(1).alias("out"), side(2).alias("new"))
+    sums = sums.withColumn("edited_lanes", plus(minus(F.col("lanes"), F.col("out")), F.col("new"))).drop("out", "new")
+    next_lanes = F.last(F.when(F.col("is_next"), F.col("lanes")), True).over(before)
+    sums = sums.withColumn("next_lanes", next_lanes).withColumn(
+        "near_next",
+        F.when(F.col("doc_id").isNull(), F.lit(0.0))
+        .when(F.col("next_lanes").isNotNull(), likeness(F.col("lanes"), F.col("next_lanes"))),
+    )
+    sums = _step(sums.drop("next_lanes", "h", "is_next"), "fingerprints")
+    # The last of a range, whose near_next is open yet, is followed by the first of the next.
+    first = sums.filter("is_start").select(
+        F.pmod(F.col("range") - 1, F.lit(n_ranges)).alias("range"), F.col("lanes").alias("next_lanes")
+    )
     return (
-        edges.join(sums.hint("merge"), "key")
-        .join(of_next.hint("merge"), "next", "left")
+        sums.join(F.broadcast(first), "range", "left")  # a row a range
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
         .select(
-            "key.doc_id",
+            "doc_id",
             "n_chars",
             "edited_sha256",
             "lanes",
             "edited_lanes",
             likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
-            likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
+            F.coalesce("near_next", likeness(F.col("lanes"), F.col("next_lanes"))).alias("near_next"),
         )
     )

@@ -165,3 +165,24 @@ def test_shuffles_of_finished_steps_are_given_back(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"text {i}\nof {i % 3}") for i in range(9)], "doc_id BIGINT, text STRING")
     assert fingerprint.near_edits(df).count() == 9
     assert steps == ["units", "ranges", "edges", "fingerprints"]
+
+
+def test_texts_are_exchanged_once(spark, monkeypatch):
+    """Whatever the ranges: ids beyond the doubles, ids with several texts, rows without id."""
+    plans = {}
+    kept = fingerprint._step
+    planned = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(fingerprint, "_step", lambda df, name: plans.update({name: planned(df)}) or kept(df, name))
+    rnd = random.Random(5)
+    rows = [(d, words(rnd, 12)) for d in [*range(9), *(2**60 + k for k in range(5))]]
+    rows.append((None, "no id"))
+    df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], DDL)
+    repeated = [(*r, "x", 1, "y") for r in [(3, "a b c\nd e"), (3, "a b c\nd e"), (2**60, "other words here"), (None, "no id")]]
+    more = df.unionByName(spark.createDataFrame(repeated, DDL))
+    got = []
+    for ranges in (1, 32):
+        monkeypatch.setattr(fingerprint, "RANGES", ranges)
+        close(rows_of(df), expected(rows))
+        assert plans["fingerprints"].count("Exchange hashpartitioning") <= 2  # of the texts, and of a row a range
+        got.append(sorted(map(str, rows_of(more))))
+    assert got[0] == got[1] and len(got[0]) == len(rows) + len(repeated)
